@@ -153,17 +153,27 @@ def _score(kinds: tuple[str, ...], odds: dict[str, float]) -> float:
     return min((odds.get(k, -2.0) for k in kinds if k in out), default=0.0)
 
 
+@cache
+def holders() -> frozenset[str]:
+    """Kinds of elements that hold a page's main text as a whole: weighted highest, as words inside them always are."""
+    return frozenset(k for k, v in weights()[0].items() if v > 6.5)
+
+
 def extract(page: str | None) -> str:
     """Blocks of the main text, a line each.
 
     A word scores 1, or the lowest learned weight of the boilerplate kinds it stands in; a tag scores a
-    small cost, or its kinds' learned weight where that is lower. The best region is found in one linear scan."""
+    small cost, or its kinds' learned weight where that is lower. Inside an element that holds main text a
+    boilerplate element costs little, so that the region goes on behind it. The best region is found in one
+    linear scan."""
     if not page:
         return ""
     word, tag = weights()
     scored: list[tuple[float, str | None, bool]] = []  # (score, text or None for a block's end, left out)
     known: dict[tuple[str, ...], float] = {}
+    whole = holders()
     for kind, value, stack in tokens(page):
+        mild = 0.01 if any(k in whole for e in stack for k in e) else 1.0
         if kind == "text":
             text = entities.unescape(value)
             low = 0.0
@@ -171,13 +181,13 @@ def extract(page: str | None) -> str:
                 if e not in known:
                     known[e] = _score(e, word)
                 low = min(low, known[e])
-            scored.append(((low or 1.0) * len(text.split()), text, low < 0))
+            scored.append(((low * mild or 1.0) * len(text.split()), text, low < 0))
         else:
             kinds, _ = value
             if kinds[0] in INLINE:
                 scored.append((-0.05, "", False))
             else:
-                scored.append((min(-0.2, _score(kinds, tag)), None, False))
+                scored.append((min(-0.2, _score(kinds, tag)) * mild, None, False))
     best, start, total, span = 0.0, 0, 0.0, (0, 0)
     for i, (s, _, _) in enumerate(scored):
         if total <= 0:
