@@ -4,6 +4,7 @@ staged tables, row keys and Arrow access to whole texts."""
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -12,6 +13,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Words are runs of anything but ASCII white space. ``bytes.split()`` splits at exactly the same bytes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -49,6 +51,14 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Adds the folder of this package to the path of Python workers, for sessions whose workers start elsewhere."""
+    env, home = spark.sparkContext.environment, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = env.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in path and home not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [*path, home]))
+
+
 class Workspace:
     """Tables that one run of an operator writes to the shared folder.
 
@@ -57,6 +67,7 @@ class Workspace:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        let_workers_import(spark)
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
         atexit.register(self._clean)
 
@@ -94,13 +105,24 @@ def row_key(*cols: str) -> list[Column]:
 KEY = ["rk1", "rk2"]
 
 
+def boxed(docs: DataFrame, *without: str) -> Column:
+    """All columns of a frame, but some, as one struct ``row``: whatever they are called, they clash with nothing."""
+    keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in without]
+    return F.struct(*keep, F.lit(0).alias("_")).alias("row")
+
+
+def unboxed(docs: DataFrame, **new: Column) -> list[Column]:
+    """The columns of the frame that was boxed, in order, some of them replaced."""
+    return [new[c.lower()].alias(c) if c.lower() in new else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+
+
 def raw(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """A string column's UTF-8 bytes; null as empty."""
     col = batch.column(batch.schema.get_field_index(name))
     return [x or b"" for x in col.cast(pa.binary()).to_pylist()]
 
 
-def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, fn, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with a function from one record batch to record batches."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,6 +130,7 @@ def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
             if b.num_rows:
                 yield from fn(b)
 
+    let_workers_import(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import SPACE, table
+from .base import SPACE, boxed, table, unboxed
 
 #: Frequent function words of the four languages of the corpus.
 STOP_WORDS = (
@@ -82,20 +82,21 @@ RULES = (
 
 
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: tuple[Rule, ...] = BASE) -> DataFrame:
-    """``docs`` with a struct ``f`` of counts, ``base_failed`` and ``kept``. No shuffle: one projection."""
+    """A struct ``row`` of the columns of ``docs``, a struct ``f`` of counts, ``base_failed`` and ``kept``. No shuffle:
+    one projection."""
     every = lambda rs: F.expr(" and ".join(f"({r.holds()})" for r in rs))
-    got = docs.withColumn("f", features()).withColumn("base_failed", ~every(base))
+    got = docs.select(boxed(docs), features().alias("f")).withColumn("base_failed", ~every(base))
     return got.withColumn("kept", ~F.col("base_failed") & every(rules))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = judge(table(spark, sf_dir, "documents", "doc_id", "text"))
-    return got.select("doc_id", *[f"f.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
+    return got.select("row.doc_id", *[f"f.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the rules keep, unchanged."""
-    return judge(docs).filter("kept").select(*docs.columns)
+    return judge(docs).filter("kept").select(*unboxed(docs))
 
 
 SQL = {

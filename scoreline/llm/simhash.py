@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import KEY, Workspace, arrow_map, blocks, raw, row_key, table
+from .base import KEY, Workspace, arrow_map, boxed, raw, row_key, table, unboxed
 from .graph import components
 
 BITS, RADIUS = 64, 3
@@ -123,6 +123,11 @@ def _value(bits: list[int]):
     return x
 
 
+def _named(part: int):
+    """Values of different partitions get different keys."""
+    return lambda v: F.xxhash64(F.lit(part), v)
+
+
 def plan(fps: DataFrame) -> list[tuple[list[int], int]]:
     """Partitions and thresholds of least estimated cost, over 2, 3 and 4 partitions.
 
@@ -208,7 +213,7 @@ def links(fps: DataFrame, chosen: list[tuple[list[int], int]], work: Workspace,
         v = _value(bits)
         masks = [sum(1 << b for b in c) for j in range(t + 1) for c in combinations(range(len(bits)), j)]
         values = F.array(v) if t == 0 else F.transform(F.array(*[F.lit(x).cast("long") for x in masks]), lambda m: m.bitwiseXOR(v))
-        keys.append(F.transform(values, lambda y, i=i: F.xxhash64(F.lit(i), y)))
+        keys.append(F.transform(values, _named(i)))
     keyed = fps.select("fp", F.explode(F.concat(*keys)).alias("key"))
     counted = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     met = work.put(keyed.join(counted, "key"))
@@ -247,5 +252,5 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """One row of each component stays: that of the smallest doc_id, and of equal ids that of the smallest key."""
     got = near_duplicates(docs)
     stay = got.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *KEY)).alias("k")).select("k.rk1", "k.rk2")
-    met = docs.select(*docs.columns, *row_key("doc_id", "text")).join(stay, KEY)
-    return met.selectExpr("*", "row_number() over (partition by rk1, rk2 order by doc_id) as _i").filter("_i = 1").select(*docs.columns)
+    met = docs.select(boxed(docs), *row_key("doc_id", "text")).join(stay, KEY)
+    return met.selectExpr("row", "row_number() over (partition by rk1, rk2 order by row.doc_id) as _i").filter("_i = 1").select(*unboxed(docs))

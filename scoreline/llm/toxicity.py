@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import arrow_map, blocks, raw, table
+from .base import arrow_map, blocks, let_workers_import, raw, table
 
 DIM = 1 << 20
 MOST = 12_000
@@ -85,7 +85,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST, epochs: int = EPOC
             x = [indices(t).astype("<u4").tobytes() for t in raw(b, "text")]
             yield pa.record_batch([b.column(0), b.column(2), pa.array(x, pa.binary())], ["doc_id", "y", "x"])
 
-    rows = arrow_map(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y"), run, "doc_id long, y int, x binary")
+    rows = arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y"), run, "doc_id long, y int, x binary")
     got = sorted(rows.toLocalIterator(), key=lambda r: (xxhash.xxh64_intdigest(str(r.doc_id)), r.doc_id, r.y, r.x))
     model = Ftrl()
     data = [(np.frombuffer(r.x, "<u4").astype(np.int64), r.y) for r in got]
@@ -99,6 +99,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST, epochs: int = EPOC
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataFrame:
     """``score`` and ``predicted`` for every row; no shuffle, the weights are broadcast: at most DIM pairs."""
     at, w, bias = model
+    let_workers_import(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((at.astype(np.int32), w.astype(np.float32), bias))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
