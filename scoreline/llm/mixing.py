@@ -19,10 +19,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import KEY, WORD, Workspace, row_key, table
+from .base import KEY, WORD, Workspace, boxed, row_key, table, unboxed
 
 #: Words that the dynamic program fits; more than that is taken in proportion first.
 WINDOW = 1 << 16
+#: Up to so many sources their plan, a row each, is broadcast; beyond that it is joined by source.
+MANY_SOURCES = 10_000
 #: Rows that one rank bucket holds on average.
 BUCKET = 256
 
@@ -106,6 +108,7 @@ def mix(docs: DataFrame, weights=(5, 2, 1), limit: float = 3.0, seed: int = 7, w
         passes = min(int(limit), int(t // r.n)) if r.n else 0
         rows.append((i, r.source, r.n, float(t), passes, int(round(t - passes * r.n))))
     plan = spark.createDataFrame(rows, "sid int, source string, source_size long, target double, passes int, left long")
+    plan = F.broadcast(plan) if len(rows) <= MANY_SOURCES else plan
     known = sized.join(plan, sized.source.eqNullSafe(plan.source)).drop(plan.source)
 
     def pick(parts):
@@ -146,8 +149,8 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     got = mix(docs)
     times = got.groupBy(*KEY).agg(F.count("*").alias("_n"), F.sum(F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0)).cast("long").alias("_t")).filter("_t > 0")
-    met = docs.select(*docs.columns, *row_key("doc_id", "text")).join(times.hint("shuffle_hash"), KEY)
+    met = docs.select(boxed(docs), *row_key("doc_id", "text")).join(times.hint("shuffle_hash"), KEY)
     one = met.withColumn("_k", F.expr("_t div _n"))
     odd = "_t % _n > 0"
-    extra = one.filter(odd).withColumn("_k", F.expr("_k + int(row_number() over (partition by rk1, rk2 order by doc_id) <= _t % _n)"))
-    return one.filter(f"not ({odd})").union(extra).withColumn("_i", F.explode(F.expr("array_repeat(1, int(_k))"))).select(*docs.columns)
+    extra = one.filter(odd).withColumn("_k", F.expr("_k + int(row_number() over (partition by rk1, rk2 order by row.doc_id) <= _t % _n)"))
+    return one.filter(f"not ({odd})").union(extra).withColumn("_i", F.explode(F.expr("array_repeat(1, int(_k))"))).select(*unboxed(docs))
