@@ -15,7 +15,7 @@ from ..functions.core import refresh_bound
 from ..operators import features, mlops, quality, serving
 from ..schemas import PIPELINE_RUNS
 from .store import TableStore, retry_on_conflict
-from .tables import Tables
+from .tables import PUBLISHED, Tables
 
 FULL, INCREMENTAL = "full", "incremental"
 SERVING_SLICE, ML_SLICE, ALL = "feature-serving", "ml", "all"
@@ -142,6 +142,21 @@ class Runner:
         return out
 
 
+def maintain(store: TableStore, names: list[str], files: int = 1, keep: int = 3) -> None:
+    """Rewrites tables into few files and drops versions beyond the last ``keep``."""
+    for n in names:
+        if store.exists(n):
+            retry_on_conflict(lambda n=n: store.compact(n, files))
+            store.expire(n, keep)
+
+
+def validate_settings(settings: dict[str, str | None], needed: list[str]) -> None:
+    """Raises if a setting is missing or still a placeholder in angle brackets."""
+    bad = [k for k in needed if not (v := (settings.get(k) or "").strip()) or (v.startswith("<") and v.endswith(">"))]
+    if bad:
+        raise ValueError(f"missing or placeholder settings: {', '.join(bad)}")
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="Refresh the published tables")
     p.add_argument("source")
@@ -149,13 +164,26 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--mode", choices=(FULL, INCREMENTAL), default=INCREMENTAL)
     p.add_argument("--refresh-days", type=int, default=7)
     p.add_argument("--pipeline", choices=(SERVING_SLICE, ML_SLICE, ALL), default=ALL)
-    p.add_argument("--check", action="store_true")
+    p.add_argument("--check", action="store_true", help="fail if a quality check fails")
+    p.add_argument("--maintain", action="store_true", help="compact tables and expire old versions afterwards")
+    p.add_argument("--train", metavar="VERSION", help="train and register the baselines on the newest snapshot")
     a = p.parse_args(argv)
     from ..session import build_session
 
     spark: SparkSession = build_session()
     began = time.time()
-    got = Runner(Tables(spark, a.source), TableStore(spark, a.store), a.mode, a.refresh_days).run(a.pipeline, a.check)
+    validate_settings({"source": a.source, "store": a.store}, ["source", "store"])
+    store = TableStore(spark, a.store)
+    got = Runner(Tables(spark, a.source), store, a.mode, a.refresh_days).run(a.pipeline, a.check)
+    if a.train:
+        from ..ml import baselines
+
+        rows = store.read("ml_training_player_match")
+        sid = rows.agg(F.max_by("snapshot_id", "snapshot_cutoff_time")).first()[0]
+        done = baselines.train_all(rows.filter(F.col("snapshot_id") == sid), a.train)
+        print(baselines.register(store, done, a.train, sid, datetime.datetime.now(), f"{a.store}/models"))
+    if a.maintain:
+        maintain(store, [*PUBLISHED, "ml_training_player_match", "ops_pipeline_runs", "ml_model_registry"])
     print(got, f"{time.time() - began:.1f} s")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from time import sleep as _sleep
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
 #: A page at an offset, as a decoded document.
 Fetch = Callable[[int], dict]
@@ -66,12 +66,55 @@ class PagedListSource(DataSource):
         return "paged_list"
 
     def schema(self) -> str:
+        """In a batch: pages by offset. In a stream: summaries by id."""
         return "page_offset long, value string"
 
+    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
+        return _ListStream(self.options)
+
     def reader(self, schema) -> DataSourceReader:
         return _PagedReader(self.options)
 
 
+def read_page(path: str, offset: int) -> str | None:
+    """A page's text; None where there is no such file."""
+    from urllib.request import urlopen
+
+    where = path.replace("{offset}", str(offset)) if "{offset}" in path else f"{path}/{offset}.json"
+    try:
+        if "://" in where:
+            with urlopen(where, timeout=30) as r:
+                text = r.read().decode()
+        else:
+            with open(where, encoding="utf-8") as r:
+                text = r.read()
+    except FileNotFoundError:
+        return None
+    json.loads(text)
+    return text
+
+
+class _ListStream(SimpleDataSourceStreamReader):
+    """Summaries by ascending id; the offset is the last id that was read, kept in the checkpoint."""
+
+    def __init__(self, options):
+        self.path, self.size, self.pages = options["path"], int(options.get("page_size", 100)), int(options.get("pages", 10))
+
+    def initialOffset(self) -> dict:
+        return {"last_id": 0}
+
+    def _new(self, last: int) -> list[dict]:
+        return collect_new(lambda o: json.loads(read_page(self.path, o) or '{"logs": []}'), self.size, last, self.pages).summaries
+
+    def read(self, start: dict):
+        got = self._new(start["last_id"])
+        last = got[-1]["id"] if got else start["last_id"]
+        return iter([(s["id"], json.dumps(s)) for s in got]), {"last_id": last}
+
+    def readBetweenOffsets(self, start: dict, end: dict):
+        return iter([(s["id"], json.dumps(s)) for s in self._new(start["last_id"]) if s["id"] <= end["last_id"]])
+
+
 class _PagedReader(DataSourceReader):
     def __init__(self, options):
         self.path, self.size = options["path"], int(options.get("page_size", 100))
@@ -81,17 +124,5 @@ class _PagedReader(DataSourceReader):
         return [InputPartition(self.start + i * self.size) for i in range(self.pages)]
 
     def read(self, partition) -> Iterator[tuple]:
-        from urllib.request import urlopen
-
-        where = self.path.replace("{offset}", str(partition.value)) if "{offset}" in self.path else f"{self.path}/{partition.value}.json"
-        try:
-            if "://" in where:
-                with urlopen(where, timeout=30) as r:
-                    text = r.read().decode()
-            else:
-                with open(where, encoding="utf-8") as r:
-                    text = r.read()
-        except FileNotFoundError:
-            return
-        json.loads(text)
-        yield partition.value, text
+        if (text := read_page(self.path, partition.value)) is not None:
+            yield partition.value, text

@@ -210,3 +210,39 @@ def test_stream_deduplicates_within_the_watermark(spark, tmp_path):
     q = I.deduplicated(s).writeStream.format("memory").queryName("dedup").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start()
     q.awaitTermination()
     assert spark.table("dedup").count() == 2
+
+
+def test_list_stream_follows_the_last_id(spark, tmp_path):
+    land = tmp_path / "pages"
+    land.mkdir()
+
+    def publish(ids):
+        ids = sorted(ids, reverse=True)
+        for o in range(0, len(ids) + 1, 2):
+            (land / f"{o}.json").write_text(json.dumps({"success": True, "results": 2, "total": len(ids), "logs": [summary(i) for i in ids[o : o + 2]]}))
+
+    def run():
+        q = spark.readStream.format("paged_list").options(path=str(land), page_size=2, pages=10).load().writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).option("path", str(tmp_path / "out")).start()
+        q.processAllAvailable()
+        q.stop()
+        return sorted(r.page_offset for r in spark.read.schema("page_offset long, value string").parquet(str(tmp_path / "out")).collect())
+
+    spark.dataSource.register(PagedListSource)
+    publish([1, 2, 3])
+    assert run() == [1, 2, 3]
+    publish([1, 2, 3, 4, 5])
+    assert run() == [1, 2, 3, 4, 5]
+
+
+def test_lineage_events(spark, tmp_path):
+    from scoreline.plans.lineage import Lineage
+
+    sent = []
+    b = I.BatchIngest(TableStore(spark, str(tmp_path)), fetcher(spark, {1: detail()}), on_event=Lineage(sent.append))
+    b.run(listed(spark, 1), NOW)
+    assert [e["eventType"] for e in sent] == ["START", "COMPLETE"] and len({e["run"]["runId"] for e in sent}) == 1
+    assert [o["name"] for o in sent[0]["outputs"]] == list(I.DATASETS) and len(sent[0]["inputs"]) == 1
+    b.fetch = lambda ids: 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        b.run(listed(spark, 2), NOW)
+    assert sent[-1]["eventType"] == "FAIL" and "division" in sent[-1]["run"]["facets"]["errorMessage"]["message"]

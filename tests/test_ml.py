@@ -149,3 +149,30 @@ def test_models_train_on_a_snapshot(spark, sf_dir):
     imp = T.permutation_importance(lambda d: M.ranking_areas(T.probability(pipe.fit(weighted).transform(d)).withColumn("y", (F.col("logid") % 2).cast("int"))).first().roc_auc or 0.0, test, ["kills"], sample=50, repeats=1)
     assert imp[0][0] == "kills"
     rows.unpersist()
+
+
+def test_baselines_are_trained_registered_and_rolled_back(spark, sf_dir, tmp_path):
+    from scoreline.ml import baselines as B
+    from scoreline.plans.store import TableStore
+
+    t = Tables(spark, sf_dir, LEXICON)
+    rows = mlops.snapshot_rows(t["features_player_match"], t["features_player_recent_form"], t["logs_base"]).limit(1500).withColumn("label_tilt", (F.col("deaths") > 20).cast("int")).persist()
+    trained = B.train_all(rows, "v1", iterations=2, min_fold=(200, 50))
+    assert [x.name for x in trained] == ["win_probability_baseline", "impact_percentile_baseline", "tilt_risk_baseline"]
+    assert all(len(x.folds) == 3 for x in trained) and trained[2].holdout["roc_auc"] > 0.9
+    store, sid = TableStore(spark, str(tmp_path / "store")), rows.first().snapshot_id
+    for v in ("v1", "v2"):
+        text = B.register(store, trained, v, sid, NOW, str(tmp_path / "models"))
+    assert "# Offline evaluation" in text and store.read("ml_model_registry").count() == 6
+    model, facts = B.load_model(str(tmp_path / "models/win_probability_baseline/v2"))
+    assert facts["snapshot_id"] == sid
+    a, b = (sorted(r.prediction for r in m.transform(rows).select("prediction").collect()) for m in (model, trained[0].model))
+    assert a == b
+    new, log = mlops.change_stage(store.read("ml_model_registry"), "tilt_risk_baseline", "v2", "production", "me", "", NOW)
+    store.overwrite("ml_model_registry", new)
+    new, _ = mlops.change_stage(store.read("ml_model_registry"), "tilt_risk_baseline", "v1", "archived", "me", "", NOW)
+    store.overwrite("ml_model_registry", new)
+    assert B.rollback(store, "tilt_risk_baseline", "me", "bad", NOW, enforce=False) == "v1"
+    got = {r.model_version: r.is_active for r in store.read("ml_model_registry").filter("model_name = 'tilt_risk_baseline'").collect()}
+    assert got == {"v1": True, "v2": False} and store.read("ml_model_stage_history").count() == 1
+    rows.unpersist()

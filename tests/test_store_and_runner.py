@@ -125,3 +125,16 @@ def test_assert_passed_reads_any_cell(spark):
     quality.assert_passed(kv(spark, (1, "PASS")))
     with pytest.raises(AssertionError):
         quality.assert_passed(kv(spark, (1, " fail ")))
+
+
+def test_maintenance_and_settings(spark, tmp_path):
+    from scoreline.plans.runner import maintain, validate_settings
+
+    s = TableStore(spark, str(tmp_path))
+    for k in range(5):
+        s.append("t", kv(spark, (k, "x")))
+    maintain(s, ["t", "absent"], keep=2)
+    assert len(s.versions("t")) == 2 and s.read("t").count() == 5
+    validate_settings({"a": "b"}, ["a"])
+    with pytest.raises(ValueError, match="b, c"):
+        validate_settings({"a": "x", "b": "<put it here>", "c": " "}, ["a", "b", "c"])
