@@ -27,9 +27,9 @@ from .base import KEY, Workspace, arrow_map, blocks, raw, row_key, table
 
 WINDOW, ANCHOR = 35, 8
 #: Distinct segments of one anchor that a shard takes; those of a more common anchor are dealt out by window.
-COMMON = 128
+COMMON = 2_000
 #: Windows that one automaton takes, a last anchor's on top.
-SHARD = 20_000
+SHARD = 8_000
 
 _MIX = np.array([0x9E3779B97F4A7C15 * (2 * j + 1) % 2**64 | 1 for j in range(64)], np.uint64)
 
@@ -104,8 +104,9 @@ def _windows(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 def locate(units: list[tuple[bytes, bytes, int]]) -> list[tuple[bytes, int]]:
     """One shard: from (digest, words, count) to (digest, mask of windows that recur).
 
-    Words become symbols, a segment a string of them. Windows that are there twice or more, counts included, are
-    the shard's recurring passages; the automaton of them finds every place where one starts.
+    Words become symbols, a segment a string of them. Windows that are there twice or more, counts included, recur;
+    runs of them, within a segment, are the shard's recurring passages. Their automaton finds every place where one
+    stands. Each segment's own runs are among them, so no window is missed, and no passage holds any other window.
     """
     import ahocorasick
 
@@ -123,18 +124,26 @@ def locate(units: list[tuple[bytes, bytes, int]]) -> list[tuple[bytes, int]]:
     for s, (_, _, n) in zip(texts, units):
         for i in range(len(s) - WINDOW + 1):
             seen[s[i : i + WINDOW]] += n
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    for s, n in seen.items():
-        if n > 1:
-            automaton.add_word(s)
-    if not len(automaton):
+    passages = set()
+    for s in texts:
+        start = None
+        for i in range(len(s) - WINDOW + 2):
+            if i <= len(s) - WINDOW and seen[s[i : i + WINDOW]] > 1:
+                start = i if start is None else start
+            elif start is not None:
+                passages.add(s[start : i - 1 + WINDOW])
+                start = None
+    if not passages:
         return []
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    for p in passages:
+        automaton.add_word(p)
     automaton.make_automaton()
     out = []
     for s, (digest, _, _) in zip(texts, units):
         mask = 0
-        for end, _ in automaton.iter(s):
-            mask |= 1 << (end - WINDOW + 1)
+        for end, length in automaton.iter(s):
+            mask |= ((1 << (length - WINDOW + 1)) - 1) << (end - length + 1)
         if mask:
             out.append((digest, mask))
     return out
@@ -184,33 +193,29 @@ def remove_repeats(docs: DataFrame, work: Workspace | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): texts without the words of windows that also start elsewhere.
 
     Scale: about one word in fourteen has an anchor, and only anchors' hashes are shuffled for all documents.
-    Texts move twice, to meet their recurring anchors and their passages. Segments of equal words are summed on
+    Texts are read four times and move twice, to meet their recurring anchors and their passages. Segments of equal words are summed on
     the map side; an anchor with very many different segments is dealt out by window, equal windows summed. An
     automaton takes about ``SHARD`` windows, so memory has a bound at any size of the corpus.
     """
     spark = docs.sparkSession
     work = work or Workspace(spark, "substrings")
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *row_key("doc_id", "text"))
-    own = work.put(arrow_map(keyed.select("text", *KEY), _anchors, "rk1 long, rk2 int, anchors array<bigint>"))
-    each = own.select(*KEY, F.explode("anchors").alias("anchor"))
-    twice = each.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    mine = each.join(twice, "anchor").groupBy(*KEY).agg(F.collect_set("anchor").alias("keep"))
+    own = arrow_map(keyed.select("text", *KEY), _anchors, "rk1 long, rk2 int, anchors array<bigint>")
+    twice = own.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    once = own.select(*KEY, F.explode(F.array_distinct("anchors")).alias("anchor"))
+    mine = once.join(twice.hint("shuffle_hash"), "anchor").groupBy(*KEY).agg(F.collect_set("anchor").alias("keep"))
     met = keyed.join(mine.hint("shuffle_hash"), KEY).select("text", *KEY, "keep")
     occ = work.put(arrow_map(met, _occurrences, "rk1 long, rk2 int, anchor long, start int, windows int, digest binary, words binary"))
-    work.drop(own)
-    many = work.put(occ.select("anchor", "digest").distinct().groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > COMMON).select("anchor"))
-
-    def distinct(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("anchor", "digest").agg(F.any_value("words").alias("words"), F.count("*").alias("n"))
-
-    dealt = distinct(occ.join(many, "anchor", "left_anti")).select("anchor", "digest", "words", "n").repartition("anchor").sortWithinPartitions("anchor")
-    found = work.put(dealt.mapInArrow(_locate_sorted, "digest binary, mask long"))
-    single = work.put(arrow_map(distinct(occ.join(many, "anchor", "left_semi")).select("digest", "words", "n"), _windows, "digest binary, k int, window binary, words binary, n long"))
+    distinct = work.put(occ.groupBy("anchor", "digest").agg(F.any_value("words").alias("words"), F.count("*").alias("n")))
+    many = distinct.groupBy("anchor").agg(F.count("*").alias("m")).filter(F.col("m") > COMMON).select("anchor")
+    dealt = distinct.join(many, "anchor", "left_anti").select("anchor", "digest", "words", "n").repartition("anchor").sortWithinPartitions("anchor")
+    found = dealt.mapInArrow(_locate_sorted, "digest binary, mask long")
+    single = arrow_map(distinct.join(many, "anchor", "left_semi").select("digest", "words", "n"), _windows, "digest binary, k int, window binary, words binary, n long")
     merged = single.groupBy("window").agg(F.any_value("words").alias("words"), F.sum("n").alias("n"))
     spread = merged.select(F.xxhash64("window").alias("anchor"), F.col("window").alias("digest"), "words", "n").repartition("digest").sortWithinPartitions("anchor")
     hot = spread.mapInArrow(_locate_sorted, "digest binary, mask long").select(F.col("digest").alias("window"))
     masks = single.select("digest", "k", "window").join(hot, "window").groupBy("digest").agg(F.expr("bit_or(shiftleft(1L, k))").alias("mask"))
-    hits = occ.select(*KEY, "start", "digest").join(found.union(masks), "digest").groupBy(*KEY).agg(F.collect_list(F.struct("start", "mask")).alias("hits"))
+    hits = occ.select(*KEY, "start", "digest").join(found.union(masks).hint("shuffle_hash"), "digest").groupBy(*KEY).agg(F.collect_list(F.struct("start", "mask")).alias("hits"))
     last = keyed.join(hits.hint("shuffle_hash"), KEY, "left").select("doc_id", "text", "hits")
     return arrow_map(last, _remove, "doc_id long, n_words long, n_removed long, kept string")
 
