@@ -27,7 +27,9 @@ from .base import arrow_map, blocks, let_workers_import, raw, table
 DIM = 1 << 20
 MOST = 12_000
 EPOCHS = 3
-ALPHA, BETA, L1, L2 = 2.0, 1.0, 6.0, 1.0
+ALPHA, BETA, L2 = 2.0, 1.0, 1.0
+#: L1 for each 1,000 rows learned from: a weight must be earned by a share of them.
+L1 = 1.0
 #: Weight of a toxic row against another: there are few of them.
 POSITIVE = 2.0
 
@@ -47,13 +49,13 @@ def indices(text: bytes, dim: int = DIM) -> np.ndarray:
 class Ftrl:
     """Binary features. A text's score is the logistic of its summed weights and a bias, which is index dim."""
 
-    def __init__(self, dim: int = DIM):
-        self.z, self.n, self.dim = np.zeros(dim + 1), np.zeros(dim + 1), dim
+    def __init__(self, dim: int = DIM, l1: float = L1):
+        self.z, self.n, self.dim, self.l1 = np.zeros(dim + 1), np.zeros(dim + 1), dim, l1
 
     def weights(self, i: np.ndarray) -> np.ndarray:
         z, n = self.z[i], self.n[i]
-        w = -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2)
-        return np.where(np.abs(z) <= L1, 0.0, w)
+        w = -(z - np.sign(z) * self.l1) / ((BETA + np.sqrt(n)) / ALPHA + L2)
+        return np.where(np.abs(z) <= self.l1, 0.0, w)
 
     def learn(self, i: np.ndarray, y: int) -> None:
         i = np.append(i, self.dim)
@@ -87,7 +89,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST, epochs: int = EPOC
 
     rows = arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y"), run, "doc_id long, y int, x binary")
     got = sorted(rows.toLocalIterator(), key=lambda r: (xxhash.xxh64_intdigest(str(r.doc_id)), r.doc_id, r.y, r.x))
-    model = Ftrl()
+    model = Ftrl(l1=L1 * (1 + len(got) / 1000))
     data = [(np.frombuffer(r.x, "<u4").astype(np.int64), r.y) for r in got]
     rng = np.random.default_rng(3)
     for _ in range(epochs):
