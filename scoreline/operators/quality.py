@@ -1,4 +1,7 @@
-"""Quality and readiness packs: lists of checks, each a row with PASS or FAIL."""
+"""Quality and readiness packs: lists of checks, each a row with PASS or FAIL.
+
+Fixed values: the checks' names, thresholds and texts, which readers of the packs match on.
+"""
 
 from __future__ import annotations
 
