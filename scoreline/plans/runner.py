@@ -25,6 +25,15 @@ def _days_since(day: datetime.date) -> F.Column:
     return F.col("match_date") >= F.lit(day)
 
 
+#: Tables are kept by month: what a window does not touch is neither read nor written.
+MONTH, TIME_MONTH = "date_format(match_date, 'yyyy-MM')", "date_format(match_time, 'yyyy-MM')"
+
+
+def _from(day: datetime.date) -> Callable[[str], bool]:
+    """Months that hold the day or later ones; rows without a date are always looked at."""
+    return lambda month: month == "none" or month >= f"{day:%Y-%m}"
+
+
 class Runner:
     """Publishes tables of ``tables`` into ``store``. Each step reads what earlier steps have published."""
 
@@ -43,33 +52,49 @@ class Runner:
         self.t.replace(name, self.store.read(name))
         return self.t[name].count()
 
+    def _bound(self, df: DataFrame, col: str) -> datetime.date:
+        """Where the window of an incremental run begins."""
+        top = refresh_bound(df, col, self.days)
+        return top.date() if isinstance(top, datetime.datetime) else top
+
     def bases(self) -> int:
-        """The deduplicated bases are read by several steps; they are written once a run."""
-        return sum(self._publish(n, lambda n=n: self.store.overwrite(n, self.t[n])) for n in ("logs_base", "summaries_base", "messages_base"))
+        """Deduplicated bases, written once a run as several steps read them. An incremental run deduplicates only
+        deliveries of matches within the window, and rewrites only the months that it touches."""
+        names = ("logs_base", "summaries_base", "messages_base")
+        if any(self._full(n) for n in names):
+            by = {"messages_base": None}
+            return sum(self._publish(n, lambda n=n: self.store.overwrite(n, self.t[n], by.get(n, TIME_MONTH))) for n in names)
+        day = self._bound(self.t["logs"], "match_time")
+        fresh = F.to_date("match_time") >= F.lit(day)
+        made = {"logs_base": features.logs_base(self.t["logs"].filter(fresh)), "summaries_base": features.summaries_base(self.t["summaries"].filter(fresh))}
+        n = sum(self._publish(k, lambda k=k: self.store.replace_where(k, made[k], fresh, TIME_MONTH, _from(day))) for k in made)
+        matches = self.t["logs_base"].filter(fresh).select("logid")
+        chat = features.messages_base(self.t["messages"].join(matches, "logid", "left_semi"))
+        return n + self._publish("messages_base", lambda: self.store.replace_keys("messages_base", chat, ["logid"], matches))
 
     def features_player_match(self) -> int:
         name = "features_player_match"
         s, logs, m = (self.t[n] for n in ("summaries_base", "logs_base", "messages_base"))
         if self._full(name):
-            return self._publish(name, lambda: self.store.overwrite(name, features.player_match(s, logs, m, self.t.scorer)))
-        bound = refresh_bound(s, "match_time", self.days)
-        bound = bound.date() if isinstance(bound, datetime.datetime) else bound
-        changed = s.filter(F.to_date("match_time") >= F.lit(bound)).select("logid").distinct()
-        new = features.player_match(s, logs, m, self.t.scorer, changed)
-        return self._publish(name, lambda: self.store.replace_keys(name, new, ["logid"], changed))
+            return self._publish(name, lambda: self.store.overwrite(name, features.player_match(s, logs, m, self.t.scorer), MONTH))
+        day = self._bound(s, "match_time")
+        fresh = F.to_date("match_time") >= F.lit(day)
+        changed = s.filter(fresh).select("logid").distinct()
+        new = features.player_match(s.filter(fresh), logs.filter(fresh), m.join(changed, "logid", "left_semi"), self.t.scorer)
+        return self._publish(name, lambda: self.store.replace_keys(name, new, ["logid"], changed, MONTH, _from(day)))
 
     def _players(self) -> DataFrame:
         rows = self.t["features_player_match"]
         return rows.filter(_days_since(refresh_bound(rows, "match_date", self.days))).select("steamid").distinct()
 
-    def _by_player(self, name: str, make: Callable[[DataFrame | None], DataFrame]) -> int:
+    def _by_player(self, name: str, make: Callable[[DataFrame | None], DataFrame], by: str | None = None) -> int:
         if self._full(name):
-            return self._publish(name, lambda: self.store.overwrite(name, make(None)))
+            return self._publish(name, lambda: self.store.overwrite(name, make(None), by))
         who = self._players()
-        return self._publish(name, lambda: self.store.replace_keys(name, make(who), ["steamid"], who))
+        return self._publish(name, lambda: self.store.replace_keys(name, make(who), ["steamid"], who, by))
 
     def features_player_recent_form(self) -> int:
-        return self._by_player("features_player_recent_form", lambda who: features.recent_form(self.t["features_player_match"], who))
+        return self._by_player("features_player_recent_form", lambda who: features.recent_form(self.t["features_player_match"], who), MONTH)
 
     def serving_player_profiles(self) -> int:
         return self._by_player("serving_player_profiles", lambda who: serving.player_profiles(self.t["features_player_match"], self.t["features_player_recent_form"], who))
@@ -78,13 +103,13 @@ class Runner:
         name = "serving_map_overview_daily"
         logs, s, f = (self.t[n] for n in ("logs_base", "summaries_base", "features_player_match"))
         if self._full(name):
-            return self._publish(name, lambda: self.store.overwrite(name, serving.map_overview_daily(logs, s, f)))
+            return self._publish(name, lambda: self.store.overwrite(name, serving.map_overview_daily(logs, s, f), MONTH))
         day = refresh_bound(logs.select(F.to_date("match_time").alias("d")), "d", self.days)
-        return self._publish(name, lambda: self.store.replace_where(name, serving.map_overview_daily(logs, s, f, day), _days_since(day)))
+        return self._publish(name, lambda: self.store.replace_where(name, serving.map_overview_daily(logs, s, f, day), _days_since(day), MONTH, _from(day)))
 
     def serving_player_match_deep_dive(self) -> int:
         """Rows of changed players are all refreshed: their career averages have moved."""
-        return self._by_player("serving_player_match_deep_dive", lambda who: self._deep(who))
+        return self._by_player("serving_player_match_deep_dive", lambda who: self._deep(who), MONTH)
 
     def _deep(self, who: DataFrame | None) -> DataFrame:
         f, form = self.t["features_player_match"], self.t["features_player_recent_form"]

@@ -28,28 +28,32 @@ def retry_on_conflict(action: Callable[[], None], attempts: int = 3, delay: floa
             sleep(delay * k)
 
 
+Parts = Callable[[str], bool]
+
+
 class TableStore:
+    """A version names its files by part, the value of ``part`` for the rows in it (one part without). A write that
+    touches some parts takes over the others' files as they are, so its cost follows what has changed."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self._jvm = spark.sparkContext._jvm
         self._path = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _read(self, path: str) -> str | None:
-        p = self._path(path)
-        if not self._fs.exists(p):
-            return None
-        with_in = self._fs.open(p)
+    def _read(self, path: str) -> str:
+        opened = self._fs.open(self._path(path))
         try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(with_in, "UTF-8")
+            return self._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
         finally:
-            with_in.close()
+            opened.close()
+
+    def _names(self, path: str) -> list[str]:
+        p = self._path(path)
+        return [s.getPath().getName() for s in self._fs.listStatus(p)] if self._fs.exists(p) else []
 
     def versions(self, name: str) -> list[int]:
-        p = self._path(f"{self.root}/{name}")
-        if not self._fs.exists(p):
-            return []
-        return sorted(int(s.getPath().getName()[8:-5]) for s in self._fs.listStatus(p) if s.getPath().getName().startswith("pointer-"))
+        return sorted(int(n[8:-5]) for n in self._names(f"{self.root}/{name}") if n.startswith("pointer-") and n.endswith(".json"))
 
     def exists(self, name: str) -> bool:
         return bool(self.versions(name))
@@ -57,75 +61,91 @@ class TableStore:
     def _pointer(self, name: str, version: int) -> dict:
         return json.loads(self._read(f"{self.root}/{name}/pointer-{version}.json"))
 
-    def read(self, name: str, version: int | None = None) -> DataFrame:
-        version = version or self.versions(name)[-1]
-        at = self._pointer(name, version)
-        return self.spark.read.schema(at["schema"]).parquet(*at["paths"])
+    def parts(self, name: str) -> list[str]:
+        return sorted(self._pointer(name, self.versions(name)[-1])["parts"])
+
+    def read(self, name: str, version: int | None = None, parts: Parts | None = None) -> DataFrame:
+        """All rows of a version, the last by default, or those of some parts."""
+        at = self._pointer(name, version or self.versions(name)[-1])
+        paths = [p for k, ps in at["parts"].items() if parts is None or parts(k) for p in ps]
+        if not paths:
+            return self.spark.createDataFrame([], at["schema"])
+        return self.spark.read.schema(at["schema"]).parquet(*paths)
 
-    def _commit(self, name: str, version: int, paths: list[str], schema: str) -> None:
+    def _commit(self, name: str, version: int, parts: dict[str, list[str]], schema: str, by: str | None) -> int:
         """Creating the pointer file is the commit; of two writers of one version only one can create it."""
         try:
             out = self._fs.create(self._path(f"{self.root}/{name}/pointer-{version}.json"), False)
         except Exception as e:
             raise Conflict(f"{name}: version {version} is taken") from e
-        out.write(bytearray(json.dumps({"paths": paths, "schema": schema}).encode()))
+        out.write(bytearray(json.dumps({"parts": parts, "schema": schema, "by": by}).encode()))
         out.close()
+        return version
 
-    def _next(self, name: str) -> int:
-        return (self.versions(name) or [0])[-1] + 1
-
-    def overwrite(self, name: str, df: DataFrame, partition_by: list[str] | None = None, base: int | None = None) -> int:
-        """A new version of exactly these rows."""
-        version = base + 1 if base is not None else self._next(name)
+    def _write(self, name: str, version: int, df: DataFrame, by: str | None) -> dict[str, list[str]]:
+        """Files of the rows by part. ``by`` is an expression over the columns; its value only names the folder."""
         path = f"{self.root}/{name}/data-{version}-{time.time_ns()}"
-        out = df.write
-        (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
-        self._commit(name, version, [path], self._ddl(df))
-        return version
+        if by is None:
+            df.write.parquet(path)
+            return {"all": [path]}
+        df.withColumn("_part", F.coalesce(F.expr(by).cast("string"), F.lit("none"))).write.partitionBy("_part").parquet(path)
+        return {n[6:]: [f"{path}/{n}"] for n in self._names(path) if n.startswith("_part=")}
 
     @staticmethod
     def _ddl(df: DataFrame) -> str:
         return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
+    def overwrite(self, name: str, df: DataFrame, by: str | None = None, base: int | None = None) -> int:
+        """A new version of exactly these rows."""
+        version = (base if base is not None else (self.versions(name) or [0])[-1]) + 1
+        return self._commit(name, version, self._write(name, version, df, by), self._ddl(df), by)
+
     def append(self, name: str, df: DataFrame) -> int:
         if not self.exists(name):
             return self.overwrite(name, df)
         last = self.versions(name)[-1]
         at = self._pointer(name, last)
-        path = f"{self.root}/{name}/data-{last + 1}-{time.time_ns()}"
-        df.select(*self.read(name).columns).write.parquet(path)
-        self._commit(name, last + 1, [*at["paths"], path], at["schema"])
-        return last + 1
+        new = self._write(name, last + 1, df.select(*self.read(name, last).columns), at["by"])
+        return self._commit(name, last + 1, {k: at["parts"].get(k, []) + new.get(k, []) for k in {*at["parts"], *new}}, at["schema"], at["by"])
 
-    def replace_keys(self, name: str, new: DataFrame, keys: list[str], gone: DataFrame | None = None) -> int:
-        """Rows of the keys of ``gone`` (by default those of ``new``) go, the new rows come, in one version."""
+    def _replace(self, name: str, new: DataFrame, stay: Callable[[DataFrame], DataFrame], by: str | None, parts: Parts | None) -> int:
+        """In the parts touched, what ``stay`` keeps of the old rows, and the new rows; the other parts as they are."""
         if not self.exists(name):
-            return self.overwrite(name, new)
+            return self.overwrite(name, new, by)
         last = self.versions(name)[-1]
-        old = self.read(name, last).join((gone if gone is not None else new).select(*keys).distinct(), keys, "left_anti")
-        return self.overwrite(name, old.unionByName(new.select(*old.columns)), base=last)
-
-    def replace_where(self, name: str, new: DataFrame, where: Column) -> int:
+        at = self._pointer(name, last)
+        touched = {k for k in at["parts"] if parts is None or parts(k)}
+        old = self.read(name, last, lambda k: k in touched)
+        made = self._write(name, last + 1, stay(old).unionByName(new.select(*old.columns)), at["by"])
+        kept = {k: ps for k, ps in at["parts"].items() if k not in touched}
+        return self._commit(name, last + 1, {k: kept.get(k, []) + made.get(k, []) for k in {*kept, *made}}, at["schema"], at["by"])
+
+    def replace_keys(self, name: str, new: DataFrame, keys: list[str], gone: DataFrame | None = None, by: str | None = None, parts: Parts | None = None) -> int:
+        """Rows of the keys of ``gone`` (by default those of ``new``) go, the new rows come, in one version. ``parts``
+        says where old rows of these keys can be."""
+        out = (gone if gone is not None else new).select(*keys).distinct()
+        return self._replace(name, new, lambda old: old.join(out, keys, "left_anti"), by, parts)
+
+    def replace_where(self, name: str, new: DataFrame, where: Column, by: str | None = None, parts: Parts | None = None) -> int:
         """Rows for which ``where`` holds go, the new rows come."""
-        if not self.exists(name):
-            return self.overwrite(name, new)
-        last = self.versions(name)[-1]
-        old = self.read(name, last).filter(~F.coalesce(where, F.lit(False)))
-        return self.overwrite(name, old.unionByName(new.select(*old.columns)), base=last)
+        return self._replace(name, new, lambda old: old.filter(~F.coalesce(where, F.lit(False))), by, parts)
 
     def compact(self, name: str, files: int = 1) -> int:
         last = self.versions(name)[-1]
-        return self.overwrite(name, self.read(name, last).coalesce(files), base=last)
+        return self.overwrite(name, self.read(name, last).coalesce(files), self._pointer(name, last)["by"], last)
 
     def expire(self, name: str, keep: int = 1) -> None:
         """Drops all but the last ``keep`` versions and the files that none of those names."""
         all_ = self.versions(name)
         stay = set(all_[-keep:])
-        used = {p.rsplit("/", 1)[1] for v in stay for p in self._pointer(name, v)["paths"]}
+        used = {p for v in stay for ps in self._pointer(name, v)["parts"].values() for p in ps}
         for v in all_:
             if v not in stay:
                 self._fs.delete(self._path(f"{self.root}/{name}/pointer-{v}.json"), False)
-        for s in self._fs.listStatus(self._path(f"{self.root}/{name}")):
-            n = s.getPath().getName()
-            if n.startswith("data-") and n not in used:
-                self._fs.delete(s.getPath(), True)
+        for n in self._names(f"{self.root}/{name}"):
+            top = f"{self.root}/{name}/{n}"
+            if not n.startswith("data-") or top in used:
+                continue
+            inner = [f"{top}/{x}" for x in self._names(top) if x.startswith("_part=")]
+            for gone in [p for p in inner if p not in used] if any(p in used for p in inner) else [top]:
+                self._fs.delete(self._path(gone), True)

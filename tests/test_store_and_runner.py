@@ -138,3 +138,36 @@ def test_maintenance_and_settings(spark, tmp_path):
     validate_settings({"a": "b"}, ["a"])
     with pytest.raises(ValueError, match="b, c"):
         validate_settings({"a": "x", "b": "<put it here>", "c": " "}, ["a", "b", "c"])
+
+
+def test_parts_that_are_not_touched_keep_their_files(spark, tmp_path):
+    s = TableStore(spark, str(tmp_path))
+    s.overwrite("t", kv(spark, (1, "a"), (1, "b"), (2, "c"), (None, "d")), by="k")
+    assert s.parts("t") == ["1", "2", "none"]
+    before = s._pointer("t", 1)["parts"]
+    s.replace_where("t", kv(spark, (2, "C"), (3, "e")), F.col("k") >= 2, parts=lambda p: p != "none" and int(p) >= 2)
+    after = s._pointer("t", 2)["parts"]
+    assert after["1"] == before["1"] and after["none"] == before["none"] and after["2"] != before["2"]
+    assert sorted((r.k or 0, r.v) for r in s.read("t").collect()) == [(0, "d"), (1, "a"), (1, "b"), (2, "C"), (3, "e")]
+    s.replace_keys("t", kv(spark, (1, "z")), ["k"], parts=lambda p: p == "1")
+    s.append("t", kv(spark, (1, "y")))
+    assert sorted(r.v for r in s.read("t", parts=lambda p: p == "1").collect()) == ["y", "z"]
+    s.expire("t")
+    assert sorted(r.v for r in s.read("t").collect()) == ["C", "d", "e", "y", "z"]
+
+
+def test_incremental_bases_follow_new_deliveries(spark, sf_dir, tmp_path):
+    """Deliveries that come later are taken up, and months outside of the window are left alone."""
+    store, t = TableStore(spark, str(tmp_path)), Tables(spark, sf_dir, LEXICON)
+    cut = dt.datetime(2001, 6, 1)
+    early = Tables(spark, sf_dir, LEXICON)
+    early.replace("logs", t["logs"].filter(F.col("match_time") < F.lit(cut)))
+    early.replace("summaries", t["summaries"].filter(F.col("match_time") < F.lit(cut)))
+    Runner(early, store, FULL).bases()
+    before = store._pointer("summaries_base", 1)["parts"]
+    Runner(t, store, INCREMENTAL, refresh_days=90).bases()
+    after = store._pointer("summaries_base", 2)["parts"]
+    assert after["1999-01"] == before["1999-01"] and "2001-07" in after
+    want = Tables(spark, sf_dir, LEXICON)
+    for n in ("logs_base", "summaries_base", "messages_base"):
+        assert canonical(store.read(n).toPandas()) == canonical(want[n].toPandas()), n
