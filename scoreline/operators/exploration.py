@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.chat import EXPLORATION_LEXICON, chat_counts, lexicon_scorer
 from ..functions.core import ratio, rnd, share, times, won, zero
-from .features import with_shares
+from .features import with_chat, with_shares
 
 ZEROED = {"kills": "kills", "assists": "assists", "deaths": "deaths", "damagedealt": "damage_dealt", "healingdone": "healing_done", "ubersused": "ubers_used"}
 
@@ -216,7 +216,7 @@ def relative_impact(summaries: DataFrame, player: str, top: int = 200) -> DataFr
 
 def sentiment_export(summaries: DataFrame, logs: DataFrame, messages: DataFrame, lexicon: str = EXPLORATION_LEXICON) -> DataFrame:
     chat = chat_counts(messages, lexicon_scorer(lexicon), lower=True)
-    rows = summaries.join(chat, ["logid", "steamid"], "left").join(logs.select("logid", "redscore", "bluescore"), "logid", "left")
+    rows = with_chat(summaries.join(logs.select("logid", "redscore", "bluescore"), "logid", "left"), chat)
     hits, n = zero("negative_lexicon_hits"), zero("chat_messages")
     return rows.select(
         "steamid", "logid", "match_time", "map", "team", *_measures(),

@@ -13,9 +13,9 @@ SIDES = ("Red", "Blue")
 
 def logs_base(logs: DataFrame) -> DataFrame:
     """One row per match: of each delivery's record the newest, then of each match. A record id names its match, so
-    both ranks work on one partitioning by match."""
+    both ranks work on one partitioning by match, and what joins by match later finds it."""
     order = [F.desc("__ingest_ts"), F.desc("match_time"), F.desc("recordid")]
-    return latest_by(latest_by(logs, ["logid", "recordid"], order), ["logid"], order)
+    return latest_by(latest_by(logs.repartition("logid"), ["logid", "recordid"], order), ["logid"], order)
 
 
 def summaries_base(summaries: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def summaries_base(summaries: DataFrame) -> DataFrame:
 
 
 def messages_base(messages: DataFrame) -> DataFrame:
-    return latest_by(messages, ["logid", "recordid"], [F.desc("__ingest_ts"), F.desc("steamid"), F.desc("message")])
+    return latest_by(messages.repartition("logid"), ["logid", "recordid"], [F.desc("__ingest_ts"), F.desc("steamid"), F.desc("message")])
 
 
 def class_count(csv: str) -> F.Column:
@@ -46,13 +46,21 @@ def with_shares(rows: DataFrame) -> DataFrame:
     )
 
 
+def with_chat(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Adds each player's chat counts. They come as a map by player for each match, no longer than its players: joined
+    by match alone, they leave the player rows where they are."""
+    each = F.struct("steamid", F.struct(*[c for c in counts.columns if c not in ("logid", "steamid")]).alias("v"))
+    by_match = counts.groupBy("logid").agg(F.map_from_entries(F.collect_list(each)).alias("_chat"))
+    return rows.join(by_match, "logid", "left").select("*", F.col("_chat")[F.col("steamid")].alias("_c")).select("*", "_c.*").drop("_chat", "_c")
+
+
 def player_match(summaries: DataFrame, logs: DataFrame, messages: DataFrame, scorer: Scorer, changed: DataFrame | None = None) -> DataFrame:
     """One row per match and player, from deduplicated bases. ``changed`` limits it to some matches."""
     if changed is not None:
         summaries = summaries.join(changed.select("logid").distinct(), "logid", "left_semi")
         messages = messages.join(changed.select("logid").distinct(), "logid", "left_semi")
     game = logs.select("logid", "durationseconds", "redscore", "bluescore")
-    rows = with_shares(summaries).join(game, "logid", "left").join(chat_counts(messages, scorer), ["logid", "steamid"], "left")
+    rows = with_chat(with_shares(summaries).join(game, "logid", "left"), chat_counts(messages, scorer))
     hits, chat = zero("negative_lexicon_hits"), zero("chat_messages")
     return rows.select(
         "logid",
