@@ -9,8 +9,7 @@ from .base import Workspace
 
 
 def _state(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") / 1024), F.bit_xor(F.xxhash64("a", "b"))).first()
-    return r[0], r[2]
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

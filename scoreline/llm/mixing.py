@@ -12,8 +12,6 @@ without words has target 0; columns other than those named are ignored.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession

@@ -13,7 +13,6 @@ null doc_id is scored and never held out; an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np

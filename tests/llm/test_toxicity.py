@@ -1,7 +1,6 @@
 import zlib
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from scoreline.llm import toxicity as X
