@@ -21,7 +21,7 @@ OTHER, MISSING = "__OTHER__", "__MISSING__"
 FOLDS = (("fold_60_10", 0.6, 0.1), ("fold_70_10", 0.7, 0.1), ("fold_80_20", 0.8, 0.2))
 
 
-def numbered(df: DataFrame, bucket: int = 1000) -> DataFrame:
+def numbered(df: DataFrame) -> DataFrame:
     """``_at``: the place of each row by time, from 0. Rows are counted per day first and ranked within their day, so
     that no single task sorts everything."""
     day = F.to_date("match_time")
