@@ -246,3 +246,26 @@ def test_lineage_events(spark, tmp_path):
     with pytest.raises(ZeroDivisionError):
         b.run(listed(spark, 2), NOW)
     assert sent[-1]["eventType"] == "FAIL" and "division" in sent[-1]["run"]["facets"]["errorMessage"]["message"]
+
+
+def test_control(spark, tmp_path):
+    from scoreline.streaming import control as C
+
+    land, parts = tmp_path / "pages", tmp_path / "details"
+    land.mkdir()
+    parts.mkdir()
+    ids = list(range(9, 0, -1))
+    for o in range(0, 10, 2):
+        (land / f"{o}.json").write_text(json.dumps({"logs": [summary(i) for i in ids[o : o + 2]]}))
+    for i in ids[1:]:
+        (parts / f"{i}.json").write_text(json.dumps(detail()))
+    fetch = C.pages_of(str(land))
+    store = TableStore(spark, str(tmp_path / "a"))
+    b = I.BatchIngest(store, C.details_of(spark, str(parts)))
+    assert C.tick(b, fetch, 2, NOW, 1, dry_run=True).new == 9 and C.health(store, NOW)["last_id"] == 0
+    got = C.tick(b, fetch, 2, NOW, 1)  # a backlog of five pages, one page a step: no gap
+    assert got.emitted["logs"] == 8 and got.failed == 1 and store.read("logs").count() == 8
+    assert store.read("ingest_failures").first().last_error == "no detail found" and C.health(store, NOW) == {"ok": True, "last_id": 8, "updated_at": NOW.isoformat(), "failed": 1}
+    other = I.BatchIngest(TableStore(spark, str(tmp_path / "b")), C.details_of(spark, str(parts)))
+    steps = C.full_history(other, fetch, 2, NOW, 0, 2)
+    assert len(steps) == 3 and sum(s.emitted["logs"] for s in steps) == 8
