@@ -187,7 +187,6 @@ def pseudonymise(text: str, key: bytes = KEY) -> tuple[str, dict[str, int]]:
     found: dict[str, int] = {}
 
     def swap(m: re.Match) -> str:
-        kind = m.lastgroup
         kind = next(k for k in KINDS if m[k] is not None)
         new = pseudonym(kind, m[0], key)
         n = 1
