@@ -83,12 +83,14 @@ class TableStore:
         return version
 
     def _write(self, name: str, version: int, df: DataFrame, by: str | None) -> dict[str, list[str]]:
-        """Files of the rows by part. ``by`` is an expression over the columns; its value only names the folder."""
+        """Files of the rows by part. ``by`` is an expression over the columns; its value only names the folder. Rows of
+        a part are brought together first, and AQE splits large parts, so that a part is few files of a good size."""
         path = f"{self.root}/{name}/data-{version}-{time.time_ns()}"
         if by is None:
             df.write.parquet(path)
             return {"all": [path]}
-        df.withColumn("_part", F.coalesce(F.expr(by).cast("string"), F.lit("none"))).write.partitionBy("_part").parquet(path)
+        parted = df.withColumn("_part", F.coalesce(F.expr(by).cast("string"), F.lit("none")))
+        parted.hint("rebalance", "_part").write.partitionBy("_part").parquet(path)
         return {n[6:]: [f"{path}/{n}"] for n in self._names(path) if n.startswith("_part=")}
 
     @staticmethod
