@@ -6,6 +6,10 @@ least one partition i. Partitions may get unequal thresholds; a dynamic program
 candidate counts. Probing a partition sends a fingerprint to every value within t_i bits; all that meet are
 verified on all 64 bits.
 
+The pipeline's stage links more than op3's rule does: also all texts whose sets of 5-word shingles have a
+Jaccard similarity of 0.8 or more. Candidates share one of 24 bands of 4 minimum hashes, which a pair of
+similarity 0.8 misses with a chance of 3 in a million, and are verified on their whole shingle sets.
+
 Defined cases: a null or empty text has fingerprint zero and is linked like any other; a null doc_id never is
 a component's smallest unless all its ids are null; rows of one text are linked; an empty table gives no rows.
 """
@@ -30,6 +34,11 @@ BITS, RADIUS = 64, 3
 CHUNK = 256
 #: Cost of moving a row against verifying a candidate.
 ROW, CANDIDATE = 1.0, 0.05
+#: The stage's second link: words of a shingle, similarity in fifths, bands and minimum hashes of each.
+WORDS, FIFTHS, BANDS, DEPTH = 5, 4, 24, 4
+#: Texts of one band that meet in a task; a band of more is dealt out in pairs of chunks.
+TEXTS = 512
+_odd = np.random.default_rng(42).integers(0, 1 << 64, (3, BANDS * DEPTH), np.uint64) | np.uint64(1)
 
 
 def fingerprint(text: bytes, n: int = 3) -> int:
@@ -59,6 +68,48 @@ def fingerprints(docs: DataFrame, n: int = 3) -> DataFrame:
     return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *row_key("doc_id", "text")), run, "doc_id long, rk1 long, rk2 int, fp long")
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * _odd[2, -1]
+    return x ^ (x >> np.uint64(29))
+
+
+def shingles(text: bytes) -> np.ndarray:
+    """Sorted distinct hashes of the 5-word shingles; a text of fewer words is one shingle, one of none has none."""
+    w = text.lower().split()
+    h = np.array([xxhash.xxh64_intdigest(x, 42) for x in w], np.uint64)
+    if len(h) < WORDS:
+        h = np.r_[h, np.zeros(WORDS - len(h), np.uint64)] if len(h) else h
+    n = max(len(h) - WORDS + 1, 0)
+    x = np.zeros(n, np.uint64)
+    for i in range(WORDS):
+        x += h[i : i + n] * _odd[2, i]
+    return np.unique(_mixed(x))
+
+
+def bands(s: np.ndarray) -> np.ndarray:
+    """One key for each band of minimum hashes over a text's shingles."""
+    low = np.full(BANDS * DEPTH, ~np.uint64(0))
+    for at in range(0, len(s), 512):
+        low = np.minimum(low, ((s[at : at + 512, None] ^ _odd[0]) * _odd[1]).min(0))
+    key = (low.reshape(BANDS, DEPTH) * _odd[2, :DEPTH]).sum(1, dtype=np.uint64)
+    return _mixed(key + np.arange(BANDS, dtype=np.uint64) * _odd[2, DEPTH])
+
+
+def banded(docs: DataFrame) -> DataFrame:
+    """``fingerprints`` with txt, which stands for the words of a text, and the keys of its bands; no words, no bands."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        fp, txt, keys = [], [], []
+        for t in raw(batch, "text"):
+            s = shingles(t)
+            fp.append(_signed(fingerprint(t)))
+            txt.append(_signed(xxhash.xxh64_intdigest(b" ".join(t.lower().split()), 43)))
+            keys.append(bands(s).view(np.int64) if len(s) else [])
+        yield pa.record_batch([batch.column(0), batch.column(2), batch.column(3), pa.array(fp, pa.int64()), pa.array(txt, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", *KEY, "fp", "txt", "bands"])
+
+    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *row_key("doc_id", "text")), run, "doc_id long, rk1 long, rk2 int, fp long, txt long, bands array<long>")
+
+
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
     """Number of fingerprints, and of those with bits i and j both set; summed per task, 4,096 numbers in all."""
 
@@ -226,18 +277,88 @@ def links(fps: DataFrame, chosen: list[tuple[list[int], int]], work: Workspace,
     return work.put(dealt.mapInArrow(_edges, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, work: Workspace | None = None) -> DataFrame:
+def alike(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """(member, root) by place for the components of texts of similarity 0.8 or more, each component's frontier
+    taken out of what is left as in ``forest``."""
+    sets = [shingles(t) for t in texts]
+    size = np.array([len(s) for s in sets])
+    place = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    at = np.split(place, np.cumsum(size)[:-1])
+    mark = np.zeros(len(place), bool)
+    left = np.flatnonzero(size)
+    while len(left) > 1:
+        root, todo, left = left[0], [left[0]], left[1:]
+        while todo and len(left):
+            x = todo.pop()
+            near = left[(5 * size[left] >= FIFTHS * size[x]) & (5 * size[x] >= FIFTHS * size[left])]
+            if not len(near):
+                continue
+            mark[at[x]] = True
+            both = np.add.reduceat(mark[np.concatenate([at[i] for i in near])], np.r_[0, np.cumsum(size[near])[:-1]], dtype=np.int64)
+            mark[at[x]] = False
+            hit = near[5 * both >= FIFTHS * (size[near] + size[x] - both)]
+            todo.extend(hit)
+            for v in hit:
+                yield v, root
+            left = left[~np.isin(left, hit)]
+
+
+def _alike_edges(batches):
+    """Edges between fingerprints of texts of equal key; rows come sorted by key."""
+    last, fp, texts = None, [], []
+
+    def work():
+        pairs = [(fp[a], fp[b]) for a, b in alike(texts) if fp[a] != fp[b]] if len(texts) > 1 else []
+        return pa.record_batch([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
+
+    for batch in batches:
+        for k, f, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), raw(batch, "text")):
+            if k != last:
+                yield work()
+                last, fp, texts = k, [], []
+            fp.append(f)
+            texts.append(t)
+    yield work()
+
+
+def similar(docs: DataFrame, fps: DataFrame, work: Workspace, chunk: int = TEXTS) -> DataFrame:
+    """Edges (a, b) between fingerprints that join all texts of similarity 0.8 or more to their components.
+
+    Scale: rows of the same words are one text. Bands that hold the same texts are verified once; only texts that
+    share a band move, and a band of many is dealt out in pairs of chunks.
+    """
+    first = work.put(fps.groupBy("txt").agg(F.first("fp").alias("fp"), F.min(F.struct(*KEY)).alias("k"), F.first("bands").alias("bands")))
+    keyed = first.select("txt", F.explode("bands").alias("key"))
+    counted = keyed.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("txt", F.lit(5))).alias("x")).filter("n > 1")
+    once = counted.groupBy("n", "x").agg(F.min("key").alias("key"))
+    met = work.put(keyed.join(once.select("key", "n"), "key"))
+    some = first.join(met.select("txt").distinct(), "txt").select("txt", "fp", "k.*")
+    found = docs.select("text", *row_key("doc_id", "text")).join(some, KEY)
+    texts = work.put(found.groupBy("txt").agg(F.first("fp").alias("fp"), F.first("text").alias("text")))
+    g = F.ceil(F.col("n") / chunk).cast("int")
+    mine = F.pmod(F.xxhash64("txt", F.lit(3)), g).cast("int")
+    pairs = met.filter(F.col("n") > chunk).select("key", "txt", g.alias("g"), mine.alias("c")).select("key", "txt", "c", F.explode(F.expr("sequence(0, g - 1)")).alias("d"))
+    hot = pairs.select(F.xxhash64("key", F.least("c", "d"), F.greatest("c", "d")).alias("key"), "txt")
+    whole = met.filter(F.col("n") <= chunk).select("key", "txt")
+    dealt = whole.union(hot).join(texts, "txt").select("key", "fp", "text").repartition("key").sortWithinPartitions("key")
+    return work.put(dealt.mapInArrow(_alike_edges, "a long, b long"))
+
+
+def near_duplicates(docs: DataFrame, work: Workspace | None = None, by_words: bool = False) -> DataFrame:
     """Every row of ``docs`` with its fingerprint and component_id, the smallest doc_id reachable over links of
-    at most 3 bits, and the row's key.
+    at most 3 bits, and the row's key; ``by_words`` adds links of similarity 0.8 or more over 5-word shingles.
 
     Scale: equal fingerprints are one node, summed on the map side. A value that many fingerprints share is
     dealt out in pairs of chunks, and a task returns a forest of what it linked, never all pairs.
     """
     spark = docs.sparkSession
     work = work or Workspace(spark, "simhash")
-    fps = work.put(fingerprints(docs))
+    fps = work.put(banded(docs) if by_words else fingerprints(docs))
     nodes = work.put(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    root = components(work, links(nodes.select("fp"), plan(nodes), work))
+    edges = links(nodes.select("fp"), plan(nodes), work)
+    if by_words:
+        edges = edges.union(similar(docs, fps, work))
+    root = components(work, edges)
     named = nodes.join(root, nodes.fp == root.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
     label = work.put(named.join(ids, "root").select("fp", "component_id"))
@@ -249,8 +370,9 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component stays: that of the smallest doc_id, and of equal ids that of the smallest key."""
-    got = near_duplicates(docs)
+    """One row of each component stays: that of the smallest doc_id, and of equal ids that of the smallest key.
+    Links are those of op3 and those of similarity 0.8 or more over 5-word shingles."""
+    got = near_duplicates(docs, by_words=True)
     stay = got.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *KEY)).alias("k")).select("k.rk1", "k.rk2")
     met = docs.select(boxed(docs), *row_key("doc_id", "text")).join(stay, KEY)
     return met.selectExpr("row", "row_number() over (partition by rk1, rk2 order by row.doc_id) as _i").filter("_i = 1").select(*unboxed(docs))

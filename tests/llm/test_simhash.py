@@ -120,3 +120,44 @@ def test_stage_keeps_one_of_each_group(spark, docs):
     assert got.columns == df.columns and sorted((str(r.doc_id), r.text) for r in got.collect()) == [("1", "a b c d e"), ("3", "other words stand here now"), ("None", None)]
     assert X.simhash_stage(spark, docs((4, "q r s"), (4, "q r s")), "").count() == 1
     assert X.simhash_stage(spark, docs(), "").count() == 0
+
+
+def word_sets(rows):
+    got = {}
+    for i, t in rows:
+        w = t.lower().split()
+        got[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or {tuple(w)}
+    return got
+
+
+@pytest.mark.parametrize("chunk", [X.TEXTS, 4])
+def test_stage_takes_near_copies_by_words(spark, docs, monkeypatch, chunk):
+    """Copies with a few replaced words, of all similarities around 0.8, against all pairs by brute force."""
+    monkeypatch.setattr(X.similar, "__defaults__", (chunk,))
+    rng = np.random.default_rng(7)
+    rows = []
+    for k in range(30):
+        base = [f"w{x}" for x in rng.integers(0, 500, int(rng.integers(30, 300)))]
+        for c in range(5):
+            w = list(base)
+            for at in rng.choice(len(w), max(1, len(w) * c // 80), replace=False):
+                w[at] = f"new{k}x{c}x{at}"
+            rows.append((len(rows), " ".join(w)))
+    rows += [(900, "one two three"), (901, "One  two three"), (902, "one two four")]
+    sets, fps = word_sets(rows), {i: slow_fingerprint(t) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    missed = 0
+    for i, j in combinations(sorted(sets), 2):
+        by_words = 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])
+        if by_words or (fps[i] ^ fps[j]).bit_count() <= 3:
+            missed += by_words and (fps[i] ^ fps[j]).bit_count() > 3
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+    assert missed > 20
+    assert {r.doc_id for r in X.simhash_stage(spark, docs(*rows, clash=True), "").collect()} == {find(i) for i in root}
