@@ -76,7 +76,9 @@ def card(s: str, key: bytes) -> str | None:
     return _fill(s, new + str(luhn(new)))
 
 
-def phone(s: str, key: bytes) -> str | None:
+def phone(s: str, key: bytes, any_area: bool = False) -> str | None:
+    """``any_area``: ten digits after +1 or with a bracketed area code need no valid area code and exchange; those
+    that have none are permuted among themselves."""
     d = re.sub(r"\D", "", s)
     if s.startswith("+") and not d.startswith("1"):
         code = re.match(r"\+(\d{1,3})", s)[1]
@@ -86,10 +88,13 @@ def phone(s: str, key: bytes) -> str | None:
         return _fill(s, code + f"{permute(int(rest), 10 ** len(rest), key, 'phone' + code):0{len(rest)}}")
     head, rest = (d[0], d[1:]) if len(d) == 11 and d[0] == "1" else ("", d)
     good = lambda x: x // 10**9 >= 2 and x // 10**6 % 10 >= 2
-    if len(rest) != 10 or not good(int(rest)):
+    if len(rest) != 10:
         return None
-    new = _walk(int(rest), 10**10, key, "phone", good)
-    return _fill(s, head + str(new))
+    fits = good(int(rest))
+    if not fits and not (any_area and s[0] in "+("):
+        return None
+    new = _walk(int(rest), 10**10, key, "phone", lambda x: good(x) == fits)
+    return _fill(s, f"{head}{new:010}")
 
 
 def ip(s: str, key: bytes) -> str | None:
@@ -105,17 +110,23 @@ _DAYS = datetime.date(2100, 1, 1).toordinal() - _FROM
 
 
 def date(s: str, key: bytes) -> str | None:
-    """Year first, or year last with day and month as the separator has it: slash month first, else day first."""
+    """Year first, or year last with day and month as the separator has it: slash month first, else day first. What
+    is no date so is read in the other order, and goes to a date that can be read in that order alone."""
     a, sep, b, c = re.match(r"(\d+)(\D)(\d+)\D(\d+)", s).groups()
-    order = "ymd" if len(a) == 4 else "mdy" if sep == "/" else "dmy"
-    try:
+    orders = ["ymd"] if len(a) == 4 else ["mdy", "dmy"] if sep == "/" else ["dmy", "mdy"]
+    for order in orders:
         part = dict(zip(order, map(int, (a, b, c))))
-        n = datetime.date(part["y"], part["m"], part["d"]).toordinal() - _FROM
-    except ValueError:
+        try:
+            n = datetime.date(part["y"], part["m"], part["d"]).toordinal() - _FROM
+            break
+        except ValueError:
+            pass
+    else:
         return None
     if not 0 <= n < _DAYS:
         return None
-    new = datetime.date.fromordinal(_FROM + permute(n, _DAYS, key, "date"))
+    at = lambda x: datetime.date.fromordinal(_FROM + x)
+    new = at(_walk(n, _DAYS, key, "date", lambda x: order == orders[0] or at(x).day > 12))
     shown = {"y": f"{new.year:04}", "m": f"{new.month:02}", "d": f"{new.day:02}"}
     return sep.join(shown[k] for k in order)
 
@@ -159,18 +170,19 @@ def mail(s: str, key: bytes) -> str | None:
 _FIND = re.compile(
     r"(?P<mail>(?<![\w.+-])[A-Za-z0-9][\w.+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}\b)"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
-    r"|(?P<date>(?<![\w./-])(?:(?:19|20)\d\d([-./])\d\d?\4\d\d?|\d\d?([-./])\d\d?\5(?:19|20)\d\d)(?![\w/-]|\.\d))"
+    r"|(?P<date>(?<![\w./-])(?:(?:19|20)\d\d([-./])\d\d?\4\d\d?(?:(?=[Tt]\d\d)|(?![\w/-]|\.\d))|\d\d?([-./])\d\d?\5(?:19|20)\d\d(?![\w/-]|\.\d)))"
     r"|(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-]))"
-    r"|(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w-])(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?!\w))"
+    r"|(?P<phone>\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\w)|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\w)"
+    r"|(?<![\w-])(?:1[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[-.])\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])(?<!\d )(?:1 )?\d{3} \d{3}[ .-]\d{4}(?!\w|[ -]\d))"
     r"|(?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?!\w))"
 )
 _MAKE = {"card": card, "phone": phone, "ip": ip, "date": date, "ssn": ssn, "iban": iban, "mail": mail}
 
 
 @lru_cache(maxsize=100_000)
-def pseudonym(kind: str, value: str, key: bytes) -> str | None:
-    return _MAKE[kind](value, key)
+def pseudonym(kind: str, value: str, key: bytes, any_area: bool = False) -> str | None:
+    return phone(value, key, any_area) if kind == "phone" else _MAKE[kind](value, key)
 
 
 def _numbers(run: str, key: bytes) -> tuple[str, int]:
@@ -183,12 +195,12 @@ def _numbers(run: str, key: bytes) -> tuple[str, int]:
     return "".join(groups), n
 
 
-def pseudonymise(text: str, key: bytes = KEY) -> tuple[str, dict[str, int]]:
+def pseudonymise(text: str, key: bytes = KEY, any_area: bool = False) -> tuple[str, dict[str, int]]:
     found: dict[str, int] = {}
 
     def swap(m: re.Match) -> str:
         kind = next(k for k in KINDS if m[k] is not None)
-        new = pseudonym(kind, m[0], key)
+        new = pseudonym(kind, m[0], key, any_area)
         n = 1
         if new is None and kind in ("card", "phone"):
             new, n = _numbers(m[0], key)
@@ -206,7 +218,7 @@ def pseudonymise_documents(docs: DataFrame, key: bytes = KEY) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for b in blocks(batch, 512):
-            got = [(None, {}) if t is None else pseudonymise(t, key) for t in b.column(1).to_pylist()]
+            got = [(None, {}) if t is None else pseudonymise(t, key, any_area=True) for t in b.column(1).to_pylist()]
             counts = [pa.array([f.get(k, 0) for _, f in got], pa.int64()) for k in KINDS]
             yield pa.record_batch([b.column(0), pa.array([t for t, _ in got], pa.string()), pa.array([sum(f.values()) for _, f in got], pa.int64()), *counts], ["doc_id", "text", "n_found", *(f"n_{k}" for k in KINDS)])
 

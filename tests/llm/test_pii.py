@@ -81,3 +81,40 @@ def test_nothing_private_is_left(spark):
         assert not [s for s in seen if s in r.text], r.doc_id
         assert len(r.text.split()) == len(t.split())
     assert n > 20
+
+
+def test_planted_values_go(spark, docs):
+    """Values written down here, not by the operator's patterns, each alone in a document's prose."""
+    phones = ["+1 (017) 555-7713", "+1 (132) 555-1352", "+1 (987) 155-0001", "+1 087-555-7209", "(415) 555 2671", "(415)555-2671", "415 555 2671", "415-555-2671", "1-415-555-2671", "1 (415) 555-2671", "+14155552671", "+33 1 23 45 67 89"]
+    dates = ["25/12/2020", "12-25-2020", "31/01/1999", "13.10.2001", "12/25/2020", "2020-12-25", "12.25.2020"]
+    planted = [*phones, *dates]
+    got = {r.doc_id: r for r in X.pseudonymise_documents(docs(*((i, f"le {v} est") for i, v in enumerate(planted)))).collect()}
+    for i, v in enumerate(planted):
+        new = got[i].text
+        assert v not in new and got[i].n_found == 1, v
+        assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", f"le {v} est"), v
+    assert len({got[i].text for i in range(len(planted))}) == len(planted)
+    timed = "1984-02-29T10:00"
+    assert X.pseudonymise(timed, K)[0][-6:] == "T10:00" and X.pseudonymise(timed, K)[0][:10] == X.pseudonymise("1984-02-29", K)[0]
+
+
+def test_phone_before_an_address():
+    new, found = X.pseudonymise("Des +1 (826) 555-4081 190.137.12.9 et", K)
+    assert found == {"phone": 1, "ip": 1} and "190.137.12.9" not in new and "555-4081" not in new
+
+
+def test_other_order_keeps_values_apart():
+    days = [datetime.date(2000, 1, 1) + datetime.timedelta(k) for k in range(0, 3000)]
+    shown = {f"{d.month:02}/{d.day:02}/{d.year}" for d in days} | {f"{d.day:02}/{d.month:02}/{d.year}" for d in days}
+    assert len({X.date(v, K) for v in shown}) == len(shown)
+    assert len({X.phone(f"+1 ({a:03}) {b:03}-1234", K, any_area=True) for a in range(0, 1000, 37) for b in range(0, 1000, 41)}) == 28 * 25
+
+
+def test_no_planted_phone_is_left(spark):
+    """All '+1' numbers of the table, whatever their area code."""
+    d = "/root/testdata/sf0.01"
+    old = {r.doc_id: r.text for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()}
+    seen = {i: re.findall(r"[+]1 [(]\d+[)] \d+-\d+", t or "") for i, t in old.items()}
+    assert any(re.match(r"[+]1 [(][01]", v) for vs in seen.values() for v in vs)
+    for r in X.op9_pii(spark, d).collect():
+        assert not [v for v in seen[r.doc_id] if v in r.text], r.doc_id
