@@ -96,11 +96,12 @@ def _hashes(docs: DataFrame, batches: int) -> DataFrame:
     return arrow_map(docs.select("text", *row_key("doc_id", "text"), batch), run, "rk1 long, rk2 int, batch int, hs array<binary>")
 
 
-def drop_frequent(docs: DataFrame, threshold: int = 10, batches: int = 3, work: Workspace | None = None) -> DataFrame:
+def drop_frequent(docs: DataFrame, threshold: int = 10, batches: int = 4, work: Workspace | None = None, fanout: int = 2) -> DataFrame:
     """A struct ``row`` of the columns of ``docs`` but the text, with ``kept`` (the text without frequent lines),
     ``n_lines`` and ``n_dropped``.
 
-    Lines whose key is found in ``threshold`` or more documents go from all of them.
+    Lines whose key is found in ``threshold`` or more documents go from all of them. With more batches than
+    ``fanout`` the later ones meet the frequent runs of the earlier ones.
 
     Scale: only 16-byte hashes are shuffled to count lines, summed on the map side first. Whole texts move once,
     to meet the list of their own frequent hashes. Frequent lines are joined, never broadcast on trust.
@@ -108,7 +109,7 @@ def drop_frequent(docs: DataFrame, threshold: int = 10, batches: int = 3, work:
     spark = docs.sparkSession
     work = work or Workspace(spark, "lines")
     held = work.put(_hashes(docs, batches), partition_by="batch")
-    runs = LineRuns(work, threshold)
+    runs = LineRuns(work, threshold, fanout)
     for i in range(batches):
         runs.add(held.filter(F.col("batch") == i).select(F.explode("hs").alias("h")))
     gone = work.put(runs.finish())

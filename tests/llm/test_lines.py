@@ -75,3 +75,13 @@ def test_query(spark, docs, table_dir):
     for d, n, m, kept in brute(rows, 10):
         r = got[int(d)]
         assert (r.n_lines, r.n_dropped, r.kept_sha256) == (n, m, hashlib.sha256(kept.encode()).hexdigest())
+
+
+def test_later_batches_meet_frequent_runs(spark, docs, monkeypatch):
+    """At the defaults, what is frequent after compaction is anti-joined from the batches that follow."""
+    met, plain = [], X.LineRuns.without
+    monkeypatch.setattr(X.LineRuns, "without", lambda self, h, runs: met.append([r.count() for r in runs]) or plain(self, h, runs))
+    rows = [(i, f"common\nonly {i}\nshared {i % 12}") for i in range(120)]
+    got = {r.doc_id: r.kept for r in X.drop_frequent(docs(*rows)).select("row.doc_id", "kept").collect()}
+    assert any(sum(n) for n in met)
+    assert got == {i: f"only {i}" for i, _ in rows}
