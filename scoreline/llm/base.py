@@ -71,19 +71,25 @@ class Workspace:
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
         atexit.register(self._clean)
 
-    def put(self, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    def path(self) -> str:
         self.n += 1
-        path = f"{self.root}/{self.n}"
+        return f"{self.root}/{self.n}"
+
+    def put(self, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+        path = self.path()
         out = df.write.option("compression", "zstd")
         (out.partitionBy(partition_by) if partition_by else out).parquet(path)
         got = self.spark.read.schema(df.schema).parquet(path)
         got._staged_at = path
         return got
 
+    def put_bucketed(self, df: DataFrame, key: str) -> DataFrame:
+        """The rows in buckets by ``key``, each a sorted file, as many as the session's shuffle partitions: a join or a
+        sum by ``key`` finds them where they are, without an exchange on this side."""
+        return bucketed(df, key, self.path())
+
     def drop(self, *tables: DataFrame | None) -> None:
-        for t in tables:
-            if t is not None and hasattr(t, "_staged_at"):
-                remove(self.spark, t._staged_at)
+        drop_tables(self.spark, *tables)
 
     def _clean(self) -> None:
         try:
@@ -92,6 +98,56 @@ class Workspace:
             pass
 
 
+def bucketed(df: DataFrame, key: str, path: str) -> DataFrame:
+    """Writes ``df`` to ``path`` in buckets by ``key``, sorted, one file each."""
+    spark, name = df.sparkSession, f"scoreline_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("compression", "zstd").option("path", path).saveAsTable(name)
+    got = spark.table(name)
+    got._staged_at, got._named = path, name
+    return got
+
+
+def reopened(spark: SparkSession, path: str, schema: str, key: str, n: int) -> DataFrame:
+    """What ``bucketed`` has written to ``path`` in ``n`` buckets, perhaps by another session."""
+    name = f"scoreline_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {n} BUCKETS LOCATION '{path}'")
+    got = spark.table(name)
+    got._staged_at, got._named = path, name
+    return got
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A file of the shared folder; None if there is none."""
+    where, fs = _hadoop(spark, path)
+    if not fs.exists(where):
+        return None
+    opened = fs.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+    finally:
+        opened.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Puts a file in place whole: it is written beside the old one and then renamed."""
+    (new, fs), (where, _) = _hadoop(spark, f"{path}.new"), _hadoop(spark, path)
+    out = fs.create(new, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(where, False)
+    fs.rename(new, where)
+
+
+def drop_tables(spark: SparkSession, *tables: DataFrame | None) -> None:
+    """Removes staged tables and their files."""
+    for t in tables:
+        if t is not None and hasattr(t, "_staged_at"):
+            if hasattr(t, "_named"):
+                spark.sql(f"DROP TABLE IF EXISTS {t._named}")
+            remove(spark, t._staged_at)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*cols) if cols else df
@@ -105,15 +161,19 @@ def row_key(*cols: str) -> list[Column]:
 KEY = ["rk1", "rk2"]
 
 
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
 def boxed(docs: DataFrame, *without: str) -> Column:
     """All columns of a frame, but some, as one struct ``row``: whatever they are called, they clash with nothing."""
-    keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in without]
-    return F.struct(*keep, F.lit(0).alias("_")).alias("row")
+    keep = [F.col(quoted(c)) for c in docs.columns if c.lower() not in without]
+    return F.struct(*keep or [F.lit(0).alias("none")]).alias("row")
 
 
 def unboxed(docs: DataFrame, **new: Column) -> list[Column]:
     """The columns of the frame that was boxed, in order, some of them replaced."""
-    return [new[c.lower()].alias(c) if c.lower() in new else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    return [new[c.lower()].alias(c) if c.lower() in new else F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns]
 
 
 def raw(batch: pa.RecordBatch, name: str) -> list[bytes]:

@@ -2,14 +2,16 @@
 
 A window is 35 consecutive words. Windows that recur are found without comparing all of them: of the 8-word
 phrases in a window the one of the smallest hash is its anchor, so equal windows have equal anchors; consecutive
-windows of one anchor form a segment, and only segments whose anchor recurs are looked at. Equal segments are
-counted once. Shards of segments with the same anchors confirm the passages that recur, word for word, compile
-them into an Aho-Corasick automaton over word symbols, and stream their segments through it to locate every
-occurrence. Back in its document each word covered by one is removed.
-
-Defined cases: a null or empty text has no words; texts of fewer than 35 words stay; windows of one text may
-overlap each other and still recur; rows equal in doc_id and text are documents of their own; an empty table
-gives no rows.
+windows of one anchor form a segment, and only segments whose anchor recurs are looked at. Those of one anchor are
+compared, equal ones by a digest, others word for word, which confirms the windows that recur; runs of them are the
+passages, their words taken from one of the documents that hold them. Each shard of documents compiles the passages
+that its segments name into an Aho-Corasick automaton over word symbols and streams its whole documents through it,
+which locates every occurrence; each word covered by one is removed.
+
+Defined cases: a null or empty text has no words; texts of fewer than 35 words stay; a text of any length is
+read whole; windows of one text may overlap each other and still recur; rows equal in doc_id and text are
+documents of their own; ties of anchors go to the first place; columns but doc_id and text are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,13 +25,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import KEY, Workspace, arrow_map, blocks, raw, row_key, table
+from .base import Workspace, arrow_map, blocks, raw, table
 
 WINDOW, ANCHOR = 35, 8
-#: Distinct segments of one anchor that a shard takes; those of a more common anchor are dealt out by window.
+#: Distinct segments of one anchor that are compared in one task; those of a more common anchor are dealt out by window.
 COMMON = 2_000
-#: Windows that one automaton takes, a last anchor's on top.
-SHARD = 8_000
+#: Windows in a piece of words that moves, and pieces that one automaton takes, the last document's on top.
+PIECE, SHARD = 64, 2_000
 
 _MIX = np.array([0x9E3779B97F4A7C15 * (2 * j + 1) % 2**64 | 1 for j in range(64)], np.uint64)
 
@@ -60,164 +62,248 @@ def _anchors(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         got = [segments(t.split())[0] for t in raw(c, "text")]
         offs = np.r_[0, np.cumsum([len(x) for x in got])].astype(np.int32)
         flat = pa.ListArray.from_arrays(pa.array(offs), pa.array(np.concatenate(got)))
-        yield pa.record_batch([c.column(1), c.column(2), flat], [*KEY, "anchors"])
+        yield pa.record_batch([c.column(0), c.column(1), c.column(2), flat], ["row", "doc_id", "text", "anchors"])
 
 
-def _occurrences(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Segments of recurring anchors, with their words."""
+def _segments(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """(row, anchor, digest, place, windows) of segments of recurring anchors; the digest stands for the words."""
     for c in blocks(b, 256):
-        r1, r2, a, s0, nw, tx, dg = [], [], [], [], [], [], []
-        for t, k1, k2, keep in zip(raw(c, "text"), c.column(1).to_pylist(), c.column(2).to_pylist(), c.column(3)):
+        row, a, dg, at, nw = [], [], [], [], []
+        for t, r, keep in zip(raw(c, "text"), c.column(0).to_pylist(), c.column(2)):
             words = t.split()
             anchor, first, n = segments(words)
             for i in np.flatnonzero(np.isin(anchor, keep.values.to_numpy(zero_copy_only=False))):
-                text = b" ".join(words[first[i] : first[i] + n[i] + WINDOW - 1])
-                r1.append(k1)
-                r2.append(k2)
+                row.append(r)
                 a.append(anchor[i])
-                s0.append(first[i])
+                dg.append(xxhash.xxh3_64_intdigest(b" ".join(words[first[i] : first[i] + n[i] + WINDOW - 1])))
+                at.append(first[i])
                 nw.append(n[i])
-                tx.append(text)
-                dg.append(xxhash.xxh3_128_digest(text))
-        yield pa.record_batch(
-            [pa.array(r1, pa.int64()), pa.array(r2, pa.int32()), pa.array(a, pa.int64()), pa.array(s0, pa.int32()), pa.array(nw, pa.int32()), pa.array(dg, pa.binary()), pa.array(tx, pa.binary())],
-            [*KEY, "anchor", "start", "windows", "digest", "words"],
-        )
+        digest = pa.array(np.array(dg, np.uint64).view(np.int64))
+        yield pa.record_batch([pa.array(row, pa.int64()), pa.array(a, pa.int64()), digest, pa.array(at, pa.int32()), pa.array(nw, pa.int32())], ["row", "anchor", "digest", "place", "windows"])
+
+
+def _words(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Asked segments of documents, with their words."""
+    for c in blocks(b, 256):
+        out = []
+        for t, r, asked in zip(raw(c, "text"), c.column(0).to_pylist(), c.column(2).to_pylist()):
+            words = t.split()
+            out += [{**x, "row": r, "words": b" ".join(words[x["place"] : x["place"] + x["windows"] + WINDOW - 1])} for x in asked]
+        cols = {"anchor": pa.int64(), "digest": pa.int64(), "n": pa.int64(), "m": pa.int64(), "row": pa.int64(), "place": pa.int32(), "words": pa.binary()}
+        yield pa.record_batch([pa.array([x[k] for x in out], kind) for k, kind in cols.items()], list(cols))
+
+
+def confirm(units: list[tuple[bytes, int]]) -> list[list[bool]]:
+    """One anchor's distinct segments, as (words, count): for each, which of its windows recur, word for word."""
+    seen: Counter[tuple[bytes, ...]] = Counter()
+    split = []
+    for words, n in units:
+        w = words.split(b" ")
+        split.append([tuple(w[i : i + WINDOW]) for i in range(len(w) - WINDOW + 1)])
+        for x in split[-1]:
+            seen[x] += n
+    return [[seen[x] > 1 for x in windows] for windows in split]
+
+
+MASKS = "anchor long, digest long, row long, place int, lo int, hi int, mask long"
+
+
+def _confirm_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (anchor, digest, row, place, n, words) come sorted by anchor, a bounded number of each. What stands once
+    is told by its windows; what stands twice recurs as a whole and only serves to compare."""
+    held, out = [], []
+
+    def flush():
+        for (a, d, r, p, n, _), recurs in zip(held, confirm([(x[5], x[4]) for x in held])):
+            if n == 1 and any(recurs):
+                at = np.flatnonzero(recurs)
+                out.append((a, d, r, p, at[0], at[-1], sum(1 << int(k) for k in at)))
+        held.clear()
+
+    def made():
+        cols = list(zip(*out)) or [()] * 7
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+        return pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], ["anchor", "digest", "row", "place", "lo", "hi", "mask"])
+
+    for b in batches:
+        for x in zip(*(b.column(i).to_pylist() for i in range(6))):
+            if held and x[0] != held[0][0]:
+                flush()
+            held.append(x)
+        yield made()
+        out.clear()
+    flush()
+    yield made()
 
 
 def _windows(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The windows of segments, each for itself."""
+    """The windows of segments, each for itself, as hashes of 128 bits."""
     for c in blocks(b, 512):
-        d, k, wd, tx, n = [], [], [], [], []
-        for digest, words, count in zip(c.column(0).to_pylist(), c.column(1).to_pylist(), c.column(2).to_pylist()):
+        at, k, wd = [], [], []
+        for j, words in enumerate(c.column(5).to_pylist()):
             w = words.split(b" ")
             for i in range(len(w) - WINDOW + 1):
-                text = b" ".join(w[i : i + WINDOW])
-                d.append(digest)
+                at.append(j)
                 k.append(i)
-                wd.append(xxhash.xxh3_128_digest(text))
-                tx.append(text)
-                n.append(count)
-        yield pa.record_batch([pa.array(d, pa.binary()), pa.array(k, pa.int32()), pa.array(wd, pa.binary()), pa.array(tx, pa.binary()), pa.array(n, pa.int64())], ["digest", "k", "window", "words", "n"])
+                wd.append(xxhash.xxh3_128_digest(b" ".join(w[i : i + WINDOW])))
+        own = [c.column(i).take(pa.array(at, pa.int64())) for i in range(5)]
+        yield pa.record_batch([*own, pa.array(k, pa.int32()), pa.array(wd, pa.binary())], ["anchor", "digest", "row", "place", "n", "k", "window"])
 
 
-def locate(units: list[tuple[bytes, bytes, int]]) -> list[tuple[bytes, int]]:
-    """One shard: from (digest, words, count) to (digest, mask of windows that recur).
-
-    Words become symbols, a segment a string of them. Windows that are there twice or more, counts included, recur;
-    runs of them, within a segment, are the shard's recurring passages. Their automaton finds every place where one
-    stands. Each segment's own runs are among them, so no window is missed, and no passage holds any other window.
-    """
-    import ahocorasick
-
-    symbol: dict[bytes, str] = {}
-    texts = []
-    for _, words, _ in units:
-        text = []
-        for w in words.split(b" "):
-            if (c := symbol.get(w)) is None:
-                k = len(symbol) + 1
-                c = symbol[w] = chr(k if k < 0xD800 else k + 0x800)
-            text.append(c)
-        texts.append("".join(text))
-    seen: Counter[str] = Counter()
-    for s, (_, _, n) in zip(texts, units):
-        for i in range(len(s) - WINDOW + 1):
-            seen[s[i : i + WINDOW]] += n
-    passages = set()
-    for s in texts:
-        start = None
-        for i in range(len(s) - WINDOW + 2):
-            if i <= len(s) - WINDOW and seen[s[i : i + WINDOW]] > 1:
-                start = i if start is None else start
-            elif start is not None:
-                passages.add(s[start : i - 1 + WINDOW])
-                start = None
-    if not passages:
-        return []
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    for p in passages:
-        automaton.add_word(p)
-    automaton.make_automaton()
-    out = []
-    for s, (digest, _, _) in zip(texts, units):
-        mask = 0
-        for end, length in automaton.iter(s):
-            mask |= ((1 << (length - WINDOW + 1)) - 1) << (end - length + 1)
-        if mask:
-            out.append((digest, mask))
+def _pieces(b: pa.RecordBatch, piece: int) -> Iterator[pa.RecordBatch]:
+    """The words that documents' confirmed windows cover, cut at every ``piece``-th window, so that who needs some of
+    them gets little more: (from, cell, base, words), base the first window in it."""
+    for c in blocks(b, 256):
+        row, cell, base, out = [], [], [], []
+        for t, r, masks in zip(raw(c, "text"), c.column(0).to_pylist(), c.column(2).to_pylist()):
+            words = t.split()
+            ends: dict[int, list[int]] = {}
+            for x in masks:
+                for lo, hi in _runs(x["place"], x["mask"]):
+                    for k in range(lo // piece, (hi - 1) // piece + 1):
+                        e = ends.setdefault(k, [hi, lo])
+                        e[0], e[1] = min(e[0], max(lo, k * piece)), max(e[1], min(hi, (k + 1) * piece))
+            for k, (lo, hi) in ends.items():
+                row.append(r)
+                cell.append(k)
+                base.append(lo)
+                out.append(b" ".join(words[lo : hi - 1 + WINDOW]))
+        yield pa.record_batch([pa.array(row, pa.int64()), pa.array(cell, pa.int32()), pa.array(base, pa.int32()), pa.array(out, pa.binary())], ["from", "cell", "base", "words"])
+
+
+def _runs(place: int, mask: int) -> Iterator[tuple[int, int]]:
+    """Runs of set bits as (first, end), counted from ``place``."""
+    while mask:
+        low = (mask & -mask).bit_length() - 1
+        n = (~(mask >> low) & ((mask >> low) + 1)).bit_length() - 1
+        yield place + low, place + low + n
+        mask &= -1 << low + n
+
+
+def passages(named: list[dict], piece: int) -> set[bytes]:
+    """The passages that a document's segments name: the words of each run of confirmed windows of a segment, out of
+    the pieces that hold them."""
+    out = set()
+    for x in named:
+        words, base, k = x["words"].split(b" "), x["base"], x["cell"]
+        for seg in x["segs"]:
+            for lo, hi in _runs(seg["place"], seg["mask"]):
+                lo, hi = max(lo, k * piece), min(hi, (k + 1) * piece)
+                if lo < hi:
+                    out.add(b" ".join(words[lo - base : hi - base - 1 + WINDOW]))
     return out
 
 
-def _locate_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (anchor, digest, words, n) come sorted by anchor; an anchor's rows all go to the same automaton."""
-    units, windows, last = [], 0, None
+class PhraseAutomaton:
+    """Aho-Corasick over word symbols: a word of some passage is one character, any other word is one that no
+    passage has."""
+
+    def __init__(self, passages: set[bytes]):
+        import ahocorasick
+
+        self.symbol: dict[bytes, str] = {}
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for p in passages:
+            self.automaton.add_word("".join(map(self._known, p.split(b" "))))
+        if passages:
+            self.automaton.make_automaton()
+
+    def _known(self, word: bytes) -> str:
+        if (c := self.symbol.get(word)) is None:
+            k = len(self.symbol) + 1
+            c = self.symbol[word] = chr(k if k < 0xD800 else k + 0x800)
+        return c
+
+    def cover(self, words: list[bytes]) -> np.ndarray:
+        """Which words lie in a passage, wherever one stands in the text."""
+        edge = np.zeros(len(words) + 1, np.int64)
+        if len(self.automaton):
+            get = self.symbol.get
+            for end, length in self.automaton.iter("".join([get(w, "\0") for w in words])):
+                edge[end - length + 1] += 1
+                edge[end + 1] -= 1
+        return np.cumsum(edge[:-1]) > 0
+
+
+def _shards(b: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of consecutive documents with about ``most`` pieces, or one document with more."""
+    n = np.diff(np.asarray(b.column(3).offsets)) if b.num_rows else np.empty(0, int)
+    shard = np.cumsum(n) // most
+    cut = np.r_[0, np.flatnonzero(np.diff(shard)) + 1, len(shard)]
+    for lo, hi in zip(cut[:-1], cut[1:]):
+        yield b.slice(int(lo), int(hi - lo))
+
+
+def _remove(b: pa.RecordBatch, shard: int = SHARD, piece: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """Compiles each shard's passages and streams its documents through; a document that names none can hold none."""
+    for c in _shards(b, shard):
+        named = c.column(3).to_pylist()
+        automaton = PhraseAutomaton(set().union(*(passages(x, piece) for x in named if x)))
+        total, gone, kept = [], [], []
+        for t, x in zip(raw(c, "text"), named):
+            words = t.split()
+            total.append(len(words))
+            if x:
+                words = [w for w, covered in zip(words, automaton.cover(words).tolist()) if not covered]
+            gone.append(total[-1] - len(words))
+            kept.append(b" ".join(words))
+        yield pa.record_batch([c.column(1), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+
+
+def _at(texts: DataFrame, asked: DataFrame, by: str, *fields: str) -> DataFrame:
+    """(row, text, list of ``fields``) of the documents that ``asked`` names, texts where they lie."""
+    lists = asked.groupBy("row").agg(F.collect_list(F.struct(*fields)).alias(by))
+    return texts.select("row", "text").join(lists.hint("shuffle_hash"), "row").select("row", "text", by)
+
+
+def confirmed(texts: DataFrame, distinct: DataFrame, work: Workspace, common: int) -> DataFrame:
+    """Of each distinct segment (anchor, digest) that recurs, whole or in part, one place where it stands and the
+    windows in it that recur."""
+    whole = distinct.filter("n > 1").selectExpr("anchor", "digest", "row", "place", "0 as lo", "windows - 1 as hi", "shiftleft(1L, windows) - 1 as mask")
+    several = distinct.groupBy("anchor").agg(F.count("*").alias("m"), F.min("n").alias("least")).filter("m > 1 and least = 1")
+    asked = distinct.join(several.select("anchor", "m"), "anchor")
+    fields = ("anchor", "digest", "n", "m", "place", "windows")
+    compared = work.put(arrow_map(_at(texts, asked, "asked", *fields), _words, "anchor long, digest long, n long, m long, row long, place int, words binary"))
+    cols = ("anchor", "digest", "row", "place", "n", "words")
+    dealt = compared.filter(F.col("m") <= common).select(*cols).repartition("anchor").sortWithinPartitions("anchor")
+    single = arrow_map(compared.filter(F.col("m") > common).select(*cols), _windows, "anchor long, digest long, row long, place int, n long, k int, window binary")
+    hot = single.groupBy("window").agg(F.sum("n").alias("n")).filter("n > 1").select("window")
+    spread = single.filter("n = 1").join(hot, "window").groupBy("anchor", "digest").agg(F.first("row").alias("row"), F.first("place").alias("place"), F.min("k").alias("lo"), F.max("k").alias("hi"), F.expr("bit_or(shiftleft(1L, k))").alias("mask"))
+    out = work.put(whole.union(dealt.mapInArrow(_confirm_sorted, MASKS)).union(spread))
+    work.drop(compared)
+    return out
 
-    def flush():
-        got = locate(units)
-        return pa.record_batch([pa.array([d for d, _ in got], pa.binary()), pa.array([m for _, m in got], pa.int64())], ["digest", "mask"])
 
-    for b in batches:
-        for a, d, w, n in zip(*(b.column(i).to_pylist() for i in range(4))):
-            if windows >= SHARD and a != last:
-                yield flush()
-                units, windows = [], 0
-            units.append((d, w, n))
-            windows += w.count(b" ") + 2 - WINDOW
-            last = a
-    if units:
-        yield flush()
-
-
-def _remove(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    total, gone, sha = [], [], []
-    for t, hits in zip(raw(b, "text"), b.column(b.num_columns - 1)):
-        words = t.split()
-        total.append(len(words))
-        if hits.is_valid:
-            edge = np.zeros(len(words) + 1, np.int64)
-            for start, mask in zip(hits.values.field(0).to_pylist(), hits.values.field(1).to_pylist()):
-                while mask:
-                    i = start + (mask & -mask).bit_length() - 1
-                    edge[i] += 1
-                    edge[i + WINDOW] -= 1
-                    mask &= mask - 1
-            covered = np.cumsum(edge[:-1]) > 0
-            words = [w for w, c in zip(words, covered.tolist()) if not c]
-        gone.append(total[-1] - len(words))
-        sha.append(b" ".join(words))
-    yield pa.record_batch([b.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
-
-
-def remove_repeats(docs: DataFrame, work: Workspace | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, work: Workspace | None = None, common: int = COMMON, piece: int = PIECE, shard: int = SHARD) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): texts without the words of windows that also start elsewhere.
 
-    Scale: about one word in fourteen has an anchor, and only anchors' hashes are shuffled for all documents.
-    Texts are read four times and move twice, to meet their recurring anchors and their passages. Segments of equal words are summed on
-    the map side; an anchor with very many different segments is dealt out by window, equal windows summed. An
-    automaton takes about ``SHARD`` windows, so memory has a bound at any size of the corpus.
+    Scale: whole texts move once, into buckets by row, with their anchors: one word in fourteen has one. All later
+    steps that need texts read them in their buckets; what moves is anchors, digests of segments, and the words of
+    passages, once to each document that holds some of them. Equal segments are summed on the map side; an anchor of
+    more than ``common`` different segments is dealt out by window. An automaton holds about ``shard`` pieces, or
+    those of one document.
     """
     spark = docs.sparkSession
     work = work or Workspace(spark, "substrings")
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *row_key("doc_id", "text"))
-    own = arrow_map(keyed.select("text", *KEY), _anchors, "rk1 long, rk2 int, anchors array<bigint>")
-    twice = own.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    once = own.select(*KEY, F.explode(F.array_distinct("anchors")).alias("anchor"))
-    mine = once.join(twice.hint("shuffle_hash"), "anchor").groupBy(*KEY).agg(F.collect_set("anchor").alias("keep"))
-    met = keyed.join(mine.hint("shuffle_hash"), KEY).select("text", *KEY, "keep")
-    occ = work.put(arrow_map(met, _occurrences, "rk1 long, rk2 int, anchor long, start int, windows int, digest binary, words binary"))
-    distinct = work.put(occ.groupBy("anchor", "digest").agg(F.any_value("words").alias("words"), F.count("*").alias("n")))
-    many = distinct.groupBy("anchor").agg(F.count("*").alias("m")).filter(F.col("m") > COMMON).select("anchor")
-    dealt = distinct.join(many, "anchor", "left_anti").select("anchor", "digest", "words", "n").repartition("anchor").sortWithinPartitions("anchor")
-    found = dealt.mapInArrow(_locate_sorted, "digest binary, mask long")
-    single = arrow_map(distinct.join(many, "anchor", "left_semi").select("digest", "words", "n"), _windows, "digest binary, k int, window binary, words binary, n long")
-    merged = single.groupBy("window").agg(F.any_value("words").alias("words"), F.sum("n").alias("n"))
-    spread = merged.select(F.xxhash64("window").alias("anchor"), F.col("window").alias("digest"), "words", "n").repartition("digest").sortWithinPartitions("anchor")
-    hot = spread.mapInArrow(_locate_sorted, "digest binary, mask long").select(F.col("digest").alias("window"))
-    masks = single.select("digest", "k", "window").join(hot, "window").groupBy("digest").agg(F.expr("bit_or(shiftleft(1L, k))").alias("mask"))
-    hits = occ.select(*KEY, "start", "digest").join(found.union(masks).hint("shuffle_hash"), "digest").groupBy(*KEY).agg(F.collect_list(F.struct("start", "mask")).alias("hits"))
-    last = keyed.join(hits.hint("shuffle_hash"), KEY, "left").select("doc_id", "text", "hits")
-    return arrow_map(last, _remove, "doc_id long, n_words long, n_removed long, kept string")
+    keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = work.put_bucketed(arrow_map(keyed, _anchors, "row long, doc_id long, text string, anchors array<bigint>"), "row")
+    twice = texts.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    once = texts.select("row", F.explode(F.array_distinct("anchors")).alias("anchor"))
+    mine = once.join(twice.hint("shuffle_hash"), "anchor")
+    found = work.put(arrow_map(_at(texts, mine, "keep", "anchor").withColumn("keep", F.col("keep.anchor")), _segments, "row long, anchor long, digest long, place int, windows int"))
+    first = F.min(F.struct("row", "place", "windows")).alias("x")
+    distinct = work.put(found.groupBy("anchor", "digest").agg(F.count("*").alias("n"), first).select("anchor", "digest", "n", "x.*"))
+    masks = confirmed(texts, distinct, work, common)
+    work.drop(distinct)
+    pieces = work.put(arrow_map(_at(texts, masks, "masks", "place", "mask"), lambda b: _pieces(b, piece), "from long, cell int, base int, words binary"))
+    cells = F.expr(f"explode(sequence(int((place + lo) div {piece}), int((place + hi) div {piece})))").alias("cell")
+    held = masks.select("anchor", "digest", F.col("row").alias("from"), "place", "mask", cells)
+    named = found.select("row", "anchor", "digest").distinct().join(held, ["anchor", "digest"])
+    named = named.groupBy("row", "from", "cell").agg(F.collect_list(F.struct("place", "mask")).alias("segs"))
+    hits = work.put(named.join(pieces, ["from", "cell"]).groupBy("row").agg(F.collect_list(F.struct("cell", "base", "words", "segs")).alias("named")))
+    work.drop(found, masks, pieces)
+    last = texts.select("row", "doc_id", "text").join(hits.hint("shuffle_hash"), "row", "left").select("row", "doc_id", "text", "named")
+    return arrow_map(last, lambda b: _remove(b, shard, piece), "doc_id long, n_words long, n_removed long, kept string")
 
 
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ def docs(spark):
             full.append((d.get("doc_id"), d.get("text"), d.get("lang", "en"), d.get("source", "s"), len(d.get("text") or "")))
         df = spark.createDataFrame(full, DOC)
         if clash:
-            names = ["size", "target", "taken", "u", "sid", "rk1", "RK2", "kept", "gone", "n_lines", "f", "base_failed", "row", "_i", "_k", "_n", "_t", "fp", "items", "used", "y", "score", "held_out", "hits", "words", "n", "a", "b", "value", "b.c"]
+            names = ["size", "target", "taken", "u", "sid", "rk1", "RK2", "kept", "gone", "n_lines", "f", "base_failed", "row", "_i", "_k", "_n", "_t", "fp", "items", "used", "y", "score", "held_out", "hits", "words", "n", "a", "b", "value", "b.c", "_", "none", "b`c"]
             df = df.select("*", *[F.lit(7).alias(c) for c in names])
         return df
 

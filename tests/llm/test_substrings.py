@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from scoreline.llm import substrings as X
@@ -20,8 +21,8 @@ def brute(rows):
     return sorted(out)
 
 
-def run(df):
-    return sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in X.remove_repeats(df).collect())
+def run(df, **how):
+    return sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in X.remove_repeats(df, **how).collect())
 
 
 def corpus(seed):
@@ -40,13 +41,44 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed, common", [(0, 128), (1, 2), (2, 0)])
-def test_against_brute_force(docs, monkeypatch, seed, common):
-    """Also with anchors dealt out by window, and automata of a few windows."""
-    monkeypatch.setattr(X, "COMMON", common)
-    monkeypatch.setattr(X, "SHARD", 50)
+@pytest.mark.parametrize("seed, how", [(0, {}), (1, {"common": 2, "piece": 7, "shard": 5}), (2, {"common": 0, "piece": 1, "shard": 1})])
+def test_against_brute_force(docs, seed, how):
+    """Also with anchors dealt out by window, short pieces and automata of a few passages."""
     rows = corpus(seed)
-    assert run(docs(*rows, clash=True)) == brute(rows)
+    assert run(docs(*rows, clash=True), **how) == brute(rows)
+
+
+@pytest.mark.parametrize("compiled, gone", [(True, [40, 0, 0]), (False, [0, 0, 0])])
+def test_automata_alone_locate(monkeypatch, compiled, gone):
+    """Nothing but the automaton says where a passage stands: without it no document loses a word."""
+    if not compiled:
+        monkeypatch.setattr(X.PhraseAutomaton, "cover", lambda self, words: np.zeros(len(words), bool))
+    w = [f"w{i}" for i in range(100)]
+    named = [{"cell": 0, "base": 30, "words": " ".join(w[30:70]).encode(), "segs": [{"place": 30, "mask": 0b111111}]}]
+    b = pa.record_batch([pa.array([1, 2, 3]), pa.array([1, 2, 3]), pa.array([" ".join(w), " ".join(w[:60]), None]), pa.array([named, named, None])], ["row", "doc_id", "text", "named"])
+    assert [x for r in X._remove(b) for x in r.column(2).to_pylist()] == gone
+
+
+@pytest.mark.parametrize("mask", [0, 1, 0b1011, 0b110, (1 << 28) - 1, 0b101 << 25])
+def test_runs(mask):
+    assert sum(1 << k for lo, hi in X._runs(5, mask) for k in range(lo - 5, hi - 5)) == mask
+    assert all(b < c for (_, b), (c, _) in zip(list(X._runs(5, mask)), list(X._runs(5, mask))[1:]))
+
+
+def test_automaton_covers_every_place():
+    w = [f"w{i}".encode() for i in range(200)]
+    passage = b" ".join(w[50:90])
+    text = w[:10] + w[50:90] + w[10:20] + w[50:90] + w[50:70]
+    assert X.PhraseAutomaton({passage}).cover(text).tolist() == [False] * 10 + [True] * 40 + [False] * 10 + [True] * 40 + [False] * 20
+    assert not X.PhraseAutomaton(set()).cover(text).any()
+
+
+def test_texts_move_once(spark, docs):
+    """Texts are put into buckets once; what later reads them has no exchange on that side."""
+    got = X.remove_repeats(docs(*corpus(2)))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    scan = [x for x in plan.split("\n") if "text#" in x and "Exchange" in x]
+    assert "Bucketed: true" in plan and not scan
 
 
 def test_overlapping_and_repeating_words(docs):
