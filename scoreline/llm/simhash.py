@@ -10,8 +10,10 @@ The pipeline's stage links more than op3's rule does: also all texts whose sets
 Jaccard similarity of 0.8 or more. Candidates share one of 24 bands of 4 minimum hashes, which a pair of
 similarity 0.8 misses with a chance of 3 in a million, and are verified on their whole shingle sets.
 
-Defined cases: a null or empty text has fingerprint zero and is linked like any other; a null doc_id never is
-a component's smallest unless all its ids are null; rows of one text are linked; an empty table gives no rows.
+Defined cases: a null or empty text has fingerprint zero and is linked like any other; a text of any length is
+read whole; a null doc_id never is a component's smallest unless all its ids are null; components are told apart
+by their links, whatever their ids; rows of one text are linked; a bit set in just half the hashes is 0; other
+columns may have any name; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,12 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import KEY, Workspace, arrow_map, boxed, raw, row_key, table, unboxed
+from .base import Workspace, arrow_map, boxed, raw, table, unboxed
 from .graph import components
 
 BITS, RADIUS = 64, 3
-#: Rows of one probed value that meet in a task; a value of more rows is dealt out in pairs of chunks.
-CHUNK = 256
+#: Fingerprints of one probed value that meet in a task; a value of more is split by further bits, up to ``LEVELS``
+#: times, and what is still more is dealt out in pairs of chunks.
+CHUNK, LEVELS = 256, 3
 #: Cost of moving a row against verifying a candidate.
 ROW, CANDIDATE = 1.0, 0.05
 #: The stage's second link: words of a shingle, similarity in fifths, bands and minimum hashes of each.
@@ -59,13 +62,13 @@ def _signed(x: int) -> int:
 
 
 def fingerprints(docs: DataFrame, n: int = 3) -> DataFrame:
-    """(doc_id, rk1, rk2, fp): fp the fingerprint as a signed long."""
+    """(doc_id, fp): fp the fingerprint as a signed long."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         fp = [_signed(fingerprint(t, n)) for t in raw(batch, "text")]
-        yield pa.record_batch([batch.column(0), batch.column(2), batch.column(3), pa.array(fp, pa.int64())], ["doc_id", *KEY, "fp"])
+        yield pa.record_batch([batch.column(0), pa.array(fp, pa.int64())], ["doc_id", "fp"])
 
-    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *row_key("doc_id", "text")), run, "doc_id long, rk1 long, rk2 int, fp long")
+    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, fp long")
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -96,7 +99,8 @@ def bands(s: np.ndarray) -> np.ndarray:
 
 
 def banded(docs: DataFrame) -> DataFrame:
-    """``fingerprints`` with txt, which stands for the words of a text, and the keys of its bands; no words, no bands."""
+    """``fingerprints`` of rows named by ``rid``, with txt, which stands for the words of a text, and the keys of its
+    bands; no words, no bands."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         fp, txt, keys = [], [], []
@@ -105,9 +109,11 @@ def banded(docs: DataFrame) -> DataFrame:
             fp.append(_signed(fingerprint(t)))
             txt.append(_signed(xxhash.xxh64_intdigest(b" ".join(t.lower().split()), 43)))
             keys.append(bands(s).view(np.int64) if len(s) else [])
-        yield pa.record_batch([batch.column(0), batch.column(2), batch.column(3), pa.array(fp, pa.int64()), pa.array(txt, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", *KEY, "fp", "txt", "bands"])
+        made = [pa.array(fp, pa.int64()), pa.array(txt, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+        yield pa.record_batch([batch.column(0), batch.column(1), *made], ["rid", "doc_id", "fp", "txt", "bands"])
 
-    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *row_key("doc_id", "text")), run, "doc_id long, rk1 long, rk2 int, fp long, txt long, bands array<long>")
+    schema = "rid long, doc_id long, fp long, txt long, bands array<long>"
+    return arrow_map(docs.select("rid", F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema)
 
 
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -174,9 +180,9 @@ def _value(bits: list[int]):
     return x
 
 
-def _named(part: int):
-    """Values of different partitions get different keys."""
-    return lambda v: F.xxhash64(F.lit(part), v)
+def _named(part: int, free):
+    """Values of different partitions get different keys; with a key go the bits that it does not name."""
+    return lambda v: F.struct(F.xxhash64(F.lit(part), v).alias("key"), free.alias("free"))
 
 
 def plan(fps: DataFrame) -> list[tuple[list[int], int]]:
@@ -257,24 +263,45 @@ def _edges(batches, chunk: int = CHUNK):
     yield work(tail_k, tail_f)
 
 
+def _split(level: int, g: int):
+    """Bits whose place has g as its digit of weight 4 ** level: four sets that hold every bit once."""
+    return F.lit(_signed(sum(1 << b for b in range(BITS) if b >> 2 * level & 3 == g)))
+
+
 def links(fps: DataFrame, chosen: list[tuple[list[int], int]], work: Workspace, chunk: int = CHUNK) -> DataFrame:
-    """Edges (a, b) that join all fingerprints within 3 bits of each other to their components."""
+    """Edges (a, b) that join all fingerprints within 3 bits of each other to their components.
+
+    Fingerprints that meet at a value shared by many still differ in at most 3 of the bits that the value does not
+    name, so of any four sets of these bits they agree in one: such a value is split by each set in turn.
+    """
     keys = []
     for i, (bits, t) in enumerate(chosen):
         v = _value(bits)
         masks = [sum(1 << b for b in c) for j in range(t + 1) for c in combinations(range(len(bits)), j)]
         values = F.array(v) if t == 0 else F.transform(F.array(*[F.lit(x).cast("long") for x in masks]), lambda m: m.bitwiseXOR(v))
-        keys.append(F.transform(values, _named(i)))
-    keyed = fps.select("fp", F.explode(F.concat(*keys)).alias("key"))
-    counted = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    met = work.put(keyed.join(counted, "key"))
-    whole = met.filter(F.col("n") <= chunk).select("key", "fp")
+        free = F.lit(_signed(sum(1 << b for b in range(BITS) if b not in bits)))
+        keys.append(F.transform(values, _named(i, free)))
+    keyed = fps.select("fp", F.explode(F.concat(*keys)).alias("x")).select("fp", "x.key", "x.free")
+    ready, staged = [], []
+    for level in range(LEVELS + 1):
+        counted = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+        met = work.put(keyed.join(counted, "key").select("key", "fp", "free", "n"))
+        staged.append(met)
+        ready.append(met.filter(F.col("n") <= chunk).select("key", "fp"))
+        hot = met.filter(F.col("n") > chunk)
+        if level == LEVELS or hot.isEmpty():
+            break
+        parts = [F.struct(F.xxhash64("key", F.lit(level), F.lit(g), F.col("fp").bitwiseAND(F.col("free")).bitwiseAND(_split(level, g))).alias("key"), F.col("free").bitwiseAND(F.bitwise_not(_split(level, g))).alias("free")) for g in range(4)]
+        keyed = hot.select("fp", F.explode(F.array(*parts)).alias("x")).select("fp", "x.key", "x.free")
     g = F.ceil(F.col("n") / chunk).cast("int")
     mine = F.pmod(F.xxhash64("fp", F.lit(3)), g).cast("int")
-    pairs = met.filter(F.col("n") > chunk).select("key", "fp", g.alias("g"), mine.alias("c")).select("key", "fp", "c", F.explode(F.expr("sequence(0, g - 1)")).alias("d"))
-    hot = pairs.select(F.xxhash64("key", F.least("c", "d"), F.greatest("c", "d")).alias("key"), "fp")
-    dealt = whole.union(hot).repartition("key").sortWithinPartitions("key")
-    return work.put(dealt.mapInArrow(_edges, "a long, b long"))
+    pairs = hot.select("key", "fp", g.alias("g"), mine.alias("c")).select("key", "fp", "c", F.explode(F.expr("sequence(0, g - 1)")).alias("d"))
+    dealt = pairs.select(F.xxhash64("key", F.least("c", "d"), F.greatest("c", "d")).alias("key"), "fp")
+    for r in ready:
+        dealt = dealt.union(r)
+    got = work.put(dealt.repartition("key").sortWithinPartitions("key").mapInArrow(_edges, "a long, b long"))
+    work.drop(*staged)
+    return got
 
 
 def alike(texts: list[bytes]) -> Iterator[tuple[int, int]]:
@@ -324,55 +351,63 @@ def _alike_edges(batches):
 def similar(docs: DataFrame, fps: DataFrame, work: Workspace, chunk: int = TEXTS) -> DataFrame:
     """Edges (a, b) between fingerprints that join all texts of similarity 0.8 or more to their components.
 
+    ``docs`` has ``rid``, text, and buckets by ``rid``.
+
     Scale: rows of the same words are one text. Bands that hold the same texts are verified once; only texts that
     share a band move, and a band of many is dealt out in pairs of chunks.
     """
-    first = work.put(fps.groupBy("txt").agg(F.first("fp").alias("fp"), F.min(F.struct(*KEY)).alias("k"), F.first("bands").alias("bands")))
+    first = work.put(fps.groupBy("txt").agg(F.first("fp").alias("fp"), F.min("rid").alias("rid"), F.first("bands").alias("bands")))
     keyed = first.select("txt", F.explode("bands").alias("key"))
     counted = keyed.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("txt", F.lit(5))).alias("x")).filter("n > 1")
     once = counted.groupBy("n", "x").agg(F.min("key").alias("key"))
     met = work.put(keyed.join(once.select("key", "n"), "key"))
-    some = first.join(met.select("txt").distinct(), "txt").select("txt", "fp", "k.*")
-    found = docs.select("text", *row_key("doc_id", "text")).join(some, KEY)
-    texts = work.put(found.groupBy("txt").agg(F.first("fp").alias("fp"), F.first("text").alias("text")))
+    some = first.join(met.select("txt").distinct(), "txt").select("txt", "fp", "rid")
+    texts = work.put(docs.select("rid", "text").join(some.hint("shuffle_hash"), "rid").select("txt", "fp", "text"))
     g = F.ceil(F.col("n") / chunk).cast("int")
     mine = F.pmod(F.xxhash64("txt", F.lit(3)), g).cast("int")
     pairs = met.filter(F.col("n") > chunk).select("key", "txt", g.alias("g"), mine.alias("c")).select("key", "txt", "c", F.explode(F.expr("sequence(0, g - 1)")).alias("d"))
     hot = pairs.select(F.xxhash64("key", F.least("c", "d"), F.greatest("c", "d")).alias("key"), "txt")
     whole = met.filter(F.col("n") <= chunk).select("key", "txt")
     dealt = whole.union(hot).join(texts, "txt").select("key", "fp", "text").repartition("key").sortWithinPartitions("key")
-    return work.put(dealt.mapInArrow(_alike_edges, "a long, b long"))
+    got = work.put(dealt.mapInArrow(_alike_edges, "a long, b long"))
+    work.drop(first, met, texts)
+    return got
 
 
 def near_duplicates(docs: DataFrame, work: Workspace | None = None, by_words: bool = False) -> DataFrame:
-    """Every row of ``docs`` with its fingerprint and component_id, the smallest doc_id reachable over links of
-    at most 3 bits, and the row's key; ``by_words`` adds links of similarity 0.8 or more over 5-word shingles.
+    """Every row of ``docs`` with its fingerprint, component_id, the smallest doc_id reachable over links of at most
+    3 bits, and ``root``, which names the component. ``by_words`` adds links of similarity 0.8 or more over 5-word
+    shingles; ``docs`` then has a column ``rid`` that names its rows, and buckets by it.
 
     Scale: equal fingerprints are one node, summed on the map side. A value that many fingerprints share is
-    dealt out in pairs of chunks, and a task returns a forest of what it linked, never all pairs.
+    split by further bits, and a task returns a forest of what it linked, never all pairs.
     """
     spark = docs.sparkSession
     work = work or Workspace(spark, "simhash")
     fps = work.put(banded(docs) if by_words else fingerprints(docs))
     nodes = work.put(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    edges = links(nodes.select("fp"), plan(nodes), work)
-    if by_words:
-        edges = edges.union(similar(docs, fps, work))
-    root = components(work, edges)
+    found = links(nodes.select("fp"), plan(nodes), work)
+    alike_ = similar(docs, fps, work) if by_words else None
+    root = components(work, found.union(alike_) if by_words else found)
     named = nodes.join(root, nodes.fp == root.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = work.put(named.join(ids, "root").select("fp", "component_id"))
-    return fps.join(label, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *KEY)
+    label = work.put(named.join(ids, "root").select("fp", "root", "component_id"))
+    work.drop(found, alike_, nodes)
+    shown = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    return fps.join(label, "fp").select("doc_id", shown, "component_id", "root", *["rid"] * by_words)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "fingerprint", "component_id")
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component stays: that of the smallest doc_id, and of equal ids that of the smallest key.
-    Links are those of op3 and those of similarity 0.8 or more over 5-word shingles."""
-    got = near_duplicates(docs, by_words=True)
-    stay = got.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *KEY)).alias("k")).select("k.rk1", "k.rk2")
-    met = docs.select(boxed(docs), *row_key("doc_id", "text")).join(stay, KEY)
-    return met.selectExpr("row", "row_number() over (partition by rk1, rk2 order by row.doc_id) as _i").filter("_i = 1").select(*unboxed(docs))
+    """One row of each component stays: that of the smallest doc_id, an id before none, and of equal ids any one.
+    Links are those of op3 and those of similarity 0.8 or more over 5-word shingles.
+
+    Whole texts move once, into buckets by row: what is verified and what stays are found there."""
+    work = Workspace(spark, "simhash")
+    rows = work.put_bucketed(docs.select(F.monotonically_increasing_id().alias("rid"), boxed(docs)), "rid")
+    got = near_duplicates(rows.select("rid", "row.doc_id", "row.text"), work, by_words=True)
+    stay = got.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("k")).select("k.rid")
+    return rows.join(stay.hint("shuffle_hash"), "rid").select(*unboxed(docs))

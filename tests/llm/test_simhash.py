@@ -122,6 +122,35 @@ def test_stage_keeps_one_of_each_group(spark, docs):
     assert X.simhash_stage(spark, docs(), "").count() == 0
 
 
+def test_stage_tells_components_apart_by_links(spark, docs):
+    """Unlike texts whose ids are null or repeat are documents of their own."""
+    texts = ["alpha beta gamma delta", "one two three four five", "le chat est sur la table", "quite other words in here"]
+    df = docs(*zip([None, None, 7, 7], texts), (7, texts[3]), (None, texts[0]), clash=True)
+    got = X.simhash_stage(spark, df, "").collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted(zip(["None", "None", "7", "7"], texts))
+
+
+@pytest.mark.parametrize("levels", [0, 3])
+def test_common_values_are_split(spark, monkeypatch, levels):
+    """All fingerprints share one partition's value; links are those of brute force however it is split."""
+    monkeypatch.setattr(X, "LEVELS", levels)
+    rng = np.random.default_rng(3)
+    fps = {0xABCD} | {near(rng, int(x) << 16 | 0xABCD, 0) for x in rng.integers(0, 2**47, 200)}
+    fps |= {near(rng, f, 5) for f in list(fps)[:100] for _ in range(3)}
+    fps = sorted(fps)
+    df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fps], "fp long")
+    work = Workspace(spark, "test")
+    chosen = [([*range(16 * k, 16 * k + 16)], 0) for k in range(4)]
+    root = {r.node % 2**64: r.root % 2**64 for r in X.components(work, X.links(df, chosen, work, chunk=8)).collect()}
+    got = {}
+    for i, f in enumerate(fps):
+        got.setdefault(root.get(f, f), []).append(i)
+    want = {}
+    for i, r in classes(dict(enumerate(fps))).items():
+        want.setdefault(r, []).append(i)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
 def word_sets(rows):
     got = {}
     for i, t in rows:
