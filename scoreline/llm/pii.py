@@ -5,8 +5,10 @@ the set of valid values of its format, so that equal values get equal pseudonyms
 values different ones, and lengths, separators and check digits hold. Mail addresses are permuted letter for
 letter and digit for digit.
 
-Defined cases: a null text stays null; an empty one empty; what fails its check stays as it is; rows are
-treated each for itself; an empty table gives no rows.
+Defined cases: a null text stays null; an empty one empty; a text of any length is read whole; what fails its
+check stays as it is; digits are those of ASCII, any others stay; of matches that begin at one place the first
+kind of the pattern counts; rows are treated each for itself; columns but doc_id and text are ignored; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,8 +25,9 @@ from pyspark.sql import functions as F
 
 from .base import arrow_map, blocks, table
 
-#: For tests and examples; pass a secret one of your own.
-KEY = b"change this key"
+#: For tests and examples; pass a secret one of your own, to the query by the session's setting ``KEY_SETTING``.
+KEY, KEY_SETTING = b"change this key", "spark.scoreline.pii.key"
+DIGITS = frozenset("0123456789")
 ROUNDS = 8
 KINDS = ("card", "phone", "ip", "date", "ssn", "iban", "mail")
 
@@ -34,11 +37,11 @@ def permute(x: int, size: int, key: bytes, kind: str) -> int:
     again while its value lies outside."""
     half = max(1, ((size - 1).bit_length() + 1) // 2)
     mask = (1 << half) - 1
-    tag = f"{kind}:{size}".encode()
+    person = hashlib.blake2b(f"{kind}:{size}".encode(), digest_size=16).digest()
     while True:
         a, b = x >> half, x & mask
         for r in range(ROUNDS):
-            f = hashlib.blake2b(b.to_bytes((half + 7) // 8, "big"), key=key, salt=bytes([r]), person=hashlib.blake2b(tag, digest_size=16).digest(), digest_size=(half + 7) // 8 + 1)
+            f = hashlib.blake2b(b.to_bytes((half + 7) // 8, "big"), key=key, salt=bytes([r]), person=person, digest_size=(half + 7) // 8 + 1)
             a, b = b, a ^ int.from_bytes(f.digest(), "big") & mask
         x = a << half | b
         if x < size:
@@ -55,7 +58,7 @@ def _walk(x: int, size: int, key: bytes, kind: str, valid: Callable[[int], bool]
 def _fill(template: str, digits: str) -> str:
     """The template with its digits replaced in order."""
     new = iter(digits)
-    return "".join(next(new) if c.isdigit() else c for c in template)
+    return "".join(next(new) if c in DIGITS else c for c in template)
 
 
 def luhn(digits: str) -> int:
@@ -68,7 +71,7 @@ def luhn(digits: str) -> int:
 
 
 def card(s: str, key: bytes) -> str | None:
-    d = re.sub(r"\D", "", s)
+    d = re.sub("[^0-9]", "", s)
     if not 13 <= len(d) <= 19 or d[0] == "0" or luhn(d[:-1]) != int(d[-1]):
         return None
     n = len(d) - 1
@@ -76,16 +79,32 @@ def card(s: str, key: bytes) -> str | None:
     return _fill(s, new + str(luhn(new)))
 
 
+# Country codes of two digits; 1 and 7 have one, all others three.
+TWO_DIGITS = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
+def _country(s: str) -> tuple[str, str] | None:
+    """Country code and number, a trunk zero in brackets left out; None for code 1, which is read like a number
+    without it."""
+    d = re.sub("[^0-9]", "", s.replace("(0)", "", 1))
+    if d[0] == "1":
+        return None
+    n = 1 if d[0] == "7" else 2 if d[:2] in TWO_DIGITS else 3
+    return d[:n], d[n:]
+
+
 def phone(s: str, key: bytes, any_area: bool = False) -> str | None:
     """``any_area``: ten digits after +1 or with a bracketed area code need no valid area code and exchange; those
     that have none are permuted among themselves."""
-    d = re.sub(r"\D", "", s)
-    if s.startswith("+") and not d.startswith("1"):
-        code = re.match(r"\+(\d{1,3})", s)[1]
-        rest = d[len(code) :]
+    if s.startswith("+") and (found := _country(s)):
+        code, rest = found
         if not 6 <= len(rest) <= 12:
             return None
-        return _fill(s, code + f"{permute(int(rest), 10 ** len(rest), key, 'phone' + code):0{len(rest)}}")
+        new = f"{permute(int(rest), 10 ** len(rest), key, 'phone' + code):0{len(rest)}}"
+        head, trunk, tail = s.partition("(0)")
+        at = sum(c in DIGITS for c in head)
+        return _fill(head, (code + new)[:at]) + trunk + _fill(tail, (code + new)[at:])
+    d = re.sub("[^0-9]", "", s)
     head, rest = (d[0], d[1:]) if len(d) == 11 and d[0] == "1" else ("", d)
     good = lambda x: x // 10**9 >= 2 and x // 10**6 % 10 >= 2
     if len(rest) != 10:
@@ -109,26 +128,32 @@ _FROM = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _FROM
 
 
+def _shape(d: datetime.date) -> tuple[int, bool]:
+    """Dates of one shape fill one another's places in any format: as many digits, and a day that can be no month
+    only for one such."""
+    return (0 if d.day < 10 else 1 if d.day <= 12 else 2), d.month < 10
+
+
 def date(s: str, key: bytes) -> str | None:
     """Year first, or year last with day and month as the separator has it: slash month first, else day first. What
-    is no date so is read in the other order, and goes to a date that can be read in that order alone."""
-    a, sep, b, c = re.match(r"(\d+)(\D)(\d+)\D(\d+)", s).groups()
-    orders = ["ymd"] if len(a) == 4 else ["mdy", "dmy"] if sep == "/" else ["dmy", "mdy"]
-    for order in orders:
+    is no date so is read in the other order. A date goes to one of its shape, the same in every format."""
+    a, sep, b, c = re.match("([0-9]+)([^0-9])([0-9]+)[^0-9]([0-9]+)", s).groups()
+    for order in ["ymd"] if len(a) == 4 else ["mdy", "dmy"] if sep == "/" else ["dmy", "mdy"]:
         part = dict(zip(order, map(int, (a, b, c))))
         try:
-            n = datetime.date(part["y"], part["m"], part["d"]).toordinal() - _FROM
+            old = datetime.date(part["y"], part["m"], part["d"])
             break
         except ValueError:
             pass
     else:
         return None
+    n = old.toordinal() - _FROM
     if not 0 <= n < _DAYS:
         return None
     at = lambda x: datetime.date.fromordinal(_FROM + x)
-    new = at(_walk(n, _DAYS, key, "date", lambda x: order == orders[0] or at(x).day > 12))
-    shown = {"y": f"{new.year:04}", "m": f"{new.month:02}", "d": f"{new.day:02}"}
-    return sep.join(shown[k] for k in order)
+    new = at(_walk(n, _DAYS, key, "date", lambda x: _shape(at(x)) == _shape(old)))
+    shown = {"y": new.year, "m": new.month, "d": new.day}
+    return sep.join(f"{shown[k]:0{len(was)}}" for k, was in zip(order, (a, b, c)))
 
 
 def ssn(s: str, key: bytes) -> str | None:
@@ -139,7 +164,7 @@ def ssn(s: str, key: bytes) -> str | None:
 
 def _classes(s: str, key: bytes, kind: str) -> str:
     """Letters to letters of their case, digits to digits, all as one number in mixed radix."""
-    base = [10 if c.isdigit() else 26 if c.isalpha() and c.isascii() else 1 for c in s]
+    base = [10 if c in DIGITS else 26 if c.isalpha() and c.isascii() else 1 for c in s]
     x, size = 0, 1
     for c, b in zip(s, base):
         x, size = x * b + (0 if b == 1 else ord(c) - ord("0") if b == 10 else ord(c.lower()) - ord("a")), size * b
@@ -169,13 +194,13 @@ def mail(s: str, key: bytes) -> str | None:
 
 _FIND = re.compile(
     r"(?P<mail>(?<![\w.+-])[A-Za-z0-9][\w.+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}\b)"
-    r"|(?P<iban>(?<!\w)[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
-    r"|(?P<date>(?<![\w./-])(?:(?:19|20)\d\d([-./])\d\d?\4\d\d?(?:(?=[Tt]\d\d)|(?![\w/-]|\.\d))|\d\d?([-./])\d\d?\5(?:19|20)\d\d(?![\w/-]|\.\d)))"
-    r"|(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))"
-    r"|(?P<ssn>(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-]))"
-    r"|(?P<phone>\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\w)|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\w)"
-    r"|(?<![\w-])(?:1[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[-.])\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])(?<!\d )(?:1 )?\d{3} \d{3}[ .-]\d{4}(?!\w|[ -]\d))"
-    r"|(?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?!\w))"
+    r"|(?P<iban>(?<!\w)[A-Z]{2}[0-9][0-9](?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
+    r"|(?P<date>(?<![\w./-])(?:(?:19|20)[0-9][0-9]([-./])[0-9][0-9]?\4[0-9][0-9]?(?:(?=[Tt][0-9][0-9])|(?![\w/-]|\.[0-9]))|[0-9][0-9]?([-./])[0-9][0-9]?\5(?:19|20)[0-9][0-9](?![\w/-]|\.[0-9])))"
+    r"|(?P<ip>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9]))"
+    r"|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9][0-9]-[0-9]{4}(?![\w-]))"
+    r"|(?P<phone>\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?!\w)|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}(?!\w)"
+    r"|(?<![\w-])(?:1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[-.])[0-9]{3}[ .-][0-9]{4}(?!\w)|(?<![\w-])(?<![0-9] )(?:1 )?[0-9]{3} [0-9]{3}[ .-][0-9]{4}(?!\w|[ -][0-9]))"
+    r"|(?P<card>(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?!\w))"
 )
 _MAKE = {"card": card, "phone": phone, "ip": ip, "date": date, "ssn": ssn, "iban": iban, "mail": mail}
 
@@ -226,4 +251,5 @@ def pseudonymise_documents(docs: DataFrame, key: bytes = KEY) -> DataFrame:
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymise_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+    key = spark.conf.get(KEY_SETTING, KEY.decode()).encode()
+    return pseudonymise_documents(table(spark, sf_dir, "documents", "doc_id", "text"), key)

@@ -118,3 +118,37 @@ def test_no_planted_phone_is_left(spark):
     assert any(re.match(r"[+]1 [(][01]", v) for vs in seen.values() for v in vs)
     for r in X.op9_pii(spark, d).collect():
         assert not [v for v in seen[r.doc_id] if v in r.text], r.doc_id
+
+
+@pytest.mark.parametrize("text", ["a\u0663@example.org", "x\u00b2@example.com", "ip \u0661.2.3.4", "\u0661\u0662/05/2020", "\uff11\uff12\uff13-45-6789"])
+def test_other_digits_stay(text):
+    """Digits that are not ASCII are no digits: nothing hangs, none is replaced."""
+    new, _ = X.pseudonymise(text, K)
+    assert len(new) == len(text) and [c for c in new if not c.isascii()] == [c for c in text if not c.isascii()]
+
+
+@pytest.mark.parametrize("same", [
+    ["+49 30 1234567", "+49301234567", "+49-30-123-4567", "+49 (30) 1234567", "+49 (0)30 1234567"], ["+33 1 23 45 67 89", "+33123456789"], ["+7 495 123-45-67", "+74951234567"],
+    ["+353 1 234 5678", "+35312345678"], ["+1 (415) 555-2671", "+14155552671", "415-555-2671", "1-415-555-2671"],
+])
+def test_one_number_however_it_is_spaced(same):
+    new = [X.phone(s, K, any_area=True) for s in same]
+    assert [re.sub("[0-9]", "9", n) for n in new] == [re.sub("[0-9]", "9", s) for s in same]
+    assert len({re.sub("[^0-9]", "", n.replace("(0)", ""))[-9:] for n in new}) == 1
+
+
+@pytest.mark.parametrize("text", ["1/5/2020", "01/05/2020", "5.1.2020", "2020-1-5", "12/5/2020", "3/11/1999", "25/12/2020"])
+def test_dates_keep_their_length(text):
+    assert re.sub("[0-9]", "9", X.date(text, K)) == re.sub("[0-9]", "9", text)
+    padded = [int(x) for x in re.split("[-./]", X.date("01/05/2020", K))]
+    assert [int(x) for x in X.date("1/5/2020", K).split("/")] == padded
+
+
+def test_key_of_the_session(spark, docs, table_dir):
+    d = table_dir(documents=docs((1, "97.51.17.173")))
+    plain = X.op9_pii(spark, d).first().text
+    spark.conf.set(X.KEY_SETTING, "another")
+    try:
+        assert X.op9_pii(spark, d).first().text == X.pseudonymise("97.51.17.173", b"another")[0] != plain
+    finally:
+        spark.conf.unset(X.KEY_SETTING)
