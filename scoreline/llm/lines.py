@@ -1,17 +1,20 @@
 """Line deduplication over levelled sorted runs of line hashes.
 
-A run is a written table of line hashes with the number of documents that hold them, partitioned and sorted by
-hash. Batches of documents come one after the other: a batch's hashes are merge-anti-joined with the runs of
+A run is a written table of line hashes with the number of documents that hold them, in buckets by hash, each
+sorted. Batches of documents come one after the other: a batch's hashes are merge-anti-joined with the runs of
 frequent lines, what is left is counted and added as a run of level 0. Once a level has ``fanout`` runs they are
-compacted into one run of the next level, and lines that have reached the threshold move to a frequent run.
+compacted into one run of the next level, and lines that have reached the threshold move to a frequent run. The
+runs lie in a folder of the caller's and outlive the session: a later batch goes on with them.
 
 Defined cases: a null or empty text is one empty line; a line of white space alone has an empty key and always
-stays; a document counts once for a line however often it holds it; rows equal in doc_id and text are
-documents of their own; an empty table gives no rows.
+stays; a text of any length is read whole; a document counts once for a line however often it holds it; rows
+equal in doc_id and text are documents of their own; a key found in just as many documents as the threshold is
+frequent; other columns may have any name; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .base import BLANKS, KEY, Workspace, arrow_map, boxed, raw, row_key, table, unboxed
+from .base import BLANKS, KEY, Workspace, arrow_map, boxed, bucketed, drop_tables, raw, read_text, reopened, row_key, table, unboxed, write_text
 
 
 def line_key(line: bytes) -> bytes:
@@ -32,15 +35,30 @@ def line_hash(key: bytes) -> bytes:
 
 
 class LineRuns:
-    """The runs, by level, and the frequent runs."""
-
-    def __init__(self, work: Workspace, threshold: int, fanout: int = 3):
-        self.work, self.threshold, self.fanout = work, threshold, fanout
-        self.levels: list[list[DataFrame]] = []
-        self.frequent: list[DataFrame] = []
+    """The runs under the folder ``root``, by level, and the frequent runs."""
+
+    SCHEMA = "h BINARY, n BIGINT"
+
+    def __init__(self, spark: SparkSession, root: str, threshold: int, fanout: int = 3):
+        self.spark, self.root, self.threshold, self.fanout = spark, root, threshold, fanout
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.made, self.levels, self.frequent = 0, [], []
+        if known := read_text(spark, f"{root}/runs.json"):
+            k = json.loads(known)
+            self.made = k["made"]
+            again = lambda x: reopened(spark, f"{root}/{x[0]}", self.SCHEMA, "h", x[1])
+            self.levels, self.frequent = [[again(x) for x in level] for level in k["levels"]], [again(x) for x in k["frequent"]]
+
+    def _save(self, *gone: DataFrame) -> None:
+        """The list of runs is replaced first; runs that it no longer names are removed after it."""
+        named = lambda r: (r._staged_at.rsplit("/", 1)[1], int(r._staged_at.rsplit("-", 1)[1]))
+        now = {"made": self.made, "levels": [[named(r) for r in level] for level in self.levels], "frequent": [named(r) for r in self.frequent]}
+        write_text(self.spark, f"{self.root}/runs.json", json.dumps(now))
+        drop_tables(self.spark, *gone)
 
     def _write(self, run: DataFrame) -> DataFrame:
-        return self.work.put(run.repartition("h").sortWithinPartitions("h"))
+        self.made += 1
+        return bucketed(run.select("h", "n"), "h", f"{self.root}/run-{self.made}-{self.buckets}")
 
     def without(self, hashes: DataFrame, runs: list[DataFrame]) -> DataFrame:
         for r in runs:
@@ -51,40 +69,41 @@ class LineRuns:
         """Hashes that no batch has had so far: for deduplication of a stream of batches, first one wins."""
         return self.without(hashes, [r for level in [*self.levels, self.frequent] for r in level])
 
+    def fresh(self, hashes: DataFrame) -> DataFrame:
+        """A batch's hashes, counted, without those known to be frequent."""
+        return self.without(hashes.groupBy("h").agg(F.count("*").alias("n")), self.frequent)
+
     def add(self, hashes: DataFrame) -> None:
         """``hashes``: a row (h) for each document and distinct line of the batch."""
-        fresh = self.without(hashes.groupBy("h").agg(F.count("*").alias("n")), self.frequent)
-        self._insert(0, self._write(fresh))
+        gone = self._insert(0, self._write(self.fresh(hashes)))
+        self._save(*gone)
 
-    def _insert(self, level: int, run: DataFrame) -> None:
+    def _insert(self, level: int, run: DataFrame) -> list[DataFrame]:
+        """Adds a run to a level and compacts what is full; returns the runs that are gone."""
         if level == len(self.levels):
             self.levels.append([])
         self.levels[level].append(run)
-        if len(self.levels[level]) == self.fanout:
-            merged = self._compact(self.levels[level])
-            self.levels[level] = []
-            self._insert(level + 1, merged)
-
-    def _compact(self, runs: list[DataFrame]) -> DataFrame:
-        both = runs[0]
-        for r in runs[1:]:
-            both = both.union(r)
-        summed = self.work.put(both.groupBy("h").agg(F.sum("n").alias("n")))
+        if len(self.levels[level]) < self.fanout:
+            return []
+        old, self.levels[level] = self.levels[level], []
+        summed = self._sum(old)
         self.frequent.append(self._write(summed.filter(F.col("n") >= self.threshold)))
         rest = self._write(summed.filter(F.col("n") < self.threshold))
-        self.work.drop(summed, *runs)
-        return rest
+        return [*old, *self._insert(level + 1, rest)]
+
+    def _sum(self, runs: list[DataFrame]) -> DataFrame:
+        """Runs are read as plain files here: a union of bucketed tables may lose their buckets once it is planned."""
+        both = self.spark.read.schema(self.SCHEMA).parquet(*(r._staged_at for r in runs))
+        return both.groupBy("h").agg(F.sum("n").alias("n"))
 
-    def finish(self) -> DataFrame:
-        """All frequent hashes, once each."""
+    def found(self) -> DataFrame:
+        """All hashes that are frequent by now, once each; the runs stay as they are."""
         runs = [r for level in self.levels for r in level]
-        self.levels = []
-        if runs:
-            self._compact(runs)
-        out = self.frequent[0].select("h") if self.frequent else None
-        for r in self.frequent[1:]:
-            out = out.union(r.select("h"))
-        return out
+        out = self._sum(runs).filter(F.col("n") >= self.threshold).select("h") if runs else None
+        if self.frequent:
+            known = self.spark.read.schema(self.SCHEMA).parquet(*(r._staged_at for r in self.frequent)).select("h")
+            out = known.union(out) if out is not None else known
+        return out.distinct()
 
 
 def _hashes(docs: DataFrame, batches: int) -> DataFrame:
@@ -96,23 +115,27 @@ def _hashes(docs: DataFrame, batches: int) -> DataFrame:
     return arrow_map(docs.select("text", *row_key("doc_id", "text"), batch), run, "rk1 long, rk2 int, batch int, hs array<binary>")
 
 
-def drop_frequent(docs: DataFrame, threshold: int = 10, batches: int = 4, work: Workspace | None = None, fanout: int = 2) -> DataFrame:
+def drop_frequent(docs: DataFrame, threshold: int = 10, batches: int = 9, work: Workspace | None = None, fanout: int = 3, root: str | None = None) -> DataFrame:
     """A struct ``row`` of the columns of ``docs`` but the text, with ``kept`` (the text without frequent lines),
     ``n_lines`` and ``n_dropped``.
 
-    Lines whose key is found in ``threshold`` or more documents go from all of them. With more batches than
-    ``fanout`` the later ones meet the frequent runs of the earlier ones.
+    Lines whose key is found in ``threshold`` or more documents go from all of them. From the ``fanout``-th batch on
+    a batch meets the frequent runs of the earlier ones. With ``root``, a folder of runs, documents that were added to
+    it before count as well, and these are added.
 
-    Scale: only 16-byte hashes are shuffled to count lines, summed on the map side first. Whole texts move once,
-    to meet the list of their own frequent hashes. Frequent lines are joined, never broadcast on trust.
+    Scale: only 16-byte hashes are shuffled to count lines, summed on the map side first; a run is read where it
+    lies. Whole texts move once, to meet the list of their own frequent hashes. Frequent lines are joined, never
+    broadcast on trust.
     """
     spark = docs.sparkSession
     work = work or Workspace(spark, "lines")
     held = work.put(_hashes(docs, batches), partition_by="batch")
-    runs = LineRuns(work, threshold, fanout)
+    runs = LineRuns(spark, root or work.path(), threshold, fanout)
     for i in range(batches):
         runs.add(held.filter(F.col("batch") == i).select(F.explode("hs").alias("h")))
-    gone = work.put(runs.finish())
+    gone = work.put(runs.found())
+    if root is None:
+        drop_tables(spark, *runs.frequent, *(r for level in runs.levels for r in level))
     hits = held.select(*KEY, F.explode("hs").alias("h")).join(gone, "h").groupBy(*KEY).agg(F.collect_set("h").alias("gone"))
     met = docs.select(boxed(docs, "text"), "text", *row_key("doc_id", "text")).join(hits.hint("shuffle_hash"), KEY, "left").select("row", "text", "gone")
 

@@ -3,7 +3,6 @@ import hashlib
 import numpy as np
 
 from scoreline.llm import lines as X
-from scoreline.llm.base import Workspace
 
 
 def brute(rows, threshold):
@@ -49,15 +48,43 @@ def test_unicode_and_blank_lines_stay(docs):
     assert run(docs(*rows), 4)[0][2] == 0
 
 
-def test_runs_compact_by_level(spark):
-    runs = X.LineRuns(Workspace(spark, "test"), threshold=4, fanout=2)
-    frame = lambda *h: spark.createDataFrame([(bytes([x]) * 16,) for x in h], "h binary")
+def frame(spark, *h):
+    return spark.createDataFrame([(bytes([x]) * 16,) for x in h], "h binary")
+
+
+def test_runs_compact_by_level_and_outlive_the_session(spark, tmp_path):
+    def opened():
+        return X.LineRuns(spark, f"{tmp_path}/runs", threshold=4, fanout=2)
+
     for k in range(5):
-        runs.add(frame(1, 1 if k % 2 else 2, 10 + k))
+        opened().add(frame(spark, 1, 1 if k % 2 else 2, 10 + k))
+    runs = opened()
     assert [len(x) for x in runs.levels] == [1, 0, 1]
     assert {r.h[0] for f in runs.frequent for r in f.collect()} == {1}
-    assert {r.h[0] for r in runs.unseen(frame(1, 2, 12, 99)).collect()} == {99}
-    assert sorted(r.h[0] for r in runs.finish().collect()) == [1]
+    assert {r.h[0] for r in runs.unseen(frame(spark, 1, 2, 12, 99)).collect()} == {99}
+    assert [r.h[0] for r in runs.found().collect()] == [1]
+    on_disk = [p for p in (tmp_path / "runs").iterdir() if p.is_dir()]
+    assert len(on_disk) == sum(map(len, runs.levels)) + len(runs.frequent)
+
+
+def test_batches_are_merge_joined_with_runs_where_they_lie(spark, tmp_path):
+    """No exchange and no broadcast on the side of a run."""
+    runs = X.LineRuns(spark, f"{tmp_path}/runs", threshold=2, fanout=2)
+    for _ in range(4):
+        runs.add(frame(spark, 1, 2, 3))
+    assert len(runs.levels) == 3 and len(runs.frequent) == 3
+    for got, n in ((runs.fresh(frame(spark, 1, 9)), 3), (runs.unseen(frame(spark, 1, 9)), 4)):
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == n and "BroadcastExchange" not in plan
+        assert plan.count("Exchange hashpartitioning") == 1  # that of the batch itself
+        assert plan.count("Bucketed: true") == n
+        assert {r.h[0] for r in got.collect()} == {9}
+
+
+def test_documents_added_before_count(spark, docs, tmp_path):
+    X.drop_frequent(docs(*[(i, "often\nseldom" if i < 2 else "often") for i in range(8)]), 5, 2, root=f"{tmp_path}/r")
+    got = X.drop_frequent(docs((9, "often\nseldom\nnew")), 5, 1, root=f"{tmp_path}/r").collect()
+    assert [r.kept for r in got] == ["seldom\nnew"]
 
 
 def test_stage(spark, docs):
@@ -78,10 +105,10 @@ def test_query(spark, docs, table_dir):
 
 
 def test_later_batches_meet_frequent_runs(spark, docs, monkeypatch):
-    """At the defaults, what is frequent after compaction is anti-joined from the batches that follow."""
-    met, plain = [], X.LineRuns.without
-    monkeypatch.setattr(X.LineRuns, "without", lambda self, h, runs: met.append([r.count() for r in runs]) or plain(self, h, runs))
+    """At the defaults, two levels of compaction; what is frequent by then is anti-joined from the batches that follow."""
+    met, depth, plain = [], [], X.LineRuns.without
+    monkeypatch.setattr(X.LineRuns, "without", lambda self, h, runs: (met.append([r.count() for r in runs]), depth.append(len(self.levels)), plain(self, h, runs))[2])
     rows = [(i, f"common\nonly {i}\nshared {i % 12}") for i in range(120)]
     got = {r.doc_id: r.kept for r in X.drop_frequent(docs(*rows)).select("row.doc_id", "kept").collect()}
-    assert any(sum(n) for n in met)
+    assert sum(any(n) for n in met) == 6 and max(map(len, met)) == 2 and max(depth) == 2
     assert got == {i: f"only {i}" for i, _ in rows}
