@@ -1,6 +1,8 @@
 import html
 import re
+import time
 
+import numpy as np
 import pytest
 
 from scoreline.llm import html as X
@@ -42,9 +44,80 @@ def test_very_long_pages():
     assert X.extract("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
 
 
-def test_best_region_is_the_maximum():
-    word, tag = X.weights()
-    assert word["nav"] < 0 < word["article"] and word["footer"] < 0 and tag["nav"] < 0
+def test_text_is_not_broken_by_what_is_not_shown():
+    inner = "<article><p>one <script>x()</script>two three</p><p>alpha beta <svg><path/></svg> gamma</p><p>pic <img src=x> and <wbr>more</p></article>"
+    assert X.extract(page(inner)) == "one two three\nalpha beta gamma\npic and more"
+
+
+def test_what_lies_beside_the_article_goes():
+    assert X.extract("<article><p>big</p></article><p>hello there second para outside article of some words</p>") == "big"
+
+
+def test_names_that_no_page_has_shown():
+    """Menus and lists of links go by their links, whatever they are called."""
+    menu = "<div class=zzqx><ul>" + "<li><a href=x>Some place</a></li>" * 6 + "</ul></div>"
+    prose = "<div class=qqq>" + "<p>A paragraph of a good many words that says one thing, and then another.</p>" * 4 + "</div>"
+    assert X.extract(page(menu + prose + menu)) == "\n".join(["A paragraph of a good many words that says one thing, and then another."] * 4)
+
+
+def brute_region(events, score):
+    """All regions of all events, after the same folding by definition, from the innermost element out."""
+    n = len(events)
+    runs = lambda v: max(((sum(v[a:b]), -a, -b) for a in range(n) for b in range(a + 1, n + 1)), default=(0, 0, 0))
+    best = runs(score)
+    seed = (-best[1], -best[2] - 1) if best[0] > 0 else (0, -1)
+    value, gone, stack, spans = list(score), set(), [], []
+    for i, e in enumerate(events):
+        if not isinstance(e, X.Block):
+            spans.append((stack.pop(), i)) if not e[1] else stack.append(i)
+    for a, b in spans:
+        if sum(value[a : b + 1]) < 0 and not a <= seed[0] <= seed[1] <= b:
+            value[a : b + 1] = [max(sum(value[a : b + 1]), -X.COST)] + [0.0] * (b - a)
+            gone |= set(range(a, b + 1))
+    got = runs([x for x in value])
+    return set(range(-got[1], -got[2])) - gone if got[0] > 0 else set(), got[0]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_best_region_is_the_maximum(seed):
+    rng = np.random.default_rng(seed)
+    body, depth = "", 0
+    for _ in range(int(rng.integers(3, 14))):
+        move = rng.integers(0, 4)
+        if move == 0:
+            body, depth = body + "<div>", depth + 1
+        elif move == 1 and depth:
+            body, depth = body + "</div>", depth - 1
+        else:
+            body += "words "
+    events = X.Reader({}).read(body)
+    score = [float(x) for x in rng.integers(-40, 40, len(events)) * 0.25]
+    want, _ = brute_region(events, score)
+    got = X.best_region(events, score)
+    shown = lambda x: [i for i in sorted(x) if isinstance(events[i], X.Block)]
+    total = lambda x: sum(score[i] for i in x if isinstance(events[i], X.Block))
+    assert shown(got) == shown(want) or total(got) == pytest.approx(total(want))
+
+
+def test_weights_come_from_labelled_pages():
+    """What the pages learned from have outside of their article goes, under names that this module has never seen."""
+    prose = "<p>A paragraph of a good many words that says one thing, and then another.</p>"
+    rows = [f"<div class=wobble>{prose}</div><article>{prose * 3}<p>No {k}.</p></article><div class=wibble><p>More of this</p></div>" for k in range(30)]
+    unmarked = f"<div class=wobble>{prose}</div><div>{prose * 3}</div><div class=wibble><p>More of this</p></div>"
+    assert X.extract(unmarked, X.learn(rows)).count("\n") == 2 and X.extract(unmarked).count("\n") > 2
+    weight, cost = X.learn(rows)
+    assert weight[".wobble"] < -1 and weight["nav"] < 0 and weight[".comments"] < 0
+    assert all(0 < c < 1 for c in cost.values()) and cost["article"] < 0.6
+
+
+@pytest.mark.parametrize("part", ["<a ", "<div>", "<b>", "<p><b>", "</p>", "<!", "<a \"", "<script>", "<div class=a><p>x</p>", "<li><b>", "&am", "<"])
+def test_long_broken_pages_take_linear_time(part):
+    took = []
+    for n in (100_000, 1_000_000):
+        began = time.process_time()
+        X.extract((part * n)[:n])
+        took.append(time.process_time() - began)
+    assert took[1] < 25 * max(took[0], 0.1)
 
 
 def test_all_pages_of_the_table(spark):
