@@ -46,6 +46,40 @@ def test_mix(spark, docs):
     assert again == {r.doc_id: r.taken for r in got}
 
 
+@pytest.mark.parametrize("sums", [[1000, 100, 10], [10, 10, 10, 10, 1], [0, 0], [5], [1, 2, 4, 8, 16, 32, 64, 5000, 3, 0, 9], []])
+def test_goals_by_rounds_of_sums(spark, sums):
+    df = spark.createDataFrame([(k, n) for k, n in enumerate(sums)], "sid long, n long")
+    got = {r.sid: r.target for r in X.goals(df, (5, 2, 1), 3.0).collect()}
+    want = X.targets(sums, [(5, 2, 1)[k % 3] for k in range(len(sums))])
+    assert [got[k] for k in range(len(sums))] == pytest.approx(want)
+
+
+def test_sources_in_code_point_order(spark):
+    names = ["b", "B", "é", "z", "\U0001f600", "\uffff", "", None, *(f"n{k}" for k in range(50))]
+    df = spark.createDataFrame([(n, 1) for n in names], "source string, n long").repartition(5)
+    from scoreline.llm.base import Workspace
+
+    got = {r.source: r.sid for r in X.numbered(df, Workspace(spark, "test")).collect()}
+    order = sorted((n for n in names if n is not None)) + [None]
+    assert [got[n] for n in order] == list(range(len(names)))
+
+
+def test_many_equal_rows_are_counted_not_ranked(spark, docs):
+    """Copies of one row are one narrow row until the result is written out."""
+    rows = [{"doc_id": 5, "text": "a b", "source": "x"}] * 9000 + [{"doc_id": i, "text": "a b", "source": "y"} for i in range(3000)]
+    got = X.mix(docs(*rows)).collect()
+    assert len(got) == 12_000 and sum(r.doc_id == 5 for r in got) >= 9000
+    assert abs(sum(r.taken for r in got) - 24_000) <= 4
+
+
+def test_stage_takes_some_of_equal_rows(spark, docs, monkeypatch):
+    monkeypatch.setattr(X, "BUCKET", 3)
+    rows = [{"doc_id": 1, "text": "a b", "source": "x"}] * 40 + [{"doc_id": i, "text": "a b", "source": "y"} for i in range(2, 32)]
+    df = docs(*rows)
+    want = sum(r.taken for r in X.mix(df).collect()) // 2
+    assert X.mix_stage(spark, df, "").count() == want
+
+
 def test_hot_sizes_are_ranked_in_buckets(spark, docs, monkeypatch):
     monkeypatch.setattr(X, "BUCKET", 5)
     got = X.mix(docs(*[{"doc_id": i, "text": "a b", "source": "x" if i < 150 else "y"} for i in range(200)])).collect()
