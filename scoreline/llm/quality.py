@@ -1,7 +1,8 @@
 """Quality rules: a table of thresholds compiled into one Spark projection, without user functions.
 
-Defined cases: a null or empty text has no words and fails; a line counts as repeated if it holds a word and
-equals an earlier line of its text; rows equal in everything are judged alike; an empty table gives no rows.
+Defined cases: a null or empty text has no words and fails; a text of any length is counted whole; a line counts as
+repeated if it holds a word and equals an earlier line of its text; a ratio of just a threshold holds; rows equal in
+everything are judged alike; other columns may have any name; an empty table gives no rows.
 """
 
 from __future__ import annotations

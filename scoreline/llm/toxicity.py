@@ -3,12 +3,13 @@
 Features are hashed words, word pairs and pairs that skip one word. FTRL-proximal gives each coordinate its own
 rate and, by L1, keeps most weights at zero; the rest is a short list of (index, weight) that is broadcast.
 
-The model is fitted on at most ``MOST`` labelled rows, those of the smallest hash of doc_id: a documented bound
-that keeps fitting in the driver's memory. Scoring reads every whole text.
+The model is fitted on at most ``MOST`` labelled rows of ``MOST_FEATURES`` features in all, those of the smallest
+hash of doc_id: a documented bound that keeps fitting in the driver's memory. Scoring reads every whole text.
 
-Defined cases: a null or empty text has no features and scores by the bias alone; labels that are null are not
-learned from; a doc_id with several labels counts each; without any label every score is 0.5; a row with a
-null doc_id is scored and never held out; an empty table gives no rows.
+Defined cases: a null or empty text has no features and scores by the bias alone; a text of any length is read
+whole; labels that are null are not learned from; a doc_id with several labels or rows counts each; a score of just
+0.5 is predicted 1; without any label every score is 0.5; a row with a null doc_id is scored and never held out;
+other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import arrow_map, blocks, let_workers_import, raw, table
+from .base import Workspace, arrow_map, blocks, let_workers_import, raw, table
 
 DIM = 1 << 20
-MOST = 12_000
+MOST, MOST_FEATURES = 12_000, 40_000_000
 EPOCHS = 3
 ALPHA, BETA, L2 = 2.0, 1.0, 1.0
 #: L1 for each 1,000 rows learned from: a weight must be earned by a share of them.
@@ -76,8 +77,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MOST, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray, float]:
-    """Learns from labelled rows that are not held out: ``most`` of them at most, as feature indices."""
+def fit(docs: DataFrame, labels: DataFrame, most: int = MOST, epochs: int = EPOCHS, most_features: int = MOST_FEATURES) -> tuple[np.ndarray, np.ndarray, float]:
+    """Learns from labelled rows that are not held out: ``most`` of them and ``most_features`` features at most."""
     known = labels.filter("toxic is not null and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("y")).filter(~held_out())
     chosen = known.orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id", "y").limit(most)
 
@@ -86,8 +87,15 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST, epochs: int = EPOC
             x = [indices(t).astype("<u4").tobytes() for t in raw(b, "text")]
             yield pa.record_batch([b.column(0), b.column(2), pa.array(x, pa.binary())], ["doc_id", "y", "x"])
 
+    work, key = Workspace(docs.sparkSession, "toxicity"), ["h", "doc_id", "y", "n"]
     rows = arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y"), run, "doc_id long, y int, x binary")
-    got = sorted(rows.toLocalIterator(), key=lambda r: (xxhash.xxh64_intdigest(str(r.doc_id)), r.doc_id, r.y, r.x))
+    held = work.put(rows.select(F.xxhash64("doc_id", F.lit(5)).alias("h"), "doc_id", "y", (F.octet_length("x") / 4).cast("long").alias("n"), "x"))
+    sizes = held.select(*key).orderBy(*key).limit(most).collect()
+    fits = int(np.searchsorted(np.cumsum([r.n for r in sizes]), most_features, "right"))
+    some = held.filter(F.col("h") <= sizes[fits - 1].h) if fits else held.limit(0)
+    got = sorted(some.toLocalIterator(), key=lambda r: (*(r[k] for k in key), r.x))[:fits]
+    got.sort(key=lambda r: (xxhash.xxh64_intdigest(str(r.doc_id)), r.doc_id, r.y, r.x))
+    work.drop(held)
     model = Ftrl(l1=L1 * (1 + len(got) / 1000))
     data = [(np.frombuffer(r.x, "<u4").astype(np.int64), r.y) for r in got]
     rng = np.random.default_rng(3)

@@ -55,3 +55,46 @@ def test_edge_cases(spark, docs):
     assert [r.score for r in got] == [0.5] * 4 and all(r.predicted == 1 for r in got) and not [r for r in got if r.doc_id is None][0].held_out
     odd = spark.createDataFrame([(None, 1), (1, None), (2, 1), (2, 0), (9, 1)], "doc_id long, toxic int")
     assert X.score(docs(), X.fit(df, odd)).count() == 0
+
+
+def test_ftrl_against_plain_loops():
+    """The published update, coordinate by coordinate."""
+    rng, dim, l1 = np.random.default_rng(2), 50, 0.3
+    m = X.Ftrl(dim, l1)
+    z, n = [0.0] * (dim + 1), [0.0] * (dim + 1)
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - (l1 if z[i] > 0 else -l1)) / ((X.BETA + n[i] ** 0.5) / X.ALPHA + X.L2)
+
+    for _ in range(300):
+        x, y = sorted(rng.choice(dim, 6, replace=False).tolist()), int(rng.random() < 0.5)
+        m.learn(np.array(x), y)
+        old = {i: weight(i) for i in [*x, dim]}
+        g = (1 / (1 + np.exp(-sum(old.values()))) - y) * (X.POSITIVE if y else 1.0)
+        for i, w in old.items():
+            sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / X.ALPHA
+            z[i] += g - sigma * w
+            n[i] += g * g
+    at, w, bias = m.compact()
+    want = [weight(i) for i in range(dim + 1)]
+    assert at.tolist() == [i for i in range(dim) if want[i]] and np.allclose(w, [want[i] for i in at]) and abs(bias - want[dim]) < 1e-9
+
+
+def test_features_learned_from_are_bounded(spark, docs):
+    """As many rows, in the order of a hash, as their features have room; repeated documents count too."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(40)) + (" bad" if i % 2 else "")) for i in range(60)]
+    df = docs(*rows, *rows[:10])
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    seen = []
+    plain = X.Ftrl.learn
+    try:
+        X.Ftrl.learn = lambda self, i, y: seen.append(len(i)) or plain(self, i, y)
+        X.fit(df, labels, epochs=1, most_features=1000)
+        bounded = list(seen)
+        seen.clear()
+        X.fit(df, labels, epochs=1, most=7)
+    finally:
+        X.Ftrl.learn = plain
+    assert 0 < sum(bounded) <= 1000 and len(seen) == 7
