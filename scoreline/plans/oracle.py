@@ -8,12 +8,11 @@ from __future__ import annotations
 
 import datetime
 
-from ..operators.charts import CHARTS, chart_sql
+from ..functions.chat import EXPLORATION_LEXICON, FEATURE_LEXICON
+from ..operators.charts import CHARTS, Rows, chart_sql
 from ..sources.ops_adapter import INPUTS, plain_sql
-from .catalogue import MATCH, ONE, TWO
-from .tables import AS_OF, PUBLISHED
-
-LEXICON = "(?i)(^|[^a-z])(idiot|clown|trash|moron|scum|the|los|der|les)([^a-z]|$)"
+from .catalogue import LEXICON, MATCH, ONE, TWO, VARIED
+from .tables import AS_OF, PUBLISHED, STAMPED
 
 
 def r(x: str, n: int) -> str:
@@ -34,10 +33,11 @@ def wins(team: str = "team") -> str:
 
 def chat(lower: bool) -> str:
     text = "coalesce(messagelower, '')" if lower else "coalesce(message, '')"
+    lexicon = EXPLORATION_LEXICON if lower else FEATURE_LEXICON
     return f"""select logid, steamid, count(*) as chat_messages, avg(length(coalesce(message, ''))) as avg_message_length,
   cast(count(*) filter (regexp_matches(coalesce(message, ''), '^[A-Z0-9 !?.''\\-]+$')) as bigint) as all_caps_messages,
   cast(count(*) filter (regexp_matches({text}, '!{{2,}}')) as bigint) as intense_punctuation_messages,
-  cast(count(*) filter (regexp_matches({text}, '{LEXICON}')) as bigint) as negative_lexicon_hits
+  cast(count(*) filter (regexp_matches({text}, '{lexicon}')) as bigint) as negative_lexicon_hits
   from messages_base where steamid is not null group by logid, steamid"""
 
 
@@ -129,6 +129,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
   left join snapshot_meta s on q.snapshot_id = s.snapshot_id"""),
     "target": (("serving_player_profiles",), "select steamid as who from serving_player_profiles order by last_seen_at desc, steamid limit 1"),
 }
+PARTS |= {n: (PARTS[n][0], f"select *, timestamp '{AS_OF} 00:00:00' as updated_at from ({PARTS[n][1]}) made") for n in STAMPED}
 
 
 def compose(final: str, *needs: str) -> str:
@@ -265,7 +266,7 @@ SQL: dict[str, str] = {
   window w as (order by match_time, logid), l as (order by match_time, logid rows between 11 preceding and current row) order by match_time desc, logid desc limit 200""", "summaries_base"),
     "q09_pair_synergy": compose(f"""select a.steamid as player_a, b.steamid as player_b, count(*) as games_together, {r('avg(a.kills + b.kills)', 2)} as avg_combined_kills, {r('avg(a.damagedealt + b.damagedealt)', 2)} as avg_combined_damage, {r(ratio('sum(a.kills + b.kills)', 'sum(a.deaths + b.deaths)'), 3)} as combined_kd_ratio,
   {r(f"avg({wins('a.team')})", 3)} as win_rate_together, {r(f"avg(a.damagedealt + b.damagedealt) * avg({wins('a.team')}) / 1000.0", 4)} as synergy_score from summaries_base a join summaries_base b on a.logid = b.logid and a.team = b.team and a.steamid < b.steamid left join logs_base l on a.logid = l.logid
-  group by 1, 2 having count(*) >= 5 order by synergy_score desc, games_together desc, player_a, player_b limit 200""", "summaries_base", "logs_base"),
+  group by 1, 2 having count(*) >= 20 order by synergy_score desc, games_together desc, player_a, player_b limit 200""", "summaries_base", "logs_base"),
     "q10_relative_impact": compose(f"""select steamid, logid, map, team, match_time, {_MEASURES}, {r('ks', 3)} as kill_share_of_team, {r('ds', 3)} as damage_share_of_team, {r('hs', 3)} as healing_share_of_team, {r('impact', 4)} as weighted_impact_index
   from shares where steamid = '{ONE}' order by match_time desc, logid desc limit 200""", "shares"),
     "q11_sentiment_export": compose(f"""select s.steamid, s.logid, s.match_time, s.map, s.team, {_MEASURES}, coalesce(classesplayedcsv, '') as classes_played_csv, coalesce(chat_messages, 0) as chat_messages, {r('coalesce(avg_message_length, 0.0)', 2)} as avg_message_length, coalesce(all_caps_messages, 0) as all_caps_messages,
@@ -284,11 +285,11 @@ SQL: dict[str, str] = {
     "q19_registry_snapshot": compose(f"select model_name, model_version, task_type, stage, is_active, snapshot_id, snapshot_cutoff_date, snapshot_training_rows, primary_metric_name, metric_auc, metric_precision, metric_recall, metric_f1, metric_rmse, metric_mae, model_age_days, data_age_days, created_at, promoted_at, {r('primary_metric_value', 6)} as primary_metric_value from serving_ml_model_registry", "serving_ml_model_registry"),
     "q20_player_deep_dive": compose(f"""select map, count(*) as games, {r('avg(won_game)', 4)} as win_rate, {r('avg(kills)', 3)} as avg_kills, {r('avg(damage_dealt)', 3)} as avg_damage, {r('avg(impact_index)', 4)} as avg_impact_index, {r('avg(kda_ratio)', 3)} as avg_kda_ratio, {r('avg(negative_chat_ratio)', 4)} as avg_negative_chat_ratio,
   {r(ratio("count(*) filter (behaviour_risk_tier = 'high')", 'count(*)'), 4)} as high_risk_game_rate, {r(ratio("count(*) filter (impact_tier in ('elite', 'strong'))", 'count(*)'), 4)} as strong_impact_game_rate, {r(ratio("count(*) filter (momentum_label = 'hot')", 'count(*)'), 4)} as hot_momentum_game_rate
-  from serving_player_match_deep_dive, target where steamid = who and match_date >= {day(365)} group by map having count(*) >= 5""", "serving_player_match_deep_dive", "target"),
+  from serving_player_match_deep_dive, target where steamid = who and match_date >= {day(60)} group by map having count(*) >= 5""", "serving_player_match_deep_dive", "target"),
     "q21_profile_percentiles": compose(_profile(_PROFILE_KEEP, "(select who from target)"), "target"),
     "q22_synergy_network": compose(f"""select who as target_steamid, other_steamid, {_same(4, 'won')}, {r('avg(oi)', 4)} as avg_other_impact_index, {r("avg(case when tier = 'high' then 1.0::double else 0.0 end)", 4)} as high_risk_pair_rate
   from (select who, o.steamid as other_steamid, case when o.team = a.team then 1 else 0 end as same, case when a.won_game = 1 then 1 else 0 end as won, o.impact_index as oi, o.behaviour_risk_tier as tier
-   from (select d.*, who from serving_player_match_deep_dive d, target where steamid = who and match_date >= {day(3650)}) a join serving_player_match_deep_dive o on a.logid = o.logid and o.steamid <> a.steamid) x group by 1, 2 having count(*) >= 2""", "serving_player_match_deep_dive", "target"),
+   from (select d.*, who from serving_player_match_deep_dive d, target where steamid = who and match_date >= {day(90)}) a join serving_player_match_deep_dive o on a.logid = o.logid and o.steamid <> a.steamid) x group by 1, 2 having count(*) >= 5""", "serving_player_match_deep_dive", "target"),
     "q23_platform_checks": compose(" union all ".join(_FEATURES + _SERVING), "logs", *PUBLISHED),
     "q24_serving_checks": compose(" union all ".join(_SERVING), *PUBLISHED),
     "q25_readiness_checks": compose(" union all ".join(_READY), "features_player_match", "features_player_recent_form", "ml_training_dataset_snapshots"),
@@ -304,5 +305,49 @@ SQL: dict[str, str] = {
   cast(case m.team when 'Red' then coalesce(redscore, 0) - coalesce(bluescore, 0) else coalesce(bluescore, 0) - coalesce(redscore, 0) end as bigint) as score_delta, m.won_game as label_win,
   cast(ntile(100) over (partition by m.match_date order by m.impact_index asc nulls first, m.logid, m.steamid) as integer) as label_impact_percentile, m.possible_tilt_label as label_tilt
   from features_player_match m left join logs_base l on m.logid = l.logid left join features_player_recent_form f on m.logid = f.logid and m.steamid = f.steamid, (select max(match_time) as c from features_player_match) x where m.match_time <= c""", "features_player_match", "features_player_recent_form", "logs_base"),
-    **{f"c_{n}": compose(chart_sql(s, AS_OF, r), s.table) for n, s in CHARTS.items()},
+    **{f"c_{n}": compose(chart_sql(s, AS_OF, r), s.table) for n, s in CHARTS.items() if not isinstance(s, Rows)},
 }
+
+# Columns and limits of the charts of plain rows.
+SQL |= {
+    "c_momentum_snapshot": compose("""select steamid, games_played, career_win_rate, career_avg_impact, rolling_10_avg_impact, form_delta_impact, momentum_label,
+  tilt_risk_rate, rolling_10_negative_chat_ratio, updated_at from serving_player_profiles order by steamid limit 100""", "serving_player_profiles"),
+    "c_impact_vs_tilt": compose("""select steamid, momentum_label, games_played, career_avg_impact, tilt_risk_rate from serving_player_profiles
+  order by steamid limit 150""", "serving_player_profiles"),
+    "c_map_snapshot": compose("""select match_date, map, games, avg_duration_minutes, avg_kills_per_minute, close_game_rate, blowout_rate, active_players,
+  avg_negative_chat_ratio, tilt_signal_rate from serving_map_overview_daily order by match_date nulls first, map nulls first limit 200""", "serving_map_overview_daily"),
+    "c_tilt_snapshot": compose("""select steamid, momentum_label, rolling_10_negative_chat_ratio, tilt_risk_rate, recent_30_win_rate, form_delta_impact
+  from serving_player_profiles order by steamid limit 120""", "serving_player_profiles"),
+    "c_chat_snapshot": compose("""select match_date, map, games, avg_negative_chat_ratio, tilt_signal_rate, active_players from serving_map_overview_daily
+  order by match_date nulls first, map nulls first limit 120""", "serving_map_overview_daily"),
+    "c_hotspots": compose("""select map, match_date, tilt_signal_rate, avg_negative_chat_ratio, games from serving_map_overview_daily
+  order by match_date nulls first, map nulls first limit 300""", "serving_map_overview_daily"),
+    "c_deep_dive_rows": compose("""select match_date, steamid, logid, map, won_game, kills, damage_dealt, impact_index, kda_ratio, negative_chat_ratio,
+  momentum_label, behaviour_risk_tier, impact_tier from serving_player_match_deep_dive
+  order by match_time nulls first, logid nulls first, steamid nulls first limit 250""", "serving_player_match_deep_dive"),
+    "c_progress_rows": compose("""select progress_date, pipeline_success_runs, pipeline_failed_runs, avg_pipeline_duration_seconds, latest_pipeline_status, snapshots_created,
+  training_rows_materialised, latest_snapshot_id, models_registered, promotions_to_production, active_production_models
+  from serving_ml_pipeline_progress_daily order by progress_date nulls first limit 200""", "serving_ml_pipeline_progress_daily"),
+    "c_registry_rows": compose("""select model_name, model_version, task_type, stage, is_active, snapshot_id, primary_metric_name, primary_metric_value,
+  model_age_days, data_age_days from serving_ml_model_registry order by model_name nulls first, model_version nulls first limit 300""", "serving_ml_model_registry"),
+    "c_quality_rows": compose("""select progress_date, model_name, model_version, task_type, stage, is_active, rows_total, precision, recall, f1, roc_auc, pr_auc,
+  brier, rmse, mae, data_age_days from serving_ml_prediction_quality_daily
+  order by progress_date nulls first, model_name nulls first, model_version nulls first, snapshot_id nulls first, rows_total nulls first limit 300""", "serving_ml_prediction_quality_daily"),
+}
+
+
+def varied(name: str) -> str:
+    """A query's SQL with the words of the synthetic chat and, where it has them, other limits."""
+    sql = SQL[name].replace(FEATURE_LEXICON, LEXICON).replace(EXPLORATION_LEXICON, LEXICON)
+    for old, new in {
+        "q09_pair_synergy": (("having count(*) >= 20 order", "having count(*) >= 5 order"),),
+        "q20_player_deep_dive": ((day(60), day(365)),),
+        "q22_synergy_network": ((day(90), day(3650)), ("x group by 1, 2 having count(*) >= 5", "x group by 1, 2 having count(*) >= 2")),
+    }.get(name, ()):
+        if old not in sql:
+            raise ValueError(f"{name} has no {old!r}")
+        sql = sql.replace(old, new)
+    return sql
+
+
+SQL |= {f"x_{name}": varied(name) for name in VARIED}

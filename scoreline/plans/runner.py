@@ -15,7 +15,7 @@ from ..functions.core import refresh_bound
 from ..operators import features, mlops, quality, serving
 from ..schemas import PIPELINE_RUNS
 from .store import TableStore, retry_on_conflict
-from .tables import PUBLISHED, Tables
+from .tables import PUBLISHED, STAMPED, Tables, stamped
 
 FULL, INCREMENTAL = "full", "incremental"
 SERVING_SLICE, ML_SLICE, ALL = "feature-serving", "ml", "all"
@@ -42,6 +42,7 @@ class Runner:
             raise ValueError(f"no such mode: {mode}")
         self.t, self.store, self.mode, self.days, self.now = tables, store, mode, refresh_days, now
         self.run_id = uuid.uuid4().hex
+        self.t.refreshed_at = now()
         self._changed_players: DataFrame | None = None
 
     def _full(self, name: str) -> bool:
@@ -87,7 +88,8 @@ class Runner:
         rows = self.t["features_player_match"]
         return rows.filter(_days_since(refresh_bound(rows, "match_date", self.days))).select("steamid").distinct()
 
-    def _by_player(self, name: str, make: Callable[[DataFrame | None], DataFrame], by: str | None = None) -> int:
+    def _by_player(self, name: str, plan: Callable[[DataFrame | None], DataFrame], by: str | None = None) -> int:
+        make = (lambda who: stamped(plan(who), self.t.refreshed_at)) if name in STAMPED else plan
         if self._full(name):
             return self._publish(name, lambda: self.store.overwrite(name, make(None), by))
         who = self._players()
@@ -103,9 +105,9 @@ class Runner:
         name = "serving_map_overview_daily"
         logs, s, f = (self.t[n] for n in ("logs_base", "summaries_base", "features_player_match"))
         if self._full(name):
-            return self._publish(name, lambda: self.store.overwrite(name, serving.map_overview_daily(logs, s, f), MONTH))
+            return self._publish(name, lambda: self.store.overwrite(name, stamped(serving.map_overview_daily(logs, s, f), self.t.refreshed_at), MONTH))
         day = refresh_bound(logs.select(F.to_date("match_time").alias("d")), "d", self.days)
-        return self._publish(name, lambda: self.store.replace_where(name, serving.map_overview_daily(logs, s, f, day), _days_since(day), MONTH, _from(day)))
+        return self._publish(name, lambda: self.store.replace_where(name, stamped(serving.map_overview_daily(logs, s, f, day), self.t.refreshed_at), _days_since(day), MONTH, _from(day)))
 
     def serving_player_match_deep_dive(self) -> int:
         """Rows of changed players are all refreshed: their career averages have moved."""
@@ -167,12 +169,22 @@ class Runner:
         return out
 
 
-def maintain(store: TableStore, names: list[str], files: int = 1, keep: int = 3) -> None:
-    """Rewrites tables into few files and drops versions beyond the last ``keep``."""
+def maintain(store: TableStore, names: list[str], target_mb: int = 256, days: float = 14) -> None:
+    """Rewrites tables into files of a good size and drops versions of over ``days`` days ago, but for the last."""
     for n in names:
         if store.exists(n):
-            retry_on_conflict(lambda n=n: store.compact(n, files))
-            store.expire(n, keep)
+            retry_on_conflict(lambda n=n: store.compact(n, target_mb))
+            store.expire(n, days=days)
+
+
+def row_counts(store: TableStore, names: list[str]) -> DataFrame:
+    """(table_name, row_count) of published tables, as one relation."""
+    out = None
+    for n in names:
+        if store.exists(n):
+            one = store.read(n).agg(F.lit(n).alias("table_name"), F.count("*").alias("row_count"))
+            out = one if out is None else out.unionAll(one)
+    return out if out is not None else store.spark.createDataFrame([], "table_name string, row_count long")
 
 
 def validate_settings(settings: dict[str, str | None], needed: list[str]) -> None:

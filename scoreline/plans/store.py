@@ -78,7 +78,7 @@ class TableStore:
             out = self._fs.create(self._path(f"{self.root}/{name}/pointer-{version}.json"), False)
         except Exception as e:
             raise Conflict(f"{name}: version {version} is taken") from e
-        out.write(bytearray(json.dumps({"parts": parts, "schema": schema, "by": by}).encode()))
+        out.write(bytearray(json.dumps({"parts": parts, "schema": schema, "by": by, "at": time.time()}).encode()))
         out.close()
         return version
 
@@ -132,14 +132,25 @@ class TableStore:
         """Rows for which ``where`` holds go, the new rows come."""
         return self._replace(name, new, lambda old: old.filter(~F.coalesce(where, F.lit(False))), by, parts)
 
-    def compact(self, name: str, files: int = 1) -> int:
-        last = self.versions(name)[-1]
-        return self.overwrite(name, self.read(name, last).coalesce(files), self._pointer(name, last)["by"], last)
+    def compact(self, name: str, target_mb: int = 256) -> int:
+        """The same rows in files of about ``target_mb``: partitions are merged and split to that size as they are
+        written, in parallel."""
+        last, size = self.versions(name)[-1], "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+        before = self.spark.conf.get(size, None)
+        self.spark.conf.set(size, f"{target_mb}m")
+        try:
+            by = self._pointer(name, last)["by"]
+            rows = self.read(name, last)
+            return self.overwrite(name, rows if by else rows.hint("rebalance"), by, last)
+        finally:
+            self.spark.conf.set(size, before) if before else self.spark.conf.unset(size)
 
-    def expire(self, name: str, keep: int = 1) -> None:
-        """Drops all but the last ``keep`` versions and the files that none of those names."""
+    def expire(self, name: str, keep: int = 1, days: float = 0, now: Callable[[], float] = time.time) -> None:
+        """Drops versions written over ``days`` days ago, but for the last ``keep``, and the files that none of those
+        that stay names."""
         all_ = self.versions(name)
-        stay = set(all_[-keep:])
+        young = {v for v in all_ if days and self._pointer(name, v).get("at", 0) >= now() - days * 86_400}
+        stay = young | set(all_[-keep:])
         used = {p for v in stay for ps in self._pointer(name, v)["parts"].values() for p in ps}
         for v in all_:
             if v not in stay:

@@ -6,8 +6,9 @@ import datetime
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..functions.chat import FEATURE_LEXICON, lexicon_scorer
+from ..functions.chat import FEATURE_LEXICON, Scorer, lexicon_scorer
 from ..operators import features, mlops, serving
 from ..sources import adapter
 from ..sources.ops_adapter import INPUTS, ops_table
@@ -21,12 +22,22 @@ PUBLISHED = (
 )
 
 
+#: Tables that say when they were refreshed.
+STAMPED = ("serving_player_profiles", "serving_map_overview_daily", "serving_player_match_deep_dive", "serving_ml_model_registry", "serving_ml_pipeline_progress_daily", "serving_ml_prediction_quality_daily")
+
+
+def stamped(df: DataFrame, at: datetime.datetime) -> DataFrame:
+    return df.withColumn("updated_at", F.lit(at))
+
+
 class Tables(Mapping[str, DataFrame]):
     """A table is planned when first asked for and kept; ``replace`` puts a written copy in its place, so that
     what depends on it reads that copy."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, lexicon: str = FEATURE_LEXICON, as_of: datetime.date = AS_OF):
-        self.spark, self.sf_dir, self.scorer, self.as_of = spark, sf_dir, lexicon_scorer(lexicon), as_of
+    def __init__(self, spark: SparkSession, sf_dir: str, lexicon: str = FEATURE_LEXICON, as_of: datetime.date = AS_OF, scorer: Scorer | None = None):
+        """``scorer`` takes the place of the lexicon's, say one of a model."""
+        self.spark, self.sf_dir, self.scorer, self.as_of = spark, sf_dir, scorer or lexicon_scorer(lexicon), as_of
+        self.refreshed_at = datetime.datetime.combine(as_of, datetime.time())
         self._made: dict[str, DataFrame] = {}
 
     def replace(self, name: str, df: DataFrame) -> None:
@@ -34,7 +45,8 @@ class Tables(Mapping[str, DataFrame]):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = ops_table(self.spark, self.sf_dir, name) if name in INPUTS else getattr(self, f"_{name}")()
+            made = ops_table(self.spark, self.sf_dir, name) if name in INPUTS else getattr(self, f"_{name}")()
+            self._made[name] = stamped(made, self.refreshed_at) if name in STAMPED else made
         return self._made[name]
 
     def __iter__(self) -> Iterator[str]:
