@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import logging
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,54 @@ def lexicon_scorer(pattern: str = FEATURE_LEXICON) -> Scorer:
     return lambda text: F.when(text.rlike(pattern), "negative").otherwise("neutral")
 
 
+#: A model: labels for a batch of texts.
+Predict = Callable[[list[str]], list[str]]
+
+
+def model_scorer(load: Callable[[], Predict]) -> Scorer:
+    """A scorer that a model backs. ``load`` runs once in each task that scores, batches go through Arrow, a null text
+    is an empty one."""
+
+    @F.pandas_udf("string")
+    def label(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        predict = load()
+        for texts in batches:
+            yield pd.Series(predict(texts.fillna("").tolist()), dtype="object").str.lower()
+
+    return lambda text: label(text)
+
+
+def first_that_works(*ways: Callable[[], Scorer], otherwise: Scorer | None = None) -> Scorer:
+    """The scorer of the first way that can be made here; what fails is logged. The last resort is the lexicon."""
+    for make in ways:
+        try:
+            return make()
+        except Exception as e:
+            logging.getLogger(__name__).warning("chat scorer %s is not to be had: %s", getattr(make, "__name__", make), e)
+    return otherwise or lexicon_scorer()
+
+
+def cpu_has(feature: str = "avx", path: str = "/proc/cpuinfo") -> bool:
+    """Whether the processor says that it has a feature that a model may need; yes where it cannot be asked."""
+    try:
+        with open(path, encoding="utf-8", errors="ignore") as f:
+            lines = f.read().lower().splitlines()
+    except OSError:
+        return True
+    return any(feature in x.partition(":")[2].split() for x in lines if x.startswith(("flags", "features")))
+
+
+def needs_cpu(make: Callable[[], Scorer], feature: str = "avx") -> Callable[[], Scorer]:
+    """A way that is tried only where the processor has the feature."""
+
+    def checked() -> Scorer:
+        if not cpu_has(feature):
+            raise RuntimeError(f"the processor has no {feature}")
+        return make()
+
+    return checked
+
+
 def chat_counts(messages: DataFrame, scorer: Scorer, lower: bool = False) -> DataFrame:
     """Per (logid, steamid): messages, mean length, shouted, emphatic and negative ones. ``lower`` counts emphasis
     and lexicon hits on the lower-cased text, as the exploration export does."""

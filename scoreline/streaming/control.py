@@ -58,6 +58,44 @@ def full_history(ingest: BatchIngest, fetch: Fetch, page_size: int, now: datetim
     return out
 
 
+QUEUE = "backfill_queue"
+
+
+def offset_of(message) -> int | None:
+    """The offset that a message of the queue asks for; None if it is no such message."""
+    if not isinstance(message, dict) or message.get("mode") != "full-history":
+        return None
+    at = message.get("offset")
+    return at if isinstance(at, int) and not isinstance(at, bool) and at >= 0 else None
+
+
+def enqueue(store: TableStore, offset: int) -> None:
+    store.append(QUEUE, store.spark.createDataFrame([(json.dumps({"mode": "full-history", "offset": offset}),)], "message string"))
+
+
+def work_queue(ingest: BatchIngest, fetch: Fetch, page_size: int, now: datetime.datetime, max_pages: int = 10, steps: int = 1) -> list[Result]:
+    """Takes up to ``steps`` messages off the queue, one ingest each; a step that does not reach the list's end puts the
+    next offset on the queue, for whichever run comes next. A message stays until its step is done; one that is no
+    message is dropped."""
+    store, out = ingest.store, []
+    for _ in range(steps):
+        waiting = [r.message for r in store.read(QUEUE).collect()] if store.exists(QUEUE) else []
+        if not waiting:
+            break
+        try:
+            offset = offset_of(json.loads(waiting[0]))
+        except ValueError:
+            offset = None
+        rest = waiting[1:]
+        if offset is not None:
+            got = collect(fetch, page_size, offset, max_pages)
+            out.append(ingest.run(_frame(ingest.spark, got), now, full_history=True))
+            if got.next_offset is not None:
+                rest.append(json.dumps({"mode": "full-history", "offset": got.next_offset}))
+        store.overwrite(QUEUE, store.spark.createDataFrame([(m,) for m in rest], "message string"))
+    return out
+
+
 def health(store: TableStore, now: datetime.datetime) -> dict:
     ingest = BatchIngest(store, lambda ids: ids)
     state = ingest.state(now)
@@ -66,7 +104,7 @@ def health(store: TableStore, now: datetime.datetime) -> dict:
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="Ingest match documents")
-    p.add_argument("mode", choices=("health", "dry-run", "ingest", "full-history"))
+    p.add_argument("mode", choices=("health", "dry-run", "ingest", "full-history", "enqueue", "work"))
     p.add_argument("store")
     p.add_argument("--pages", help="folder of list pages or URL template with {offset}")
     p.add_argument("--details", help="folder of details <id>.json")
@@ -83,6 +121,10 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps(health(store, now)))
         return
 
+    if a.mode == "enqueue":
+        enqueue(store, max(0, a.start))
+        return
+
     def send(event: dict) -> None:
         with open(a.events, "a", encoding="utf-8") as f:
             f.write(json.dumps(event) + "\n")
@@ -90,6 +132,8 @@ def main(argv: list[str] | None = None) -> None:
     ingest = BatchIngest(store, details_of(spark, a.details), on_event=Lineage(send) if a.events else lambda kind, facts: None)
     if a.mode == "full-history":
         got = full_history(ingest, pages_of(a.pages), a.page_size, now, a.start, a.max_pages)
+    elif a.mode == "work":
+        got = work_queue(ingest, pages_of(a.pages), a.page_size, now, a.max_pages)
     else:
         got = [tick(ingest, pages_of(a.pages), a.page_size, now, a.max_pages, a.mode == "dry-run")]
     print(json.dumps([r.__dict__ for r in got]))

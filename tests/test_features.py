@@ -113,3 +113,22 @@ def test_bound_and_ratio(spark):
     assert refresh_bound(d, "d", 7) == dt.date(2024, 1, 3)
     assert refresh_bound(d.filter("false"), "d", 7) == dt.date(1970, 1, 1)
     assert spark.range(1).select(ratio(F.lit(1), F.lit(0)).alias("x")).first().x is None
+
+
+def test_model_scorer_and_fallbacks(spark, tmp_path):
+    from scoreline.functions import chat
+
+    def predict():
+        return lambda texts: ["NEGATIVE" if "bad" in t else "Positive" for t in texts]
+
+    def absent():
+        raise ImportError("no such library")
+
+    m = spark.createDataFrame([(1, "a", "so bad", "so bad"), (1, "a", "fine", "fine"), (1, "a", None, None)], "logid long, steamid string, message string, messagelower string")
+    scorer = chat.first_that_works(absent, lambda: chat.model_scorer(predict))
+    r = chat.chat_counts(m, scorer).first()
+    assert (r.chat_messages, r.negative_lexicon_hits) == (3, 1)
+    assert chat.chat_counts(m, chat.first_that_works(absent)).first().negative_lexicon_hits == 0
+    (tmp_path / "cpu").write_text("processor: 0\nflags\t\t: fpu sse avx\n")
+    assert chat.cpu_has("avx", str(tmp_path / "cpu")) and not chat.cpu_has("amx", str(tmp_path / "cpu")) and chat.cpu_has("amx", str(tmp_path / "none"))
+    assert chat.first_that_works(chat.needs_cpu(absent, "no such feature"), otherwise=scorer) is scorer

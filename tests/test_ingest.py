@@ -269,3 +269,30 @@ def test_control(spark, tmp_path):
     other = I.BatchIngest(TableStore(spark, str(tmp_path / "b")), C.details_of(spark, str(parts)))
     steps = C.full_history(other, fetch, 2, NOW, 0, 2)
     assert len(steps) == 3 and sum(s.emitted["logs"] for s in steps) == 8
+
+
+def test_chunks_and_overload(spark):
+    from scoreline.streaming.ingest import in_chunks
+
+    sent, waits, fail = [], [], [RuntimeError("Pipeline overloaded"), RuntimeError("429 Too Many Requests")]
+
+    def send(name, part):
+        if fail:
+            raise fail.pop()
+        sent.append(part.count())
+        return sent[-1]
+
+    rows = spark.range(100).selectExpr("cast(id as string) as recordid")
+    assert in_chunks(send, most=30, sleep=waits.append)("logs", rows) == 100
+    assert len(sent) == 4 and sum(sent) == 100 and waits == [0.5, 1.0]
+    fail[:] = [ValueError("broken")]
+    with pytest.raises(ValueError):
+        in_chunks(send, sleep=waits.append)("logs", rows)
+    assert in_chunks(send, most=0)("logs", rows.limit(0)) == 0
+
+
+@pytest.mark.parametrize("message, offset", [({"mode": "full-history", "offset": 30}, 30), ({"mode": "full-history", "offset": -1}, None), ({"mode": "x", "offset": 1}, None), ({"mode": "full-history", "offset": True}, None), ({"mode": "full-history", "offset": "3"}, None), ([], None), (None, None)])
+def test_queue_messages(message, offset):
+    from scoreline.streaming.control import offset_of
+
+    assert offset_of(message) == offset
