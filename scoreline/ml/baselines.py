@@ -52,14 +52,14 @@ def _dicts(df: DataFrame) -> list[dict]:
     return [r.asDict() for r in df.collect()]
 
 
-def train_classifier(name: str, kind: str, rows: DataFrame, label: str, numbers: list[str], min_precision: float, min_recall: float, snapshot: str, version: str, iterations: int = 40, min_fold: tuple[int, int] = (20_000, 5_000)) -> Trained:
+def train_classifier(name: str, kind: str, rows: DataFrame, label: str, numbers: list[str], min_precision: float, min_recall: float, snapshot: str, version: str, iterations: int | None = None, min_fold: tuple[int, int] = (20_000, 5_000), depth: int = T.DEPTH) -> Trained:
     T.assert_no_leakage(kind, [*numbers, *TEXTS], LEAKS[kind])
 
     def fit(train: DataFrame):
         if kind == "tilt":
             pipe, weighted = T.tilt_model(train, numbers, TEXTS, label)
             return pipe.fit(weighted)
-        return T.win_model(numbers, TEXTS, label, iterations).fit(train)
+        return T.win_model(numbers, TEXTS, label, iterations or T.WIN_ROUNDS, depth).fit(train)
 
     train, test = T.split_time(rows)
     model, platt = T.fit_calibrated(fit, train, label)
@@ -77,9 +77,9 @@ def _choose(scored: DataFrame, min_precision: float, min_recall: float):
     return M.choose_threshold(M.threshold_table(scored, THRESHOLDS), min_precision, min_recall)
 
 
-def train_regressor(name: str, rows: DataFrame, label: str, numbers: list[str], snapshot: str, version: str, iterations: int = 40, min_fold: tuple[int, int] = (20_000, 5_000)) -> Trained:
+def train_regressor(name: str, rows: DataFrame, label: str, numbers: list[str], snapshot: str, version: str, iterations: int | None = None, min_fold: tuple[int, int] = (20_000, 5_000), depth: int = T.DEPTH) -> Trained:
     T.assert_no_leakage("impact", [*numbers, *TEXTS], LEAKS["impact"])
-    fit = lambda d: T.impact_model(numbers, TEXTS, label, iterations).fit(d)
+    fit = lambda d: T.impact_model(numbers, TEXTS, label, iterations or T.IMPACT_ROUNDS, depth).fit(d)
     train, test = T.split_time(rows)
     model = fit(train)
     scored = T.clip_percentile(model.transform(test)).withColumn("y", F.col(label).cast("double"))
@@ -90,17 +90,18 @@ def train_regressor(name: str, rows: DataFrame, label: str, numbers: list[str],
     return got
 
 
-def train_all(rows: DataFrame, version: str, iterations: int = 40, min_fold: tuple[int, int] = (20_000, 5_000)) -> list[Trained]:
-    """``rows``: one training snapshot, as the snapshot table has it."""
+def train_all(rows: DataFrame, version: str, iterations: int | None = None, min_fold: tuple[int, int] = (20_000, 5_000), depth: int = T.DEPTH) -> list[Trained]:
+    """``rows``: one training snapshot, as the snapshot table has it. ``iterations`` and ``depth`` replace
+    the models' own, for a quick run."""
     first = rows.select("snapshot_id").first()
     if first is None:
         raise ValueError("the snapshot has no rows")
     sid = first[0]
     chat = ["chat_messages", "avg_message_length", "all_caps_messages", "intense_punctuation_messages", "deaths"]
     return [
-        train_classifier("win_probability_baseline", "win", rows, "label_win", FORM + CAREER, 0.5, 0.5, sid, version, iterations, min_fold),
-        train_regressor("impact_percentile_baseline", rows, "label_impact_percentile", FORM + CAREER + ["duration_seconds", "classes_played_count"], sid, version, iterations, min_fold),
-        train_classifier("tilt_risk_baseline", "tilt", rows, "label_tilt", FORM + chat, 0.6, 0.7, sid, version, iterations, min_fold),
+        train_classifier("win_probability_baseline", "win", rows, "label_win", FORM + CAREER, 0.5, 0.5, sid, version, iterations, min_fold, depth),
+        train_regressor("impact_percentile_baseline", rows, "label_impact_percentile", FORM + CAREER + ["duration_seconds", "classes_played_count"], sid, version, iterations, min_fold, depth),
+        train_classifier("tilt_risk_baseline", "tilt", rows, "label_tilt", FORM + chat, 0.6, 0.7, sid, version, iterations, min_fold, depth),
     ]
 
 
@@ -111,6 +112,8 @@ def save_model(model: PipelineModel, path: str, facts: dict) -> None:
     for k, s in enumerate(model.stages):
         if isinstance(s, T.FeatureQualityModel):
             stages.append({"quality": {"map_col": s.map_col, "maps": s.maps, "bounds": s.bounds}})
+        elif isinstance(s, T.TextsModel):
+            stages.append({"texts": {"known": s.known, "ordinal": s.ordinal}})
         else:
             s.write().overwrite().save(f"{path}/stage-{k}")
             stages.append({"path": f"stage-{k}"})
@@ -125,6 +128,9 @@ def load_model(path: str) -> tuple[PipelineModel, dict]:
         if "quality" in s:
             q = s["quality"]
             stages.append(T.FeatureQualityModel(q["map_col"], q["maps"], {k: tuple(v) for k, v in q["bounds"].items()}))
+        elif "texts" in s:
+            known = {c: (mode, values) for c, (mode, values) in s["texts"]["known"].items()}
+            stages.append(T.TextsModel(known, s["texts"]["ordinal"]))
         else:
             stages.append(DefaultParamsReader.loadParamsInstance(f"{path}/{s['path']}", spark))
     return PipelineModel(stages), meta["facts"]

@@ -12,15 +12,28 @@ def _or_zero(a: Column, b: Column) -> Column:
     return F.coalesce(ratio(a, b), F.lit(0.0))
 
 
+#: Ranges of scores, of about as many distinct ones each, that are ranked apart.
+RANGES = 256
+
+
 def ranking_areas(scored: DataFrame, by: list[str] | None = None, y: str = "y", p: str = "p") -> DataFrame:
     """roc_auc and pr_auc (average precision) per group; null with one class only.
 
-    Equal scores are one step: rows are first summed up per distinct score, so what is sorted is no longer than
-    the distinct scores of a group."""
+    Equal scores are one step: rows are first summed up per distinct score. Steps are cut into ranges of scores at
+    approximate quantiles; what lies above a range comes from sums of ranges, and only steps of one range are
+    sorted together, so that no task sorts all scores."""
     keys = by or []
     steps = scored.groupBy(*keys, p).agg(F.sum(y).cast("double").alias("_pos"), F.count("*").cast("double").alias("_n"))
-    down = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0)
-    run = steps.withColumns({"_tp": F.sum("_pos").over(down), "_all": F.sum("_n").over(down)})
+    edges = steps.agg(F.percentile_approx(p, F.array(*[F.lit(k / RANGES) for k in range(1, RANGES)]), F.lit(10 * RANGES)).alias("_edges"))
+    placed = steps.crossJoin(F.broadcast(edges)).withColumn("_range", F.expr(f"aggregate(_edges, 0, (n, e) -> n + int(e < {p}))")).drop("_edges")
+    above = Window.partitionBy(*keys).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = placed.groupBy(*keys, "_range").agg(F.sum("_pos").alias("_rp"), F.sum("_n").alias("_rn"))
+    before = {c: F.coalesce(F.sum(v).over(above), F.lit(0.0)) for c, v in (("_bp", "_rp"), ("_bn", "_rn"))}
+    ranges = ranges.withColumns(before).drop("_rp", "_rn")
+    on = [F.col(f"s.{k}").eqNullSafe(F.col(f"r.{k}")) for k in (*keys, "_range")]
+    met = placed.alias("s").join(ranges.alias("r"), on).select("s.*", "r._bp", "r._bn")
+    down = Window.partitionBy(*keys, "_range").orderBy(F.desc(p)).rowsBetween(Window.unboundedPreceding, 0)
+    run = met.withColumns({"_tp": F.col("_bp") + F.sum("_pos").over(down), "_all": F.col("_bn") + F.sum("_n").over(down)})
     neg = F.col("_n") - F.col("_pos")
     agg = run.groupBy(*keys).agg(
         F.sum("_pos").alias("_p"),

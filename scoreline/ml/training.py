@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from ..operators.mlops import gate
 
 OTHER, MISSING = "__OTHER__", "__MISSING__"
+#: Rounds and depth of the models. Spark's trees have no L2 penalty; the least rows of a leaf stand in for it.
+WIN_ROUNDS, IMPACT_ROUNDS, TILT_ROUNDS, DEPTH = 320, 350, 300, 8
 FOLDS = (("fold_60_10", 0.6, 0.1), ("fold_70_10", 0.7, 0.1), ("fold_80_20", 0.8, 0.2))
 
 
@@ -79,15 +81,47 @@ class FeatureQualityModel(Model):
         return df.withColumns(out)
 
 
+class Texts(Estimator):
+    """Learns the values of text columns. A missing one becomes the most frequent; as ``ordinal`` each becomes its
+    place in order of the values, one not seen before -1."""
+
+    def __init__(self, columns: list[str], ordinal: bool):
+        super().__init__()
+        self.columns, self.ordinal = columns, ordinal
+
+    def _fit(self, df: DataFrame) -> TextsModel:
+        known = {}
+        for c in self.columns:
+            n = {r[0]: r[1] for r in df.filter(F.col(c).isNotNull()).groupBy(c).count().collect()}
+            known[c] = (min(n, key=lambda v: (-n[v], v)) if n else None, sorted(n))
+        return TextsModel(known, self.ordinal)
+
+
+class TextsModel(Model):
+    def __init__(self, known: dict[str, tuple[str | None, list[str]]], ordinal: bool):
+        super().__init__()
+        self.known, self.ordinal = known, ordinal
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        out = {}
+        for c, (mode, values) in self.known.items():
+            filled = F.coalesce(F.col(c), F.lit(mode).cast("string"))
+            out[c] = filled
+            if self.ordinal:
+                place = F.array_position(F.lit(values).cast("array<string>"), filled).cast("double") - 1
+                out[f"{c}_i"] = F.coalesce(place, F.lit(-1.0))
+        return df.withColumns(out)
+
+
 def preprocess(numbers: list[str], texts: list[str], linear: bool) -> list:
-    """Median for missing numbers; texts by index, an unseen one getting its own. Linear models get scaled numbers and
-    one column per text."""
-    stages = [Imputer(strategy="median", inputCols=numbers, outputCols=[f"{c}_n" for c in numbers])]
-    stages += [StringIndexer(inputCol=c, outputCol=f"{c}_i", handleInvalid="keep") for c in texts]
+    """Median for missing numbers, the most frequent for missing texts. Trees get texts by place, -1 for one not seen
+    before; linear models get scaled numbers and one column per text, none of them for one not seen before."""
+    stages = [Imputer(strategy="median", inputCols=numbers, outputCols=[f"{c}_n" for c in numbers]), Texts(texts, not linear)]
     if not linear:
         return [*stages, VectorAssembler(inputCols=[f"{c}_n" for c in numbers] + [f"{c}_i" for c in texts], outputCol="features")]
     return [
         *stages,
+        *(StringIndexer(inputCol=c, outputCol=f"{c}_i", handleInvalid="keep") for c in texts),
         OneHotEncoder(inputCols=[f"{c}_i" for c in texts], outputCols=[f"{c}_o" for c in texts], dropLast=False),
         VectorAssembler(inputCols=[f"{c}_n" for c in numbers], outputCol="_numbers"),
         StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True),
@@ -95,12 +129,14 @@ def preprocess(numbers: list[str], texts: list[str], linear: bool) -> list:
     ]
 
 
-def win_model(numbers: list[str], texts: list[str], label: str = "label_win", iterations: int = 40) -> Pipeline:
-    return Pipeline(stages=[FeatureQuality(numbers, min_count=120), *preprocess(numbers, texts, False), GBTClassifier(labelCol=label, stepSize=0.05, maxIter=iterations, maxDepth=5, minInstancesPerNode=250, maxBins=64, seed=42)])
+def win_model(numbers: list[str], texts: list[str], label: str = "label_win", iterations: int = WIN_ROUNDS, depth: int = DEPTH) -> Pipeline:
+    trees = GBTClassifier(labelCol=label, stepSize=0.05, maxIter=iterations, maxDepth=depth, minInstancesPerNode=250, maxBins=64, seed=42)
+    return Pipeline(stages=[FeatureQuality(numbers, min_count=120), *preprocess(numbers, texts, False), trees])
 
 
-def impact_model(numbers: list[str], texts: list[str], label: str = "label_impact_percentile", iterations: int = 40) -> Pipeline:
-    return Pipeline(stages=[FeatureQuality(numbers, min_count=120), *preprocess(numbers, texts, False), GBTRegressor(labelCol=label, stepSize=0.05, maxIter=iterations, maxDepth=5, minInstancesPerNode=250, maxBins=64, seed=42)])
+def impact_model(numbers: list[str], texts: list[str], label: str = "label_impact_percentile", iterations: int = IMPACT_ROUNDS, depth: int = DEPTH) -> Pipeline:
+    trees = GBTRegressor(labelCol=label, stepSize=0.05, maxIter=iterations, maxDepth=depth, minInstancesPerNode=250, maxBins=64, seed=42)
+    return Pipeline(stages=[FeatureQuality(numbers, min_count=120), *preprocess(numbers, texts, False), trees])
 
 
 def tilt_model(train: DataFrame, numbers: list[str], texts: list[str], label: str = "label_tilt", c: float = 0.15) -> tuple[Pipeline, DataFrame]:
@@ -108,7 +144,7 @@ def tilt_model(train: DataFrame, numbers: list[str], texts: list[str], label: st
     n, pos = train.agg(F.count("*"), F.sum(label)).first()
     pos = pos or 0
     weight = F.when(F.col(label) == 1, n / (2.0 * max(pos, 1))).otherwise(n / (2.0 * max(n - pos, 1)))
-    lr = LogisticRegression(labelCol=label, weightCol="_weight", regParam=1.0 / (c * max(n, 1)), maxIter=100)
+    lr = LogisticRegression(labelCol=label, weightCol="_weight", regParam=1.0 / (c * max(n, 1)), maxIter=TILT_ROUNDS)
     return Pipeline(stages=[FeatureQuality(numbers, min_count=120), *preprocess(numbers, texts, True), lr]), train.withColumn("_weight", weight)
 
 

@@ -1,19 +1,23 @@
-"""Session settings for local work; on a cluster the launcher's settings stay."""
+"""Session settings: those of the launcher where there is one, settings for one machine otherwise."""
 
 from __future__ import annotations
 
+import os
+
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "scoreline", cores: int | str = "*", memory: str = "8g", shuffle: int = 8) -> SparkSession:
-    return (
-        SparkSession.builder.appName(app)
-        .master(f"local[{cores}]")
-        .config("spark.driver.memory", memory)
-        .config("spark.sql.shuffle.partitions", str(shuffle))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
-    )
+def launched() -> bool:
+    """Whether spark-submit, a shell or a running session has chosen master, memory and partitions already."""
+    return "PYSPARK_GATEWAY_PORT" in os.environ or SparkContext._active_spark_context is not None
+
+
+def build_session(app: str = "scoreline", cores: int | str = "*", memory: str = "8g", shuffle: int | None = None) -> SparkSession:
+    """``cores``, ``memory`` and ``shuffle`` hold only if nothing has launched this process for a cluster."""
+    b = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
+    if not launched():
+        b = b.master(f"local[{cores}]").config("spark.driver.memory", memory).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+        if shuffle:
+            b = b.config("spark.sql.shuffle.partitions", str(shuffle))
+    return b.getOrCreate()

@@ -137,10 +137,10 @@ def test_models_train_on_a_snapshot(spark, sf_dir):
     rows = mlops.snapshot_rows(t["features_player_match"], t["features_player_recent_form"], t["logs_base"]).persist()
     nums, texts = ["rolling_5_avg_kills", "rolling_10_win_rate", "kills", "deaths"], ["map", "momentum_label"]
     train, test = T.split_time(rows)
-    model, platt = T.fit_calibrated(lambda d: T.win_model(nums, texts, iterations=3).fit(d), train, "label_win", least=100)
+    model, platt = T.fit_calibrated(lambda d: T.win_model(nums, texts, iterations=3, depth=3).fit(d), train, "label_win", least=100)
     r = M.binary_metrics(platt.apply(model.transform(test)).withColumnRenamed("label_win", "y")).first()
     assert 0 <= r.brier <= 1 and r.rows_total == test.count()
-    reg = T.impact_model(nums, texts, iterations=3).fit(train)
+    reg = T.impact_model(nums, texts, iterations=3, depth=3).fit(train)
     m = M.regression_metrics(T.clip_percentile(reg.transform(test)).withColumnRenamed("label_impact_percentile", "y")).first()
     assert m.rmse >= m.mae > 0
     pipe, weighted = T.tilt_model(train.withColumn("label_tilt", (F.col("deaths") > 15).cast("int")), nums, texts)
@@ -157,7 +157,7 @@ def test_baselines_are_trained_registered_and_rolled_back(spark, sf_dir, tmp_pat
 
     t = Tables(spark, sf_dir, LEXICON)
     rows = mlops.snapshot_rows(t["features_player_match"], t["features_player_recent_form"], t["logs_base"]).limit(1500).withColumn("label_tilt", (F.col("deaths") > 20).cast("int")).persist()
-    trained = B.train_all(rows, "v1", iterations=2, min_fold=(200, 50))
+    trained = B.train_all(rows, "v1", iterations=2, min_fold=(200, 50), depth=3)
     assert [x.name for x in trained] == ["win_probability_baseline", "impact_percentile_baseline", "tilt_risk_baseline"]
     assert all(len(x.folds) == 3 for x in trained) and trained[2].holdout["roc_auc"] > 0.9
     store, sid = TableStore(spark, str(tmp_path / "store")), rows.first().snapshot_id
@@ -176,3 +176,27 @@ def test_baselines_are_trained_registered_and_rolled_back(spark, sf_dir, tmp_pat
     got = {r.model_version: r.is_active for r in store.read("ml_model_registry").filter("model_name = 'tilt_risk_baseline'").collect()}
     assert got == {"v1": True, "v2": False} and store.read("ml_model_stage_history").count() == 1
     rows.unpersist()
+
+
+def test_texts(spark):
+    """The most frequent value for a missing one; -1 for one that was not seen."""
+    df = spark.createDataFrame([("b",), ("b",), ("a",), (None,)], "m string")
+    model = T.Texts(["m"], True).fit(df)
+    got = model.transform(spark.createDataFrame([("a",), ("b",), (None,), ("new",)], "m string")).collect()
+    assert [(r.m, r.m_i) for r in got] == [("a", 0.0), ("b", 1.0), ("b", 1.0), ("new", -1.0)]
+    empty = T.Texts(["m"], True).fit(df.limit(0)).transform(df).collect()
+    assert {r.m_i for r in empty} == {-1.0}
+
+
+@pytest.mark.parametrize("distinct", [3, 5000])
+def test_areas_over_many_ranges(spark, distinct):
+    rng = np.random.default_rng(1)
+    y, p, g = rng.integers(0, 2, 6000), rng.integers(0, distinct, 6000) / distinct, rng.integers(0, 2, 6000)
+    df = spark.createDataFrame([(int(a), float(b), int(c)) for a, b, c in zip(y, p, g)], "y int, p double, g int")
+    for r in M.ranking_areas(df, ["g"]).collect():
+        mine = g == r.g
+        order = np.argsort(p[mine], kind="stable")
+        ps, ys = p[mine][order], y[mine][order]
+        rank = (np.searchsorted(ps, ps, "left") + np.searchsorted(ps, ps, "right") + 1) / 2
+        n1, n0 = ys.sum(), (1 - ys).sum()
+        assert r.roc_auc == pytest.approx((rank[ys == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * n0))
