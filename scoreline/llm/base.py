@@ -59,6 +59,21 @@ def let_workers_import(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [*path, home]))
 
 
+_made: list[Workspace] = []
+
+
+def made() -> int:
+    """How many work folders there are: a mark for ``release``."""
+    return len(_made)
+
+
+def release(mark: int) -> None:
+    """Removes the tables of all work folders made since ``mark``: for a caller that has written what it wanted."""
+    for w in _made[mark:]:
+        w._clean()
+    del _made[mark:]
+
+
 class Workspace:
     """Tables that one run of an operator writes to the shared folder.
 
@@ -69,6 +84,8 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         let_workers_import(spark)
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
+        self.names: list[str] = []
+        _made.append(self)
         atexit.register(self._clean)
 
     def path(self) -> str:
@@ -86,13 +103,17 @@ class Workspace:
     def put_bucketed(self, df: DataFrame, key: str) -> DataFrame:
         """The rows in buckets by ``key``, each a sorted file, as many as the session's shuffle partitions: a join or a
         sum by ``key`` finds them where they are, without an exchange on this side."""
-        return bucketed(df, key, self.path())
+        got = bucketed(df, key, self.path())
+        self.names.append(got._named)
+        return got
 
     def drop(self, *tables: DataFrame | None) -> None:
         drop_tables(self.spark, *tables)
 
     def _clean(self) -> None:
         try:
+            for n in self.names:
+                self.spark.sql(f"DROP TABLE IF EXISTS {n}")
             remove(self.spark, self.root)
         except Exception:  # the session has ended already
             pass

@@ -57,3 +57,19 @@ def test_components(spark, edges, want):
     df = spark.createDataFrame(edges, "a long, b long")
     got = components(B.Workspace(spark, "t"), df).collect()
     assert {r.node: r.root for r in got} == want and len(got) == len(want)
+
+
+def test_release_removes_what_was_staged_since(spark):
+    import os
+
+    from scoreline.llm import base as B
+
+    kept = B.Workspace(spark, "kept")
+    a = kept.put(spark.range(3))
+    mark = B.made()
+    gone = B.Workspace(spark, "gone")
+    b, c = gone.put(spark.range(2)), gone.put_bucketed(spark.range(5), "id")
+    assert b.count() == 2 and c.count() == 5
+    B.release(mark)
+    assert B.made() == mark and a.count() == 3
+    assert not os.path.exists(gone.root) and os.path.exists(kept.root)
