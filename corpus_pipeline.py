@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scoreline.llm.base import Workspace
+from scoreline.llm.base import Workspace, made, release
 from scoreline.llm.lines import lines_stage
 from scoreline.llm.mixing import mix_stage
 from scoreline.llm.packing import packing_stage
@@ -32,5 +32,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
+        mark, before = made(), docs
         docs = work.put(stage(spark, docs, sf_dir))
+        release(mark)  # what the stage has staged; its result is written
+        work.drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)
