@@ -5,7 +5,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import pytest
 
 import __spark_entry__
-from conftest import SMALL
 from helpers import assert_same, connect
 
 SQL = {k: v for k, v in __spark_entry__.oracle_sql().items() if not k.startswith("op")}
@@ -25,6 +24,6 @@ def test_every_reference_query_has_sql():
     assert {k for k in __spark_entry__.queries() if k[0] in "qtckximr"} == set(SQL)
 
 
-def test_entry(spark):
+def test_entry(spark, sf_dir):
     got = __spark_entry__.entry(spark)
-    assert got.columns == __spark_entry__.queries()["q02_game_pace"](spark, SMALL).columns and got.count() > 0
+    assert got.columns == __spark_entry__.queries()["q02_game_pace"](spark, sf_dir).columns and got.count() > 0
