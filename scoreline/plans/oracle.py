@@ -31,9 +31,14 @@ def wins(team: str = "team") -> str:
     return f"(case when {team} = 'Red' and redscore > bluescore then 1 when {team} = 'Blue' and bluescore > redscore then 1 else 0 end)"
 
 
+def whole_words(pattern: str) -> str:
+    """A pattern's word boundaries spelled out by letters and digits of all scripts, as the other engine knows only ASCII ones."""
+    return pattern.replace(r"\b(", r"(?:^|[^\p{L}\p{N}_])(").replace(r")\b", r")(?:$|[^\p{L}\p{N}_])")
+
+
 def chat(lower: bool) -> str:
     text = "coalesce(messagelower, '')" if lower else "coalesce(message, '')"
-    lexicon = EXPLORATION_LEXICON if lower else FEATURE_LEXICON
+    lexicon = whole_words(EXPLORATION_LEXICON if lower else FEATURE_LEXICON)
     return f"""select logid, steamid, count(*) as chat_messages, avg(length(coalesce(message, ''))) as avg_message_length,
   cast(count(*) filter (regexp_matches(coalesce(message, ''), '^[A-Z0-9 !?.''\\-]+$')) as bigint) as all_caps_messages,
   cast(count(*) filter (regexp_matches({text}, '!{{2,}}')) as bigint) as intense_punctuation_messages,
@@ -338,7 +343,7 @@ SQL |= {
 
 def varied(name: str) -> str:
     """A query's SQL with the words of the synthetic chat and, where it has them, other limits."""
-    sql = SQL[name].replace(FEATURE_LEXICON, LEXICON).replace(EXPLORATION_LEXICON, LEXICON)
+    sql = SQL[name].replace(whole_words(FEATURE_LEXICON), LEXICON).replace(whole_words(EXPLORATION_LEXICON), LEXICON)
     for old, new in {
         "q09_pair_synergy": (("having count(*) >= 20 order", "having count(*) >= 5 order"),),
         "q20_player_deep_dive": ((day(60), day(365)),),
