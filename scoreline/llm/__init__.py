@@ -1,4 +1,4 @@
-"""Corpus preparation for language-model training: ten operators over the
+"""Corpus preparation for language-model training: thirteen operators over the
 ``documents``, ``embeddings`` and ``pages`` tables.
 
 Nothing outside this subpackage imports it; its queries are listed in

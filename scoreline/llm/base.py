@@ -10,6 +10,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -203,6 +204,17 @@ def raw(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [x or b"" for x in col.cast(pa.binary()).to_pylist()]
 
 
+def vectors(col: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, matrix) of the lists that are there and hold finite numbers only, once for each length, as doubles."""
+    at, there = np.asarray(col.offsets), np.asarray(col.is_valid())
+    flat = col.values.cast(pa.float64()).to_numpy(zero_copy_only=False)
+    unfit = np.r_[0, np.cumsum(~np.isfinite(flat))]
+    length = np.where(there & (unfit[at[1:]] == unfit[at[:-1]]), np.diff(at), -1)
+    for n in np.unique(length[length >= 0]).tolist():
+        places = np.flatnonzero(length == n)
+        yield places, flat[at[places][:, None] + np.arange(n)]
+
+
 def arrow_map(df: DataFrame, fn, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with a function from one record batch to record batches."""
 

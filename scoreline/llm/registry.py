@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html, lines, mixing, packing, pii, quality, simhash, substrings, topk, toxicity
+from . import bpe, centroids, html, lines, mixing, packing, pii, quality, simhash, substrings, topk, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
@@ -19,5 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_pii": pii.op9_pii,
     "op10_substrings": substrings.op10_substrings,
+    "op11_centroids": centroids.op11_centroids,
+    "op12_bpe": bpe.op12_bpe,
+    "op13_whitening": whitening.op13_whitening,
 }
-SQL: dict[str, str] = {**topk.SQL, **lines.SQL, **quality.SQL, **substrings.SQL}
+SQL: dict[str, str] = {**topk.SQL, **lines.SQL, **quality.SQL, **substrings.SQL, **centroids.SQL}
