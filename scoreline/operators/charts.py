@@ -71,7 +71,7 @@ CHARTS: dict[str, Rows | Count | Trend] = {
     ),
     "chat_snapshot": Rows(MAPS, ("match_date", "map", "games", "avg_negative_chat_ratio", "tilt_signal_rate", "active_players"), 120, ("match_date", "map")),
     "tilt_by_map": Trend(MAPS, "match_date", 90, ("map",), (("avg_tilt_signal_rate", "avg", "tilt_signal_rate"),)),
-    "hotspots": Rows(MAPS, ("map", "match_date", "tilt_signal_rate", "avg_negative_chat_ratio", "games"), 300, ("match_date", "map")),
+    "hotspots": Rows(MAPS, ("match_date", "map", "games", "avg_negative_chat_ratio", "tilt_signal_rate"), 300, ("match_date", "map")),
     "deep_dive_rows": Rows(
         DEEP,
         ("match_date", "steamid", "logid", "map", "won_game", "kills", "damage_dealt", "impact_index", "kda_ratio", "negative_chat_ratio", "momentum_label", "behaviour_risk_tier", "impact_tier"),

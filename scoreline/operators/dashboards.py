@@ -118,7 +118,7 @@ def prediction_quality_trend(quality: DataFrame, as_of: datetime.date, days: int
 def prediction_quality_latest(quality: DataFrame) -> DataFrame:
     """All rows of each version's last day; several snapshots of that day all stay."""
     top = quality.groupBy("model_name", "model_version").agg(F.max("progress_date").alias("progress_date"))
-    keep = ["model_name", "model_version", "task_type", "stage", "is_active", "snapshot_id", "progress_date", "rows_total", "precision", "recall", "f1", "roc_auc", "pr_auc", "brier", "rmse", "mae", "data_age_days"]
+    keep = ["model_name", "model_version", "task_type", "stage", "is_active", "snapshot_id", "progress_date", "rows_total", "precision", "recall", "f1", "roc_auc", "pr_auc", "brier", "rmse", "mae", "data_age_days", "updated_at"]
     return quality.join(top, ["model_name", "model_version", "progress_date"], "left_semi").select(*keep).orderBy("model_name", "model_version", "snapshot_id")
 
 
@@ -127,8 +127,11 @@ def ml_progress(progress: DataFrame, as_of: datetime.date, days: int = 90) -> Da
 
 
 def registry_snapshot(registry: DataFrame) -> DataFrame:
-    keep = ["model_name", "model_version", "task_type", "stage", "is_active", "snapshot_id", "snapshot_cutoff_date", "snapshot_training_rows", "primary_metric_name", "metric_auc", "metric_precision", "metric_recall", "metric_f1", "metric_rmse", "metric_mae", "model_age_days", "data_age_days", "created_at", "promoted_at"]
-    return registry.select(*keep, rnd("primary_metric_value", 6).alias("primary_metric_value")).orderBy(F.desc(F.coalesce("promoted_at", "created_at")), "model_name", "model_version")
+    version = ["model_name", "model_version", "task_type", "stage", "is_active", "snapshot_id", "snapshot_cutoff_date", "snapshot_training_rows"]
+    metrics = ["metric_auc", "metric_precision", "metric_recall", "metric_f1", "metric_rmse", "metric_mae"]
+    ages = ["model_age_days", "data_age_days", "created_at", "promoted_at", "updated_at"]
+    primary = rnd("primary_metric_value", 6).alias("primary_metric_value")
+    return registry.select(*version, "primary_metric_name", primary, *metrics, *ages).orderBy(F.desc(F.coalesce("promoted_at", "created_at")), "model_name", "model_version")
 
 
 def player_deep_dive(deep: DataFrame, profiles: DataFrame, as_of: datetime.date, player: str | None = None, days: int = 60, min_games: int = 5) -> DataFrame:
@@ -154,8 +157,9 @@ def player_deep_dive(deep: DataFrame, profiles: DataFrame, as_of: datetime.date,
     )
 
 
-def profile_percentiles(profiles: DataFrame, player: str | None = None, columns: list[str] | None = None) -> DataFrame:
-    """A player's profile with percentiles by counting who is below: one scan against one broadcast row."""
+def profile_percentiles(profiles: DataFrame, player: str | None = None, columns: list[str] | None = None, last: tuple[str, ...] = ("updated_at",)) -> DataFrame:
+    """A player's profile with percentiles by counting who is below: one scan against one broadcast row. ``last``:
+    columns after the percentiles."""
     keep = columns if columns is not None else ["games_played", "maps_played", "first_seen_at", "last_seen_at", "career_win_rate", "career_kd_ratio", "career_avg_damage", "career_avg_impact", "rolling_10_avg_impact", "form_delta_impact", "momentum_label", "rolling_10_negative_chat_ratio", "tilt_risk_rate"]
     ranked = {"impact_percentile": "career_avg_impact", "win_rate_percentile": "career_win_rate", "tilt_risk_percentile": "tilt_risk_rate"}
     who = resolve_player(profiles, player)
@@ -163,7 +167,7 @@ def profile_percentiles(profiles: DataFrame, player: str | None = None, columns:
     one = F.broadcast(target.select(*[F.col(c).alias(f"t_{c}") for c in ranked.values()]))
     counts = profiles.crossJoin(one).agg(F.count("*").alias("_n"), *[times(F.col(c) < F.col(f"t_{c}")).alias(p) for p, c in ranked.items()])
     at = lambda p: rnd(F.when(F.col("_n") <= 1, 0.0).otherwise(ratio(F.col(p) * 100.0, F.col("_n") - 1)), 1).alias(p)
-    return target.crossJoin(F.broadcast(counts)).select("steamid", *keep, *[at(p) for p in ranked])
+    return target.crossJoin(F.broadcast(counts)).select("steamid", *keep, *[at(p) for p in ranked], *last)
 
 
 def synergy_network(deep: DataFrame, profiles: DataFrame, as_of: datetime.date, player: str | None = None, days: int = 90, min_shared: int = 5) -> DataFrame:

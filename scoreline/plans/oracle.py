@@ -151,9 +151,9 @@ def compose(final: str, *needs: str) -> str:
     return "with " + ",\n".join(f"{n} as materialized ({PARTS[n][1]})" for n in order) + "\n" + final
 
 
-def _profile(keep: str, who: str) -> str:
+def _profile(keep: str, who: str, last: str = "") -> str:
     at = lambda c: r(f"case when n <= 1 then 0.0::double else {ratio(f'{c} * 100.0', 'n - 1')} end", 1)
-    return f"""select t.steamid{keep}, {at('a')} as impact_percentile, {at('b')} as win_rate_percentile, {at('c')} as tilt_risk_percentile from (select * from serving_player_profiles where steamid = {who}) t,
+    return f"""select t.steamid{keep}, {at('a')} as impact_percentile, {at('b')} as win_rate_percentile, {at('c')} as tilt_risk_percentile{last} from (select * from serving_player_profiles where steamid = {who}) t,
   (select count(*) as n, count(*) filter (p.career_avg_impact < x.career_avg_impact) as a, count(*) filter (p.career_win_rate < x.career_win_rate) as b, count(*) filter (p.tilt_risk_rate < x.tilt_risk_rate) as c
    from serving_player_profiles p, (select * from serving_player_profiles where steamid = {who}) x) y"""
 
@@ -285,13 +285,17 @@ SQL: dict[str, str] = {
   from (select map, sum(games) filter (match_date >= {day(14)}) as g, avg(avg_negative_chat_ratio) filter (match_date >= {day(14)}) as rn, avg(tilt_signal_rate) filter (match_date >= {day(14)}) as rt, avg(avg_negative_chat_ratio) as bn, avg(tilt_signal_rate) as bt,
    {r('stddev_pop(avg_negative_chat_ratio)', 12)} as sn, {r('stddev_pop(tilt_signal_rate)', 12)} as st from serving_map_overview_daily where match_date >= {day(90)} group by map) x where g >= 15""", "serving_map_overview_daily"),
     "q16_quality_trend": compose(f"select * exclude (snapshot_id, snapshot_cutoff_date) from serving_ml_prediction_quality_daily where progress_date >= {day(90)}", "serving_ml_prediction_quality_daily"),
-    "q17_quality_latest": compose("select * exclude (observed_positive_rate, predicted_positive_rate, snapshot_cutoff_date) from serving_ml_prediction_quality_daily qualify rank() over (partition by model_name, model_version order by progress_date desc) = 1", "serving_ml_prediction_quality_daily"),
+    "q17_quality_latest": compose("""select model_name, model_version, task_type, stage, is_active, snapshot_id, progress_date, rows_total, precision, recall, f1, roc_auc, pr_auc,
+  brier, rmse, mae, data_age_days, updated_at from serving_ml_prediction_quality_daily
+  qualify rank() over (partition by model_name, model_version order by progress_date desc) = 1""", "serving_ml_prediction_quality_daily"),
     "q18_ml_progress": compose(f"select * exclude (latest_snapshot_created_at) from serving_ml_pipeline_progress_daily where progress_date >= {day(90)}", "serving_ml_pipeline_progress_daily"),
-    "q19_registry_snapshot": compose(f"select model_name, model_version, task_type, stage, is_active, snapshot_id, snapshot_cutoff_date, snapshot_training_rows, primary_metric_name, metric_auc, metric_precision, metric_recall, metric_f1, metric_rmse, metric_mae, model_age_days, data_age_days, created_at, promoted_at, {r('primary_metric_value', 6)} as primary_metric_value from serving_ml_model_registry", "serving_ml_model_registry"),
+    "q19_registry_snapshot": compose(f"""select model_name, model_version, task_type, stage, is_active, snapshot_id, snapshot_cutoff_date, snapshot_training_rows,
+  primary_metric_name, {r('primary_metric_value', 6)} as primary_metric_value, metric_auc, metric_precision, metric_recall, metric_f1, metric_rmse, metric_mae,
+  model_age_days, data_age_days, created_at, promoted_at, updated_at from serving_ml_model_registry""", "serving_ml_model_registry"),
     "q20_player_deep_dive": compose(f"""select map, count(*) as games, {r('avg(won_game)', 4)} as win_rate, {r('avg(kills)', 3)} as avg_kills, {r('avg(damage_dealt)', 3)} as avg_damage, {r('avg(impact_index)', 4)} as avg_impact_index, {r('avg(kda_ratio)', 3)} as avg_kda_ratio, {r('avg(negative_chat_ratio)', 4)} as avg_negative_chat_ratio,
   {r(ratio("count(*) filter (behaviour_risk_tier = 'high')", 'count(*)'), 4)} as high_risk_game_rate, {r(ratio("count(*) filter (impact_tier in ('elite', 'strong'))", 'count(*)'), 4)} as strong_impact_game_rate, {r(ratio("count(*) filter (momentum_label = 'hot')", 'count(*)'), 4)} as hot_momentum_game_rate
   from serving_player_match_deep_dive, target where steamid = who and match_date >= {day(60)} group by map having count(*) >= 5""", "serving_player_match_deep_dive", "target"),
-    "q21_profile_percentiles": compose(_profile(_PROFILE_KEEP, "(select who from target)"), "target"),
+    "q21_profile_percentiles": compose(_profile(_PROFILE_KEEP, "(select who from target)", ", t.updated_at"), "target"),
     "q22_synergy_network": compose(f"""select who as target_steamid, other_steamid, {_same(4, 'won')}, {r('avg(oi)', 4)} as avg_other_impact_index, {r("avg(case when tier = 'high' then 1.0::double else 0.0 end)", 4)} as high_risk_pair_rate
   from (select who, o.steamid as other_steamid, case when o.team = a.team then 1 else 0 end as same, case when a.won_game = 1 then 1 else 0 end as won, o.impact_index as oi, o.behaviour_risk_tier as tier
    from (select d.*, who from serving_player_match_deep_dive d, target where steamid = who and match_date >= {day(90)}) a join serving_player_match_deep_dive o on a.logid = o.logid and o.steamid <> a.steamid) x group by 1, 2 having count(*) >= 5""", "serving_player_match_deep_dive", "target"),
@@ -325,7 +329,7 @@ SQL |= {
   from serving_player_profiles order by steamid limit 120""", "serving_player_profiles"),
     "c_chat_snapshot": compose("""select match_date, map, games, avg_negative_chat_ratio, tilt_signal_rate, active_players from serving_map_overview_daily
   order by match_date nulls first, map nulls first limit 120""", "serving_map_overview_daily"),
-    "c_hotspots": compose("""select map, match_date, tilt_signal_rate, avg_negative_chat_ratio, games from serving_map_overview_daily
+    "c_hotspots": compose("""select match_date, map, games, avg_negative_chat_ratio, tilt_signal_rate from serving_map_overview_daily
   order by match_date nulls first, map nulls first limit 300""", "serving_map_overview_daily"),
     "c_deep_dive_rows": compose("""select match_date, steamid, logid, map, won_game, kills, damage_dealt, impact_index, kda_ratio, negative_chat_ratio,
   momentum_label, behaviour_risk_tier, impact_tier from serving_player_match_deep_dive

@@ -15,6 +15,7 @@ from ..sources.ops_adapter import INPUTS, ops_table
 
 AS_OF = datetime.date(2001, 8, 1)
 
+# Names of the published tables, and of those that say when they were refreshed.
 #: What each table is made of; a published copy replaces the plan.
 PUBLISHED = (
     "logs_base", "summaries_base", "messages_base", "features_player_match", "features_player_recent_form", "serving_player_profiles", "serving_map_overview_daily",
