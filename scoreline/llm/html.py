@@ -154,7 +154,7 @@ class Reader:
             m = _TOKEN.match(page, at)
             at = m.end()
             if m["text"]:
-                self._text(entities.unescape(m["text"]))
+                self._text(_unescape(m["text"]))
             elif m["tag"]:
                 tag, attrs = m["tag"].lower(), m["attrs"]
                 if tag in UNSEEN:
@@ -178,6 +178,14 @@ class Reader:
         return self.events
 
 
+_LONG = re.compile(r"&#([0-9]{8,});?")
+
+
+def _unescape(text: str) -> str:
+    """Character references decoded; numbers too long for any character are that of an unknown one."""
+    return entities.unescape(_LONG.sub(lambda m: "\ufffd" if len(n := m[1].lstrip("0")) > 7 else f"&#{n or 0};", text))
+
+
 #: Pages labelled by hand: an element marked with the attribute ``main`` holds the main text, all else does not.
 _BODY = "<h1>A title of words</h1><p>One <b>bold</b> word and <a href=x>a link</a> in a paragraph of words that goes on here.</p><h2>A part</h2><h3>A smaller part</h3><p>More words of the text<br>go on here.</p><ul><li>first point</li><li>second point</li></ul><blockquote>words of others</blockquote><table><tr><td>cell</td><td>cell</td></tr></table><pre>some code here</pre><figure><figcaption>What the picture shows</figcaption></figure><section><p>Short.</p></section><div>Some words of the text stand in no paragraph of their own.</div><div>Others too.</div>"
 _AROUND = (

@@ -5,8 +5,8 @@ the set of valid values of its format, so that equal values get equal pseudonyms
 values different ones, and lengths, separators and check digits hold. Mail addresses are permuted letter for
 letter and digit for digit.
 
-Defined cases: a null text stays null; an empty one empty; a text of any length is read whole; what fails its
-check stays as it is; digits are those of ASCII, any others stay; of matches that begin at one place the first
+Defined cases: a null text stays null; an empty one empty; a text of any length is read whole; a mail address of any
+length is permuted, a long one in blocks; a key of over 64 bytes is hashed first; what fails its check stays as it is; digits are those of ASCII, any others stay; of matches that begin at one place the first
 kind of the pattern counts; rows are treated each for itself; columns but doc_id and text are ignored; an empty
 table gives no rows.
 """
@@ -29,12 +29,15 @@ from .base import arrow_map, blocks, table
 KEY, KEY_SETTING = b"change this key", "spark.scoreline.pii.key"
 DIGITS = frozenset("0123456789")
 ROUNDS = 8
+#: Characters of an address that are permuted as one number.
+BLOCK = 200
 KINDS = ("card", "phone", "ip", "date", "ssn", "iban", "mail")
 
 
 def permute(x: int, size: int, key: bytes, kind: str) -> int:
     """A keyed permutation of range(size): a balanced Feistel network over the next even number of bits, applied
     again while its value lies outside."""
+    key = key if len(key) <= 64 else hashlib.blake2b(key).digest()
     half = max(1, ((size - 1).bit_length() + 1) // 2)
     mask = (1 << half) - 1
     person = hashlib.blake2b(f"{kind}:{size}".encode(), digest_size=16).digest()
@@ -163,7 +166,19 @@ def ssn(s: str, key: bytes) -> str | None:
 
 
 def _classes(s: str, key: bytes, kind: str) -> str:
-    """Letters to letters of their case, digits to digits, all as one number in mixed radix."""
+    """Letters to letters of their case, digits to digits: ``BLOCK`` characters at a time, each block as one number in
+    mixed radix, under a permutation that depends on what the blocks before it have become."""
+    out = _block(s[:BLOCK], key, kind)
+    if len(s) <= BLOCK:
+        return out
+    done, before = [out], hashlib.blake2b(out.encode(), digest_size=16)
+    for at in range(BLOCK, len(s), BLOCK):
+        done.append(_block(s[at : at + BLOCK], key, f"{kind}:{at}:{before.hexdigest()}"))
+        before.update(done[-1].encode())
+    return "".join(done)
+
+
+def _block(s: str, key: bytes, kind: str) -> str:
     base = [10 if c in DIGITS else 26 if c.isalpha() and c.isascii() else 1 for c in s]
     x, size = 0, 1
     for c, b in zip(s, base):

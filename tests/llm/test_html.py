@@ -33,7 +33,7 @@ def test_notices_inside_the_article_go():
     assert X.extract(page(inner)).replace("\n", " ") == TEXT.replace("\n", " ")
 
 
-@pytest.mark.parametrize("bad, want", [(None, ""), ("", ""), ("plain words", "plain words"), ("<p>open <b>tags", "open tags"), ("a < b and c > d", "a < b and c > d"), ("<script>x", ""), ("</p></div>words</b>", "words"), ("<div></div>", ""), ("<p>&#233;&eacute;&nbsp;x</p>", "éé x")])
+@pytest.mark.parametrize("bad, want", [(None, ""), ("", ""), ("plain words", "plain words"), ("<p>open <b>tags", "open tags"), ("a < b and c > d", "a < b and c > d"), ("<script>x", ""), ("</p></div>words</b>", "words"), ("<div></div>", ""), ("<p>&#233;&eacute;&nbsp;x</p>", "éé x"), ("<p>a&#" + "9" * 5000 + ";b &#" + "0" * 5000 + "65; &#x" + "f" * 5000 + ";</p>", "a\ufffdb A \ufffd"), ("<p>&#00000000233;&#99999999</p>", "é\ufffd")])
 def test_broken_pages(bad, want):
     assert X.extract(bad) == want
 

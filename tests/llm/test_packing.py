@@ -30,6 +30,18 @@ def test_hard_texts_encode_alike(reference, text):
     assert X.encoder()([text])[0] == reference(text)
 
 
+@pytest.mark.parametrize("space", [" ", "\n", "\t", "\xa0", "\r\n", "\u3000"])
+def test_long_runs_of_white_space_encode_alike(reference, space):
+    text = "a" + space * 2_000_000 + "b"
+    assert X.encoder()([text, "c"]) == [reference(text), reference("c")]
+
+
+def test_a_long_run_stops_no_job(docs):
+    rows = [(i, "some words") for i in range(29)] + [(29, "x" + "\n" * 1_200_000)]
+    got = X.pack(docs(*rows)).groupBy("doc_id").sum("length").collect()
+    assert len(got) == 30 and min(r[1] for r in got) == 3
+
+
 @given(st.integers(1, 10_000))
 def test_cut(n):
     got = X.cut(n)

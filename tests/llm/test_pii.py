@@ -1,5 +1,6 @@
 import datetime
 import re
+import string
 
 import pytest
 from hypothesis import given, settings
@@ -152,3 +153,19 @@ def test_key_of_the_session(spark, docs, table_dir):
         assert X.op9_pii(spark, d).first().text == X.pseudonymise("97.51.17.173", b"another")[0] != plain
     finally:
         spark.conf.unset(X.KEY_SETTING)
+
+
+@pytest.mark.parametrize("value", ["a" * 220 + "@example.com", "a@" + "b" * 300 + ".com", "a1.B" * 25_000 + "@" + "c-9d" * 25_000 + ".org"])
+def test_long_addresses(value):
+    got, found = X.pseudonymise(f"x {value} y", b"k" * 100)
+    assert found == {"mail": 1} and len(got) == len(value) + 4
+    kinds = lambda t: ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else c for c in t]
+    assert kinds(got) == kinds(f"x {value} y") and got != f"x {value} y"
+    assert X.pseudonymise(f"x {value} y", b"k" * 100)[0] == got != X.pseudonymise(f"x {value} y", b"l" * 100)[0]
+
+
+def test_long_addresses_stay_different(monkeypatch):
+    monkeypatch.setattr(X, "BLOCK", 2)
+    every = [f"{a}{b}{c}" for a in "abc" for b in "0123456789" for c in string.ascii_lowercase]
+    new = {X._classes(v, b"key", "mail") for v in every}
+    assert len(new) == len(every) and all(v[1].isdigit() and v[0].isalpha() for v in new)
