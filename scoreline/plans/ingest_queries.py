@@ -141,6 +141,7 @@ def _work_folder(spark: SparkSession) -> str:
     return made
 
 
+REFRESHED = ("features_player_match", "features_player_recent_form", "serving_player_profiles", "serving_map_overview_daily", "serving_player_match_deep_dive")
 _refreshed: dict[tuple[str, str], TableStore] = {}
 
 
@@ -153,7 +154,7 @@ def refreshed(spark: SparkSession, sf_dir: str, *, table: str) -> DataFrame:
         store, every, early = TableStore(spark, _work_folder(spark)), Tables(spark, sf_dir, catalogue.LEXICON), Tables(spark, sf_dir, catalogue.LEXICON)
         for n in ("logs", "summaries"):
             early.replace(n, every[n].filter(F.col("match_time") < cut))
-        Runner(early, store, FULL).run(SERVING_SLICE)
+        Runner(early, store, FULL, buckets=4).run(SERVING_SLICE)
         Runner(every, store, INCREMENTAL, refresh_days=90).run(SERVING_SLICE)
         _refreshed[at] = store
     return _refreshed[at].read(table).drop("updated_at")
@@ -169,7 +170,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "m_folds": folds,
     "m_feature_quality": clipped,
     "m_threshold": best_threshold,
-    **{f"r_{n}": partial(refreshed, table=n) for n in ("features_player_match", "serving_player_profiles", "serving_map_overview_daily")},
+    **{f"r_{n}": partial(refreshed, table=n) for n in REFRESHED},
 }
 
 
@@ -220,6 +221,6 @@ SQL: dict[str, str] = {
   h as (select t, count(*) filter (p >= t) as hit, coalesce(sum(y) filter (p >= t), 0) as tp, sum(y) as pos from s, c group by t),
   m as (select t, coalesce({oracle.ratio('tp', 'hit')}, 0) as pr, coalesce({oracle.ratio('tp', 'pos')}, 0) as re, coalesce({oracle.ratio('2 * tp', 'hit + pos')}, 0) as f1 from h)
   select cast(t as double) as threshold, pr >= 0.3 and re >= 0.6 as met from m order by met desc, f1 desc, pr desc, re desc, t limit 1""",
-    **{f"r_{n}": f"select * exclude (updated_at) from ({oracle.SQL['x_t_' + n]}) x" for n in ("serving_player_profiles", "serving_map_overview_daily")},
-    "r_features_player_match": oracle.SQL["x_t_features_player_match"],
+    **{f"r_{n}": f"select * exclude (updated_at) from ({oracle.SQL['x_t_' + n]}) x" for n in REFRESHED if n.startswith("serving")},
+    **{f"r_{n}": oracle.SQL["x_t_" + n] for n in REFRESHED if n.startswith("features")},
 }

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.core import refresh_bound
 from ..operators import features, mlops, quality, serving
 from ..schemas import PIPELINE_RUNS
+from . import layout
 from .store import TableStore, retry_on_conflict
 from .tables import PUBLISHED, STAMPED, Tables, stamped
 
@@ -27,6 +28,7 @@ def _days_since(day: datetime.date) -> F.Column:
 
 #: Tables are kept by month: what a window does not touch is neither read nor written.
 MONTH, TIME_MONTH = "date_format(match_date, 'yyyy-MM')", "date_format(match_time, 'yyyy-MM')"
+PLAYER_TABLES = ("features_player_match", "features_player_recent_form", "serving_player_match_deep_dive")
 
 
 def _from(day: datetime.date) -> Callable[[str], bool]:
@@ -35,23 +37,29 @@ def _from(day: datetime.date) -> Callable[[str], bool]:
 
 
 class Runner:
-    """Publishes tables of ``tables`` into ``store``. Each step reads what earlier steps have published."""
+    """Publishes tables of ``tables`` into ``store``. Each step reads what earlier steps have published.
 
-    def __init__(self, tables: Tables, store: TableStore, mode: str = INCREMENTAL, refresh_days: int = 7, now: Callable[[], datetime.datetime] = datetime.datetime.now):
+    Player tables lie in parts by month and player bucket (``layout``): an incremental run reads and rewrites the
+    buckets of the players who have changed. ``buckets`` is their number for tables that a run makes anew; without it
+    the number of player rows decides.
+    """
+
+    def __init__(self, tables: Tables, store: TableStore, mode: str = INCREMENTAL, refresh_days: int = 7, now: Callable[[], datetime.datetime] = datetime.datetime.now, buckets: int | None = None):
         if mode not in (FULL, INCREMENTAL):
             raise ValueError(f"no such mode: {mode}")
         self.t, self.store, self.mode, self.days, self.now = tables, store, mode, refresh_days, now
         self.run_id = uuid.uuid4().hex
         self.t.refreshed_at = now()
-        self._changed_players: DataFrame | None = None
+        self._new_buckets, self._gone, self._who = buckets, None, None
 
     def _full(self, name: str) -> bool:
         return self.mode == FULL or not self.store.exists(name)
 
     def _publish(self, name: str, write: Callable[[], int]) -> int:
-        retry_on_conflict(write)
+        """How many rows the write has written: all of a table that is made anew, else those of the parts it touches."""
+        version = retry_on_conflict(write)
         self.t.replace(name, self.store.read(name))
-        return self.t[name].count()
+        return self.store.written(name, version)
 
     def _bound(self, df: DataFrame, col: str) -> datetime.date:
         """Where the window of an incremental run begins."""
@@ -73,33 +81,62 @@ class Runner:
         chat = features.messages_base(self.t["messages"].join(matches, "logid", "left_semi"))
         return n + self._publish("messages_base", lambda: self.store.replace_keys("messages_base", chat, ["logid"], matches))
 
+    def _buckets(self) -> int:
+        if self._new_buckets is None:
+            known = self.store.exists("summaries_base")
+            self._new_buckets = layout.buckets_for(self.store.read("summaries_base").count() if known else 0)
+        return self._new_buckets
+
+    def _parts(self, name: str, players: DataFrame, month: Callable[[str], bool] | None = None) -> Callable[[str], bool]:
+        """The parts of a table where rows of these players can be."""
+        n = layout.buckets_of(self.store.layout(name))
+        return layout.parts_of(layout.touched(players, n) if n else None, month)
+
     def features_player_match(self) -> int:
         name = "features_player_match"
         s, logs, m = (self.t[n] for n in ("summaries_base", "logs_base", "messages_base"))
         if self._full(name):
-            return self._publish(name, lambda: self.store.overwrite(name, features.player_match(s, logs, m, self.t.scorer), MONTH))
+            by = layout.by_month_and_player(self._buckets())
+            return self._publish(name, lambda: self.store.overwrite(name, features.player_match(s, logs, m, self.t.scorer), by))
         day = self._bound(s, "match_time")
         fresh = F.to_date("match_time") >= F.lit(day)
         changed = s.filter(fresh).select("logid").distinct()
         new = features.player_match(s.filter(fresh), logs.filter(fresh), m.join(changed, "logid", "left_semi"), self.t.scorer)
-        return self._publish(name, lambda: self.store.replace_keys(name, new, ["logid"], changed, MONTH, _from(day)))
+        old = self.store.read(name, parts=layout.parts_of(month=_from(day)))
+        self._gone = old.join(changed, "logid", "left_semi").select("steamid").distinct()
+        players = s.filter(fresh).select("steamid").union(self._gone)
+        parts = self._parts(name, players, _from(day))
+        return self._publish(name, lambda: self.store.replace_keys(name, new, ["logid"], changed, parts=parts))
 
     def _players(self) -> DataFrame:
-        rows = self.t["features_player_match"]
-        return rows.filter(_days_since(refresh_bound(rows, "match_date", self.days))).select("steamid").distinct()
-
-    def _by_player(self, name: str, plan: Callable[[DataFrame | None], DataFrame], by: str | None = None) -> int:
+        """Players of the window's matches, and those whom a new delivery has taken out of one."""
+        if self._who is None:
+            rows = self.t["features_player_match"]
+            who = rows.filter(_days_since(refresh_bound(rows, "match_date", self.days))).select("steamid")
+            self._who = (who if self._gone is None else who.union(self._gone)).distinct()
+        return self._who
+
+    def _of(self, name: str, players: DataFrame | None) -> DataFrame:
+        """A published table as far as these players can be in it: the parts of their buckets are read."""
+        if players is None or not self.store.exists(name):
+            return self.t[name]
+        return self.store.read(name, parts=self._parts(name, players))
+
+    def _by_player(self, name: str, plan: Callable[[DataFrame | None], DataFrame], by: Callable[[int], str]) -> int:
         make = (lambda who: stamped(plan(who), self.t.refreshed_at)) if name in STAMPED else plan
         if self._full(name):
-            return self._publish(name, lambda: self.store.overwrite(name, make(None), by))
+            return self._publish(name, lambda: self.store.overwrite(name, make(None), by(self._buckets())))
         who = self._players()
-        return self._publish(name, lambda: self.store.replace_keys(name, make(who), ["steamid"], who, by))
+        parts = self._parts(name, who)
+        return self._publish(name, lambda: self.store.replace_keys(name, make(who), ["steamid"], who, parts=parts))
 
     def features_player_recent_form(self) -> int:
-        return self._by_player("features_player_recent_form", lambda who: features.recent_form(self.t["features_player_match"], who), MONTH)
+        name = "features_player_recent_form"
+        return self._by_player(name, lambda who: features.recent_form(self._of("features_player_match", who), who), layout.by_month_and_player)
 
     def serving_player_profiles(self) -> int:
-        return self._by_player("serving_player_profiles", lambda who: serving.player_profiles(self.t["features_player_match"], self.t["features_player_recent_form"], who))
+        name = "serving_player_profiles"
+        return self._by_player(name, lambda who: serving.player_profiles(*(self._of(n, who) for n in PLAYER_TABLES[:2]), who), layout.by_player)
 
     def serving_map_overview_daily(self) -> int:
         name = "serving_map_overview_daily"
@@ -111,10 +148,10 @@ class Runner:
 
     def serving_player_match_deep_dive(self) -> int:
         """Rows of changed players are all refreshed: their career averages have moved."""
-        return self._by_player("serving_player_match_deep_dive", lambda who: self._deep(who), MONTH)
+        return self._by_player("serving_player_match_deep_dive", self._deep, layout.by_month_and_player)
 
     def _deep(self, who: DataFrame | None) -> DataFrame:
-        f, form = self.t["features_player_match"], self.t["features_player_recent_form"]
+        f, form = (self._of(n, who) for n in PLAYER_TABLES[:2])
         if who is not None:
             f, form = (x.join(who, "steamid", "left_semi") for x in (f, form))
         return serving.match_deep_dive(f, form)
@@ -128,8 +165,7 @@ class Runner:
             return 0
         if self.store.exists(name) and not self.store.read(name).filter(F.col("snapshot_id") == sid[0]).isEmpty():
             return 0
-        retry_on_conflict(lambda: self.store.append(name, rows))
-        return self.store.read(name).filter(F.col("snapshot_id") == sid[0]).count()
+        return self.store.written(name, retry_on_conflict(lambda: self.store.append(name, rows)))
 
     def ml_progress(self) -> int:
         names = ("serving_ml_model_registry", "serving_ml_pipeline_progress_daily", "serving_ml_prediction_quality_daily")

@@ -10,7 +10,7 @@ import json
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -18,7 +18,7 @@ class Conflict(RuntimeError):
     """Another writer has moved the pointer meanwhile."""
 
 
-def retry_on_conflict(action: Callable[[], None], attempts: int = 3, delay: float = 5.0, sleep: Callable[[float], None] = time.sleep) -> None:
+def retry_on_conflict(action: Callable[[], object], attempts: int = 3, delay: float = 5.0, sleep: Callable[[float], None] = time.sleep) -> object:
     for k in range(1, attempts + 1):
         try:
             return action()
@@ -61,6 +61,14 @@ class TableStore:
     def _pointer(self, name: str, version: int) -> dict:
         return json.loads(self._read(f"{self.root}/{name}/pointer-{version}.json"))
 
+    def layout(self, name: str) -> str | None:
+        """The expression that names the parts of the rows; None for a table without."""
+        return self._pointer(name, self.versions(name)[-1])["by"]
+
+    def written(self, name: str, version: int | None = None) -> int:
+        """How many rows the write of a version has written, as observed then."""
+        return self._pointer(name, version or self.versions(name)[-1])["rows"]
+
     def parts(self, name: str) -> list[str]:
         return sorted(self._pointer(name, self.versions(name)[-1])["parts"])
 
@@ -72,26 +80,27 @@ class TableStore:
             return self.spark.createDataFrame([], at["schema"])
         return self.spark.read.schema(at["schema"]).parquet(*paths)
 
-    def _commit(self, name: str, version: int, parts: dict[str, list[str]], schema: str, by: str | None) -> int:
+    def _commit(self, name: str, version: int, parts: dict[str, list[str]], schema: str, by: str | None, rows: int) -> int:
         """Creating the pointer file is the commit; of two writers of one version only one can create it."""
         try:
             out = self._fs.create(self._path(f"{self.root}/{name}/pointer-{version}.json"), False)
         except Exception as e:
             raise Conflict(f"{name}: version {version} is taken") from e
-        out.write(bytearray(json.dumps({"parts": parts, "schema": schema, "by": by, "at": time.time()}).encode()))
+        out.write(bytearray(json.dumps({"parts": parts, "schema": schema, "by": by, "rows": rows, "at": time.time()}).encode()))
         out.close()
         return version
 
-    def _write(self, name: str, version: int, df: DataFrame, by: str | None) -> dict[str, list[str]]:
-        """Files of the rows by part. ``by`` is an expression over the columns; its value only names the folder. Rows of
+    def _write(self, name: str, version: int, df: DataFrame, by: str | None) -> tuple[dict[str, list[str]], int]:
+        """Files of the rows by part, and how many rows. ``by`` is an expression over the columns; its value only names the folder. Rows of
         a part are brought together first, and AQE splits large parts, so that a part is few files of a good size."""
-        path = f"{self.root}/{name}/data-{version}-{time.time_ns()}"
+        path, seen = f"{self.root}/{name}/data-{version}-{time.time_ns()}", Observation()
+        counted = lambda rows: rows.observe(seen, F.count(F.lit(1)).alias("rows")).write
         if by is None:
-            df.write.parquet(path)
-            return {"all": [path]}
+            counted(df).parquet(path)
+            return {"all": [path]}, seen.get["rows"]
         parted = df.withColumn("_part", F.coalesce(F.expr(by).cast("string"), F.lit("none")))
-        parted.hint("rebalance", "_part").write.partitionBy("_part").parquet(path)
-        return {n[6:]: [f"{path}/{n}"] for n in self._names(path) if n.startswith("_part=")}
+        counted(parted.hint("rebalance", "_part")).partitionBy("_part").parquet(path)
+        return {n[6:]: [f"{path}/{n}"] for n in self._names(path) if n.startswith("_part=")}, seen.get["rows"]
 
     @staticmethod
     def _ddl(df: DataFrame) -> str:
@@ -100,15 +109,16 @@ class TableStore:
     def overwrite(self, name: str, df: DataFrame, by: str | None = None, base: int | None = None) -> int:
         """A new version of exactly these rows."""
         version = (base if base is not None else (self.versions(name) or [0])[-1]) + 1
-        return self._commit(name, version, self._write(name, version, df, by), self._ddl(df), by)
+        made, rows = self._write(name, version, df, by)
+        return self._commit(name, version, made, self._ddl(df), by, rows)
 
     def append(self, name: str, df: DataFrame) -> int:
         if not self.exists(name):
             return self.overwrite(name, df)
         last = self.versions(name)[-1]
         at = self._pointer(name, last)
-        new = self._write(name, last + 1, df.select(*self.read(name, last).columns), at["by"])
-        return self._commit(name, last + 1, {k: at["parts"].get(k, []) + new.get(k, []) for k in {*at["parts"], *new}}, at["schema"], at["by"])
+        new, rows = self._write(name, last + 1, df.select(*self.read(name, last).columns), at["by"])
+        return self._commit(name, last + 1, {k: at["parts"].get(k, []) + new.get(k, []) for k in {*at["parts"], *new}}, at["schema"], at["by"], rows)
 
     def _replace(self, name: str, new: DataFrame, stay: Callable[[DataFrame], DataFrame], by: str | None, parts: Parts | None) -> int:
         """In the parts touched, what ``stay`` keeps of the old rows, and the new rows; the other parts as they are."""
@@ -118,9 +128,9 @@ class TableStore:
         at = self._pointer(name, last)
         touched = {k for k in at["parts"] if parts is None or parts(k)}
         old = self.read(name, last, lambda k: k in touched)
-        made = self._write(name, last + 1, stay(old).unionByName(new.select(*old.columns)), at["by"])
+        made, rows = self._write(name, last + 1, stay(old).unionByName(new.select(*old.columns)), at["by"])
         kept = {k: ps for k, ps in at["parts"].items() if k not in touched}
-        return self._commit(name, last + 1, {k: kept.get(k, []) + made.get(k, []) for k in {*kept, *made}}, at["schema"], at["by"])
+        return self._commit(name, last + 1, {k: kept.get(k, []) + made.get(k, []) for k in {*kept, *made}}, at["schema"], at["by"], rows)
 
     def replace_keys(self, name: str, new: DataFrame, keys: list[str], gone: DataFrame | None = None, by: str | None = None, parts: Parts | None = None) -> int:
         """Rows of the keys of ``gone`` (by default those of ``new``) go, the new rows come, in one version. ``parts``

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from helpers import canonical
 from scoreline.operators import quality
+from scoreline.plans import layout
 from scoreline.plans.catalogue import LEXICON
 from scoreline.plans.runner import FULL, INCREMENTAL, SERVING_SLICE, Runner
 from scoreline.plans.store import Conflict, TableStore, retry_on_conflict
@@ -176,3 +177,57 @@ def test_incremental_bases_follow_new_deliveries(spark, sf_dir, tmp_path):
     want = Tables(spark, sf_dir, LEXICON)
     for n in ("logs_base", "summaries_base", "messages_base"):
         assert canonical(store.read(n).toPandas()) == canonical(want[n].toPandas()), n
+
+
+def test_a_refresh_of_few_players_touches_their_buckets_alone(spark, sf_dir, tmp_path):
+    """One new match of two players: of all player tables no other bucket is read or written, and all are as if built
+    at once."""
+    store, t = TableStore(spark, str(tmp_path)), Tables(spark, sf_dir, LEXICON)
+    top = t["logs"].agg(F.max("match_time")).first()[0]
+    last = t["summaries_base"].filter(F.col("match_time") >= F.lit(top - dt.timedelta(days=0))).select("logid").distinct()
+    early = Tables(spark, sf_dir, LEXICON)
+    for n in ("logs", "summaries"):
+        early.replace(n, t[n].join(last, "logid", "left_anti"))
+    names = ["features_player_match", "features_player_recent_form", "serving_player_profiles", "serving_player_match_deep_dive"]
+    Runner(early, store, FULL, buckets=64).run(SERVING_SLICE)
+    before = {n: store._pointer(n, 1)["parts"] for n in names}
+    read = []
+    plain = store.read
+    store.read = lambda name, version=None, parts=None: read.append((name, plain(name, version, parts).inputFiles())) or plain(name, version, parts) if parts else plain(name, version, parts)
+    Runner(t, store, INCREMENTAL, refresh_days=0).run(SERVING_SLICE)
+    store.read = plain
+    who = plain("features_player_match").filter(F.col("match_date") >= F.lit(top.date())).select("steamid").distinct()
+    mine = {str(b) for b in layout.touched(who, 64)}
+    assert 0 < len(mine) < 32
+    for n in names:
+        after = store._pointer(n, 2)["parts"]
+        assert {k.split("~")[1] for k in after if after[k] != before[n].get(k)} == mine
+        assert all(after[k] == before[n][k] for k in before[n] if k.split("~")[1] not in mine)
+        assert store.written(n) == plain(n, parts=layout.parts_of(mine, None if n != names[0] else lambda m: m >= f"{top:%Y-%m}")).count()
+    history = [fs for n, fs in read if n == names[0]][1:]  # the first looks for rows of the changed matches
+    assert history and all(f.rsplit("~", 1)[1].split("/")[0].split("%")[0] in mine for fs in history for f in fs)
+    want = Tables(spark, sf_dir, LEXICON)
+    for n in names:
+        assert canonical(plain(n).drop("updated_at").toPandas()) == canonical(want[n].drop("updated_at").toPandas()), n
+
+
+def test_a_player_taken_out_of_a_match_is_refreshed(spark, sf_dir, tmp_path):
+    store, t = TableStore(spark, str(tmp_path)), Tables(spark, sf_dir, LEXICON)
+    Runner(t, store, FULL, buckets=8).run(SERVING_SLICE)
+    last = t["summaries_base"].orderBy(F.desc("match_time"), F.desc("logid")).first()
+    later = Tables(spark, sf_dir, LEXICON)
+    later.replace("summaries", t["summaries"].filter((F.col("logid") != last.logid) | (F.col("steamid") != last.steamid)))
+    later.replace("logs", t["logs"])
+    Runner(later, store, INCREMENTAL, refresh_days=3).run(SERVING_SLICE)
+    want = Tables(spark, sf_dir, LEXICON)
+    want.replace("summaries", later["summaries"])
+    for n in ("features_player_match", "features_player_recent_form", "serving_player_profiles", "serving_player_match_deep_dive"):
+        assert canonical(store.read(n).drop("updated_at").toPandas()) == canonical(want[n].drop("updated_at").toPandas()), n
+
+
+def test_layout():
+    assert [layout.buckets_for(n) for n in (0, 10, 50_000_000, 50_000_001, 10**10, 10**15)] == [1, 1, 1, 2, 256, 4096]
+    assert layout.buckets_of(layout.by_month_and_player(16)) == layout.buckets_of(layout.by_player(16)) == 16
+    assert layout.buckets_of(None) is layout.buckets_of("date_format(match_date, 'yyyy-MM')") is None
+    keep = layout.parts_of({3}, lambda m: m == "none" or m >= "2001-02")
+    assert [keep(p) for p in ("2001-02~3", "2001-01~3", "none~3", "2001-03~4", "2001-02")] == [True, False, True, False, True]
