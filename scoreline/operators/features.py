@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.chat import Scorer, chat_counts
-from ..functions.core import latest_by, ratio, rnd, won, zero
+from ..functions import rolling
+from ..functions.core import checked_broadcast, latest_by, ratio, rnd, won, zero
 
 SIDES = ("Red", "Blue")
 
@@ -95,27 +96,44 @@ def player_match(summaries: DataFrame, logs: DataFrame, messages: DataFrame, sco
     )
 
 
-def recent_form(features: DataFrame, players: DataFrame | None = None, strict: bool = False) -> DataFrame:
+#: The longest frame of the form, in rows.
+FRAME = 10
+
+
+def recent_form(features: DataFrame, players: DataFrame | None = None, strict: bool = False, hot: DataFrame | None = None, chunk: int = rolling.CHUNK) -> DataFrame:
     """Rolling form of each player. Frames hold the current match, as the table's contract has it; ``strict``
-    leaves it out, for features that must not see what they predict."""
+    leaves it out, for features that must not see what they predict. The lines of the players of ``hot``
+    (``rolling.hot_keys``) are cut into chunks of about ``chunk`` matches."""
     if players is not None:
         features = features.join(players.select("steamid").distinct(), "steamid", "left_semi")
     whole = Window.partitionBy("steamid")
-    line = whole.orderBy("match_time", "logid")
+    career = {f"_{c[0]}": F.avg(c) for c in ("kills", "damage_dealt", "impact_index")}
+    if hot is None:
+        rows = features.withColumns({c: a.over(whole) for c, a in career.items()})
+        return _form(rows, Window.partitionBy("steamid"), F.lit(0), strict)
+    rest, long_ = rolling.split_off(features, "steamid", hot)
+    sums = checked_broadcast(long_.groupBy("steamid").agg(*[a.alias(c) for c, a in career.items()]))
+    cut = rolling.in_chunks(long_, "steamid", ["match_time", "logid"], FRAME, chunk).join(sums, "steamid", "left")
+    parts = Window.partitionBy("steamid", "_chunk")
+    before = F.col("_before") - F.sum(F.col("_halo").cast("int")).over(parts)
+    done = _form(cut, parts, before, strict, F.col("_halo")).filter("not _halo").drop("_halo")
+    return recent_form(rest, strict=strict).unionByName(done)
+
+
+def _form(rows: DataFrame, parts: WindowSpec, before: F.Column, strict: bool, *keep: F.Column) -> DataFrame:
+    """The form over lines that lie in ``parts``, with ``before`` rows of the line ahead of each part."""
+    line = parts.orderBy("match_time", "logid")
     last = lambda n: line.rowsBetween(-n, -1) if strict else line.rowsBetween(1 - n, 0)
     avg = lambda c, w: F.avg(c).over(w)
-    scored = features.withColumns(
+    scored = rows.withColumns(
         {
-            "games_played_to_date": F.row_number().over(line),
+            "games_played_to_date": (F.row_number().over(line) + before).cast("int"),
             "_k5": avg("kills", last(5)),
-            "_d10": avg("damage_dealt", last(10)),
-            "_i10": avg("impact_index", last(10)),
-            "_a10": avg(ratio(F.col("kills") + F.col("assists"), "deaths"), last(10)),
-            "_w10": avg("won_game", last(10)),
-            "_n10": avg("negative_chat_ratio", last(10)),
-            "_k": avg("kills", whole),
-            "_d": avg("damage_dealt", whole),
-            "_i": avg("impact_index", whole),
+            "_d10": avg("damage_dealt", last(FRAME)),
+            "_i10": avg("impact_index", last(FRAME)),
+            "_a10": avg(ratio(F.col("kills") + F.col("assists"), "deaths"), last(FRAME)),
+            "_w10": avg("won_game", last(FRAME)),
+            "_n10": avg("negative_chat_ratio", last(FRAME)),
         }
     )
     delta = rnd(F.col("_i10") - F.col("_i"), 9)
@@ -136,4 +154,5 @@ def recent_form(features: DataFrame, players: DataFrame | None = None, strict: b
         rnd(F.col("_d10") - F.col("_d"), 3).alias("form_delta_damage"),
         rnd(F.col("_i10") - F.col("_i"), 4).alias("form_delta_impact"),
         F.when(delta >= 0.016, "hot").when(delta <= -0.020, "cold").otherwise("stable").alias("momentum_label"),
+        *keep,
     )

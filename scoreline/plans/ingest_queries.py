@@ -17,9 +17,10 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import rolling
 from ..functions.core import rnd
 from ..ml import metrics, training
-from ..operators import mlops
+from ..operators import features, mlops
 from ..sources import documents
 from ..streaming import ingest
 from . import catalogue, ml_queries, oracle
@@ -160,7 +161,14 @@ def refreshed(spark: SparkSession, sf_dir: str, *, table: str) -> DataFrame:
     return _refreshed[at].read(table).drop("updated_at")
 
 
+def form_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rolling form with every player's line cut into chunks of about 100 matches."""
+    rows = Tables(spark, sf_dir, catalogue.LEXICON)["features_player_match"]
+    return features.recent_form(rows, hot=rolling.hot_keys(rows, "steamid", 100), chunk=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "r_recent_form_in_chunks": form_in_chunks,
     **{f"i_{k[:-1] if k != 'summaries' else 'summary'}_records": partial(records, kind=k) for k in documents.RECORDS},
     "i_failed_documents": failed,
     "i_list_entries": strict_list,
@@ -192,6 +200,7 @@ _DUE = f"cast({NOW_MS - 600_000} + o_custkey * 1000 + cast(least(10000.0 * pow(2
 _CHOICE = ", ".join(f"({t})" for t in ml_queries.THRESHOLDS)
 
 SQL: dict[str, str] = {
+    "r_recent_form_in_chunks": oracle.SQL["x_t_features_player_recent_form"],
     "i_log_records": f"""select cast(o_orderkey as varchar) as recordid, {_META}, coalesce(n, 0) as sourceplayercount, o_custkey as sourceviewcount,
   case when o_orderkey % 2 = 0 then o_orderkey % 3600 else 1800 end as durationseconds, red as redscore, blue as bluescore,
   case o_orderkey % 3 when 0 then '' when 1 then 'u' else 'o' end || o_custkey as uploadersteamid, cast(3 as bigint) as payloadschemaversion

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import rolling
 from ..functions.core import refresh_bound
 from ..operators import features, mlops, quality, serving
 from ..schemas import PIPELINE_RUNS
@@ -132,7 +133,12 @@ class Runner:
 
     def features_player_recent_form(self) -> int:
         name = "features_player_recent_form"
-        return self._by_player(name, lambda who: features.recent_form(self._of("features_player_match", who), who), layout.by_month_and_player)
+
+        def plan(who: DataFrame | None) -> DataFrame:
+            rows = self._of("features_player_match", who)
+            return features.recent_form(rows, who, hot=rolling.hot_keys(rows, "steamid"))
+
+        return self._by_player(name, plan, layout.by_month_and_player)
 
     def serving_player_profiles(self) -> int:
         name = "serving_player_profiles"
