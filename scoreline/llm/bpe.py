@@ -41,7 +41,7 @@ VOCABULARY = "byte_bpe_50k.json"
 #: White space as the splitting pattern understands it.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Words and chunks that a Python worker remembers, at most; one of over ``WORD`` characters is not remembered.
-REMEMBERED, WORD = 1 << 18, 48
+REMEMBERED, WORD = 1 << 19, 48
 #: Transitions that a worker's table holds, at most.
 ARCS = 1 << 20
 #: Characters of a text that are split at once, or more up to the next end of a word.
@@ -76,7 +76,7 @@ class Automaton:
         self.target = {x: number[self._target(x)] for x in self.label}
         self.arcs: dict[int, int] = {}
         self.width = max(self.label, default=0) + 1
-        self.below, self.ends = self._trie()
+        self.root = self._trie()
         self.length = {x: len(s) for x, s in self.label.items()}
         self.longest = max(self.length.values(), default=0)
 
@@ -134,49 +134,46 @@ class Automaton:
             to = self.arcs[key] = self.target[x] if self._has(self.states[state], x) else -1
         return to
 
-    def _trie(self) -> tuple[dict[int, int], list[int]]:
-        """The labels by byte: (node, byte) to node, and the token that ends at a node or -1."""
-        below, ends = {}, [-1]
-        for x, label in self.label.items():
-            node = 0
-            for c in label:
-                if (key := node << 8 | c) not in below:
-                    below[key] = len(ends)
-                    ends.append(-1)
-                node = below[key]
-            ends[node] = x
-        return below, ends
-
-    def _next(self, word: bytes, at: int) -> list[int]:
-        """The tokens whose bytes come next, the longest last."""
-        below, ends, node, out = self.below, self.ends, 0, []
-        for c in word[at : at + self.longest]:
-            if (node := below.get(node << 8 | c, -1)) < 0:
-                break
-            if (x := ends[node]) >= 0:
-                out.append(x)
-        return out
+    def _trie(self) -> dict:
+        """The labels by byte: a node is the token that ends there, or -1, and what comes below."""
+        root: dict[int, tuple[int, dict]] = {}
+        for x, label in sorted(self.label.items(), key=lambda i: len(i[1])):  # no label comes after one that it begins
+            node = root
+            for c in label[:-1]:
+                if c not in node:
+                    node[c] = (-1, {})
+                node = node[c][1]
+            node[label[-1]] = (x, node[label[-1]][1] if label[-1] in node else {})
+        return root
 
     def encode(self, word: bytes) -> list[int]:
         """The one way through the automaton, longer arcs tried first. A place that has been left again is not entered
         twice, as one sequence of arcs alone leads there."""
-        n, at, state, step, length = len(word), 0, 0, self.step, self.length
-        ids, states, open_, seen = [], [], [self._next(word, 0)], bytearray(n + 1)
+        root, arcs, width, longest, length = self.root, self.arcs, self.width, self.longest, self.length
+        n, at, state, ids, way, dead = len(word), 0, 0, [], [], set()
+        tries: list[int] | None = None
         while at < n:
-            tries = open_[-1]
+            if tries is None:
+                below, tries = root, []
+                for c in word[at : at + longest]:
+                    if (node := below.get(c)) is None:
+                        break
+                    x, below = node
+                    if x >= 0:
+                        tries.append(x)
             while tries:
                 x = tries.pop()
-                end = at + length[x]
-                if not seen[end] and (to := step(state, x)) >= 0:
+                if (to := arcs.get(state * width + x)) is None:
+                    to = self.step(state, x)
+                if to >= 0 and (not dead or at + length[x] not in dead):
+                    way.append((state, tries))
                     ids.append(x)
-                    states.append(state)
-                    at, state = end, to
-                    seen[end] = 1
-                    open_.append(self._next(word, at))
+                    at, state, tries = at + length[x], to, None
                     break
             else:
-                open_.pop()
-                at, state = at - length[ids.pop()], states.pop()
+                dead.add(at)
+                at -= length[ids.pop()]
+                state, tries = way.pop()
         return ids
 
 
@@ -185,15 +182,18 @@ class Unsure(Exception):
 
 
 class Remembered(dict):
-    """What a function makes of strings, made when they are first met."""
+    """What a function makes of strings, made when they are first met. When it is full, what it holds becomes the older
+    half, from which strings that are met again come back."""
 
     def __init__(self, make: Callable[[str], bytes]):
-        self.make = make
+        self.make, self.older = make, {}
 
     def __missing__(self, key: str) -> bytes:
-        got = self.make(key)
+        if (got := self.older.get(key)) is None:
+            got = self.make(key)
         if len(key) <= WORD:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED // 2:
+                self.older = dict(self)
                 self.clear()
             self[key] = got
         return got
@@ -219,7 +219,8 @@ class Codec:
         self.automaton = Automaton({b: vocab[c] for c, b in byte.items()}, [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs])
         special = {t["content"]: t["id"] for t in found["added_tokens"]}
         self.label = self.automaton.label | {i: s.encode() for s, i in special.items()}
-        self.special = {s: np.array([i], "<u4").tobytes() for s, i in special.items()}
+        self.packed = {i: i.to_bytes(4, "little") for i in self.label}
+        self.special = {s: self.packed[i] for s, i in special.items()}
         by_length = sorted(map(regex.escape, special), key=len, reverse=True)
         self.specials = regex.compile("|".join(by_length)) if special else None
         self.split, self.end = regex.compile(pattern).findall, re.compile(f"[^{WHITE}](?=[{WHITE}])")
@@ -228,10 +229,12 @@ class Codec:
         self.of_word, self.of_chunk = Remembered(self._word), Remembered(self._chunk)
 
     def _word(self, word: str) -> bytes:
-        return np.array(self.automaton.encode(word.encode()), "<u4").tobytes()
+        return b"".join(map(self.packed.__getitem__, self.automaton.encode(word.encode())))
 
     def _chunk(self, chunk: str) -> bytes:
         """What lies between two white spaces, the one before it included: words never go beyond."""
+        if (chunk[1:] if chunk[0] == " " else chunk).isalpha():  # one word
+            return self._word(chunk)
         if not chunk.isascii() and any(unicodedata.category(c) == "Cn" for c in chunk):
             raise Unsure
         return b"".join(map(self.of_word.__getitem__, self.split(chunk)))
