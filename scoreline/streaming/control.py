@@ -6,13 +6,13 @@ import argparse
 import datetime
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.lineage import Lineage
-from ..plans.store import TableStore
+from ..plans.store import TableStore, retry_on_conflict
 from ..sources.documents import SUMMARY
-from ..sources.paging import Collected, Fetch, collect, collect_new, read_page, with_retries
+from ..sources.paging import Collected, Fetch, collect, plan_oldest, read_page, read_stretch, with_retries
 from .ingest import BatchIngest, Result
 
 
@@ -36,16 +36,23 @@ def _frame(spark: SparkSession, got: Collected) -> DataFrame:
 
 
 def tick(ingest: BatchIngest, fetch: Fetch, page_size: int, now: datetime.datetime, max_pages: int = 10, dry_run: bool = False) -> Result:
-    """What is new since the last run, and due retries. A backlog longer than ``max_pages`` is walked to its end: the
-    last known id moves only once everything behind it has been listed."""
-    last = ingest.state(now).last_id
-    got = collect_new(fetch, page_size, last, max_pages)
-    seen, more = {s["id"]: s for s in got.summaries}, got.next_offset
-    while more is not None:
-        step = collect(fetch, page_size, more, max_pages, last)
-        seen.update({s["id"]: s for s in step.summaries})
-        more = step.next_offset
-    return ingest.run(_frame(ingest.spark, Collected([seen[k] for k in sorted(seen)], None)), now, dry_run)
+    """What is new since the last run, and due retries. A backlog is worked off from its old end, ``max_pages`` pages a
+    step, so that no more than these are held, and the last known id never passes an entry that is yet to be read."""
+    done, at = None, ingest.state(now).last_id
+    while done is None or parts:
+        parts = plan_oldest(fetch, page_size, at, max_pages)
+        if done is not None and not parts:
+            break
+        entries = [s for p in parts for s in read_stretch(fetch, page_size, p)]
+        got = ingest.run(_frame(ingest.spark, Collected(entries, None)), now, dry_run)
+        done = got if done is None else _sum(done, got, dry_run)
+        at = parts[-1].high if parts else at
+    return done
+
+
+def _sum(a: Result, b: Result, dry_run: bool) -> Result:
+    retried = a.retried if dry_run else a.retried + b.retried  # a dry run leaves retries due
+    return Result(a.new + b.new, retried, {k: a.emitted[k] + b.emitted[k] for k in a.emitted}, b.failed, b.last_id)
 
 
 def full_history(ingest: BatchIngest, fetch: Fetch, page_size: int, now: datetime.datetime, start: int = 0, max_pages: int = 10) -> list[Result]:
@@ -70,32 +77,43 @@ def offset_of(message) -> int | None:
 
 
 def enqueue(store: TableStore, offset: int) -> None:
-    store.append(QUEUE, store.spark.createDataFrame([(json.dumps({"mode": "full-history", "offset": offset}),)], "message string"))
+    message = json.dumps({"mode": "full-history", "offset": offset})
+    retry_on_conflict(lambda: store.append(QUEUE, store.spark.createDataFrame([(message,)], "message string")))
 
 
 def work_queue(ingest: BatchIngest, fetch: Fetch, page_size: int, now: datetime.datetime, max_pages: int = 10, steps: int = 1) -> list[Result]:
     """Takes up to ``steps`` messages off the queue, one ingest each; a step that does not reach the list's end puts the
     next offset on the queue, for whichever run comes next. A message stays until its step is done; one that is no
-    message is dropped."""
+    message is dropped; messages that others queue meanwhile stay."""
     store, out = ingest.store, []
     for _ in range(steps):
-        waiting = [r.message for r in store.read(QUEUE).collect()] if store.exists(QUEUE) else []
-        if not waiting:
+        first = store.read(QUEUE).limit(1).collect() if store.exists(QUEUE) else []
+        if not first:
             break
         try:
-            offset = offset_of(json.loads(waiting[0]))
+            offset = offset_of(json.loads(first[0].message))
         except ValueError:
             offset = None
-        rest = waiting[1:]
+        more = None
         if offset is not None:
             got = collect(fetch, page_size, offset, max_pages)
             out.append(ingest.run(_frame(ingest.spark, got), now, full_history=True))
-            if got.next_offset is not None:
-                rest.append(json.dumps({"mode": "full-history", "offset": got.next_offset}))
-        store.overwrite(QUEUE, store.spark.createDataFrame([(m,) for m in rest], "message string"))
+            more = got.next_offset
+        retry_on_conflict(lambda: _replace_message(store, first[0].message, more))
     return out
 
 
+def _replace_message(store: TableStore, message: str, more: int | None) -> int:
+    """One message of this text goes, the next offset comes, upon the queue as it is now; a writer that is faster makes
+    this a conflict."""
+    base = store.versions(QUEUE)[-1]
+    rows = store.read(QUEUE, base)
+    one = Window.partitionBy("message").orderBy(F.lit(0))
+    rest = rows.withColumn("_n", F.row_number().over(one)).filter((F.col("message") != message) | (F.col("_n") > 1)).select("message")
+    new = [(json.dumps({"mode": "full-history", "offset": more}),)] if more is not None else []
+    return store.overwrite(QUEUE, rest.union(store.spark.createDataFrame(new, "message string")), base=base)
+
+
 def health(store: TableStore, now: datetime.datetime) -> dict:
     ingest = BatchIngest(store, lambda ids: ids)
     state = ingest.state(now)

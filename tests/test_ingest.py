@@ -222,7 +222,7 @@ def test_list_stream_follows_the_last_id(spark, tmp_path):
             (land / f"{o}.json").write_text(json.dumps({"success": True, "results": 2, "total": len(ids), "logs": [summary(i) for i in ids[o : o + 2]]}))
 
     def run():
-        q = spark.readStream.format("paged_list").options(path=str(land), page_size=2, pages=10).load().writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).option("path", str(tmp_path / "out")).start()
+        q = spark.readStream.format("paged_list").options(path=str(land), page_size=2, pages=10, progress=str(tmp_path / "progress")).load().writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).option("path", str(tmp_path / "out")).start()
         q.processAllAvailable()
         q.stop()
         return sorted(r.page_offset for r in spark.read.schema("page_offset long, value string").parquet(str(tmp_path / "out")).collect())
@@ -296,3 +296,108 @@ def test_queue_messages(message, offset):
     from scoreline.streaming.control import offset_of
 
     assert offset_of(message) == offset
+
+
+def pages_of_list(ids, size):
+    """A list of ids, newest first, as a function of the offset, and what it was asked for."""
+    asked = []
+
+    def fetch(offset):
+        asked.append(offset)
+        return {"logs": [summary(i) for i in sorted(ids, reverse=True)[offset : offset + size]]}
+
+    return fetch, asked
+
+
+@pytest.mark.parametrize("n, size, last, pages", [(500, 10, 0, 10), (500, 10, 500, 10), (499, 10, 37, 3), (7, 10, 0, 2), (0, 5, 0, 1), (64, 1, 0, 5), (30, 3, 29, 1)])
+def test_plan_takes_the_old_end(n, size, last, pages):
+    from scoreline.sources.paging import plan_oldest, read_stretch
+
+    fetch, asked = pages_of_list(range(1, n + 1), size)
+    got, at = [], last
+    while parts := plan_oldest(fetch, size, at, pages):
+        assert len(parts) <= pages and parts[0].low == at and all(a.high == b.low for a, b in zip(parts, parts[1:]))
+        got += [s["id"] for p in parts for s in read_stretch(fetch, size, p)]
+        at = parts[-1].high
+    assert got == list(range(last + 1, n + 1))
+    asked.clear()
+    plan_oldest(fetch, size, last, pages)
+    assert len(asked) <= 2 * max(1, (n // size).bit_length()) + pages + 2
+
+
+def test_stretches_are_found_where_they_have_moved(spark):
+    from scoreline.sources.paging import plan_oldest, read_stretch
+
+    ids = list(range(1, 101))
+    fetch, _ = pages_of_list(ids, 5)
+    parts = plan_oldest(fetch, 5, 20, 4)
+    for change in (lambda: ids.extend(range(200, 223)), lambda: [ids.remove(i) for i in range(200, 223)], lambda: [ids.remove(i) for i in range(60, 91)]):
+        change()
+        for p in parts:
+            assert [s["id"] for s in read_stretch(fetch, 5, p)] == list(range(p.low + 1, p.high + 1))
+    ids.remove(25)
+    assert [s["id"] for p in parts for s in read_stretch(fetch, 5, p)] == [i for i in range(21, 41) if i != 25]
+
+
+def test_list_stream_of_a_backlog(spark, tmp_path):
+    """500 ids at 10 pages a batch come over five batches, each page a partition; a restart goes on where it was."""
+    land, size = tmp_path / "pages", 10
+    land.mkdir()
+
+    def publish(n):
+        for o in range(0, n, size):
+            (land / f"{o}.json").write_text(json.dumps({"success": True, "logs": [summary(i) for i in range(n - o, max(0, n - o - size), -1)]}))
+
+    def start():
+        df = spark.readStream.format("paged_list").options(path=str(land), page_size=size, pages=10, progress=str(tmp_path / "progress")).load()
+        return df.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).option("path", str(tmp_path / "out")).start()
+
+    spark.dataSource.register(PagedListSource)
+    publish(500)
+    q = start()
+    q.processAllAvailable()
+    batches = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    q.stop()
+    assert batches == [100] * 5
+    read = lambda: sorted(r.page_offset for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert read() == list(range(1, 501))
+    publish(730)
+    for stop_early in (True, False):
+        q = start()
+        if stop_early:  # after its first batch, wherever that leaves it
+            while not any(p["numInputRows"] for p in q.recentProgress):
+                q.awaitTermination(0.2)
+        else:
+            q.processAllAvailable()
+        q.stop()
+    assert read() == list(range(1, 731))
+    with pytest.raises(Exception, match="progress"):
+        spark.readStream.format("paged_list").options(path=str(land)).load().writeStream.format("noop").option("checkpointLocation", str(tmp_path / "cp2")).start().processAllAvailable()
+
+
+def test_tick_works_a_backlog_off_in_steps(spark, tmp_path):
+    from scoreline.streaming import control as C
+
+    fetch, _ = pages_of_list(range(1, 13), 2)
+    docs = {i: detail() for i in range(1, 13) if i not in (3, 4)}
+    b = I.BatchIngest(TableStore(spark, str(tmp_path)), fetcher(spark, docs | {3: "gone", 4: "gone"}))
+    steps, run = [], b.run
+    b.run = lambda rows, *a, **k: steps.append(rows.count()) or run(rows, *a, **k)
+    assert C.tick(b, fetch, 2, NOW, 2, dry_run=True).new == 12 and steps == [4, 4, 4]
+    got = C.tick(b, fetch, 2, NOW, 1)
+    assert steps[3:] == [2] * 6 and got.new == 12 and got.emitted["logs"] == 10 and got.failed == 2 and got.last_id == 12
+    assert C.tick(b, fetch, 2, NOW, 1).new == 0
+
+
+def test_messages_queued_meanwhile_stay(spark, tmp_path):
+    from scoreline.streaming import control as C
+
+    fetch, _ = pages_of_list(range(1, 7), 2)
+    store = TableStore(spark, str(tmp_path))
+    b = I.BatchIngest(store, fetcher(spark, {i: detail() for i in range(1, 7)}))
+    run = b.run
+    b.run = lambda *a, **k: C.enqueue(store, 99) or run(*a, **k)
+    C.enqueue(store, 0)
+    C.enqueue(store, 0)
+    assert len(C.work_queue(b, fetch, 2, NOW, 1)) == 1
+    assert sorted(json.loads(r.message)["offset"] for r in store.read(C.QUEUE).collect()) == [0, 2, 99]
