@@ -13,6 +13,7 @@ from ..plans.lineage import Lineage
 from ..plans.store import TableStore, retry_on_conflict
 from ..sources.documents import SUMMARY
 from ..sources.paging import Collected, Fetch, collect, plan_oldest, read_page, read_stretch, with_retries
+from ..sources.sink import MOST, record_sink
 from .ingest import BatchIngest, Result
 
 
@@ -130,6 +131,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--max-pages", type=int, default=10)
     p.add_argument("--start", type=int, default=0)
     p.add_argument("--events", help="file that gets run events, a line each")
+    p.add_argument("--sink", help="folder or URL that records are sent to, below it by dataset; without it they go to the store")
+    p.add_argument("--most", type=int, default=MOST, help="records of one send")
     a = p.parse_args(argv)
     from ..session import build_session
 
@@ -147,7 +150,8 @@ def main(argv: list[str] | None = None) -> None:
         with open(a.events, "a", encoding="utf-8") as f:
             f.write(json.dumps(event) + "\n")
 
-    ingest = BatchIngest(store, details_of(spark, a.details), on_event=Lineage(send) if a.events else lambda kind, facts: None)
+    sink = record_sink(a.sink, a.most) if a.sink else None
+    ingest = BatchIngest(store, details_of(spark, a.details), sink, on_event=Lineage(send) if a.events else lambda kind, facts: None)
     if a.mode == "full-history":
         got = full_history(ingest, pages_of(a.pages), a.page_size, now, a.start, a.max_pages)
     elif a.mode == "work":

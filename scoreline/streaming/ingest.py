@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import datetime
 import json
-import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -33,33 +32,6 @@ def due_retries(failures: DataFrame, now_ms: int, most: int) -> DataFrame:
     return failures.filter(F.col("next_attempt_ms") <= now_ms).orderBy("next_attempt_ms", "id").limit(most)
 
 
-def in_chunks(send: Callable[[str, DataFrame], int], most: int = 1_000_000, attempts: int = 3, delay: float = 0.5, sleep: Callable[[float], None] = time.sleep) -> Callable[[str, DataFrame], int]:
-    """A sink that sends at most about ``most`` records at once, and a chunk again, a little later each time, while the
-    receiver says that it is overloaded; any other error is the caller's. Records are dealt out by a hash of their
-    id, so a chunk is the same records whenever it is sent."""
-
-    def sink(name: str, rows: DataFrame) -> int:
-        chunks = max(1, -(-rows.count() // max(1, most)))
-        sent = 0
-        for k in range(chunks):
-            part = rows.filter(F.pmod(F.xxhash64("recordid"), F.lit(chunks)) == k) if chunks > 1 else rows
-            for attempt in range(1, attempts + 1):
-                try:
-                    sent += send(name, part)
-                    break
-                except Exception as e:
-                    if attempt == attempts or not overloaded(str(e)):
-                        raise
-                    sleep(delay * attempt)
-        return sent
-
-    return sink
-
-
-def overloaded(message: str) -> bool:
-    return any(x in message.lower() for x in ("overloaded", "too many requests"))
-
-
 @dataclass
 class State:
     last_id: int = 0
@@ -93,9 +65,12 @@ class BatchIngest:
 
     def __init__(self, store: TableStore, fetch: Callable[[DataFrame], DataFrame], sink: Callable[[str, DataFrame], int] | None = None, most_retries: int = 50, on_event: Callable[[str, dict], None] = lambda kind, facts: None):
         self.store, self.spark, self.fetch = store, store.spark, fetch
-        self.sink = sink or (lambda name, df: self.store.append(name, df) and df.count())
+        self.sink = sink or self._append
         self.most_retries, self.on_event = most_retries, on_event
 
+    def _append(self, name: str, rows: DataFrame) -> int:
+        return self.store.written(name, self.store.append(name, rows))
+
     def failures(self) -> DataFrame:
         return self.store.read("ingest_failures") if self.store.exists("ingest_failures") else self.spark.createDataFrame([], FAILURES)
 

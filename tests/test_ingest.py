@@ -271,24 +271,73 @@ def test_control(spark, tmp_path):
     assert len(steps) == 3 and sum(s.emitted["logs"] for s in steps) == 8
 
 
-def test_chunks_and_overload(spark):
-    from scoreline.streaming.ingest import in_chunks
+def test_patience_with_an_overloaded_receiver():
+    from scoreline.sources.sink import in_chunks, with_patience
 
-    sent, waits, fail = [], [], [RuntimeError("Pipeline overloaded"), RuntimeError("429 Too Many Requests")]
+    waits, fail, sent = [], [RuntimeError("Pipeline overloaded"), RuntimeError("429 Too Many Requests")], []
 
-    def send(name, part):
+    def send():
         if fail:
             raise fail.pop()
-        sent.append(part.count())
-        return sent[-1]
-
-    rows = spark.range(100).selectExpr("cast(id as string) as recordid")
-    assert in_chunks(send, most=30, sleep=waits.append)("logs", rows) == 100
-    assert len(sent) == 4 and sum(sent) == 100 and waits == [0.5, 1.0]
-    fail[:] = [ValueError("broken")]
-    with pytest.raises(ValueError):
-        in_chunks(send, sleep=waits.append)("logs", rows)
-    assert in_chunks(send, most=0)("logs", rows.limit(0)) == 0
+        sent.append(1)
+
+    with_patience(send, sleep=waits.append)
+    assert sent == [1] and waits == [0.5, 1.0]
+    for errors in ([ValueError("broken")], [RuntimeError("overloaded")] * 3):
+        fail[:] = errors
+        with pytest.raises((ValueError, RuntimeError)):
+            with_patience(send, sleep=waits.append)
+    assert [len(c) for c in in_chunks(iter("x" * 25), 10)] == [10, 10, 5] and list(in_chunks(iter(""), 0)) == [] and len(list(in_chunks(iter("xy"), 0))) == 2
+
+
+def test_sink_to_a_folder(spark, tmp_path):
+    """25 records of a task in chunks of 10, 10 and 5; a write that fails leaves nothing."""
+    from scoreline.sources.sink import record_sink
+
+    send = record_sink(str(tmp_path), 10)
+    rows = spark.range(25).selectExpr("cast(id as string) as recordid", "named_struct('a', id) as s")
+    assert send("logs", rows.coalesce(1)) == 25
+    files = sorted((tmp_path / "logs").iterdir())
+    assert sorted(len(f.read_text().splitlines()) for f in files) == [5, 10, 10]
+    got = [json.loads(x) for f in files for x in f.read_text().splitlines()]
+    assert sorted(int(r["recordid"]) for r in got) == list(range(25)) and all(r["s"]["a"] == int(r["recordid"]) for r in got)
+    assert send("empty", rows.limit(0)) == 0 and send("messages", rows.repartition(4)) == 25
+    bad = rows.repartition(1).withColumn("x", F.expr("if(recordid = '24', raise_error('broken'), 1)"))
+    with pytest.raises(Exception, match="broken"):
+        send("bad", bad.repartition(3))
+    assert not [f for f in (tmp_path / "bad").glob("*.json")]
+
+
+def test_sink_to_a_receiver_that_is_overloaded_at_first(spark):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    from scoreline.sources.sink import record_sink
+
+    got, refuse = [], [429, 429]
+
+    class Receiver(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = self.rfile.read(int(self.headers["Content-Length"]))
+            code = refuse.pop() if refuse else 200 if b'"bad"' not in body else 400
+            if code == 200:
+                got.append((self.path, len(json.loads(body)), self.headers["Idempotency-Key"]))
+            self.send_response(code)
+            self.end_headers()
+
+        def log_message(self, *a):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Receiver)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        send = record_sink(f"http://127.0.0.1:{server.server_port}/in", 10, delay=0.01)
+        rows = spark.range(25).selectExpr("cast(id as string) as recordid").coalesce(1)
+        assert send("chat", rows) == 25 and [n for _, n, _ in got] == [10, 10, 5] and {p for p, _, _ in got} == {"/in/chat"} and len({k for *_, k in got}) == 3
+        with pytest.raises(Exception, match="400"):
+            send("chat", spark.createDataFrame([("bad",)], "recordid string"))
+    finally:
+        server.shutdown()
 
 
 @pytest.mark.parametrize("message, offset", [({"mode": "full-history", "offset": 30}, 30), ({"mode": "full-history", "offset": -1}, None), ({"mode": "x", "offset": 1}, None), ({"mode": "full-history", "offset": True}, None), ({"mode": "full-history", "offset": "3"}, None), ([], None), (None, None)])
