@@ -18,6 +18,7 @@ from ..plans.store import TableStore, retry_on_conflict
 from ..schemas import MODEL_REGISTRY, VALIDATION_METRICS, conform
 from . import metrics as M
 from . import training as T
+from .boosting import BoostedTrees
 
 FORM = ["rolling_5_avg_kills", "rolling_10_avg_damage", "rolling_10_avg_impact", "rolling_10_kda_ratio", "rolling_10_win_rate", "rolling_10_negative_chat_ratio", "games_played_to_date"]
 CAREER = ["career_avg_kills", "career_avg_damage", "career_avg_impact", "form_delta_kills", "form_delta_damage", "form_delta_impact"]
@@ -114,6 +115,8 @@ def save_model(model: PipelineModel, path: str, facts: dict) -> None:
             stages.append({"quality": {"map_col": s.map_col, "maps": s.maps, "bounds": s.bounds}})
         elif isinstance(s, T.TextsModel):
             stages.append({"texts": {"known": s.known, "ordinal": s.ordinal}})
+        elif isinstance(s, BoostedTrees):
+            stages.append({"boosted": s.facts()})
         else:
             s.write().overwrite().save(f"{path}/stage-{k}")
             stages.append({"path": f"stage-{k}"})
@@ -131,6 +134,8 @@ def load_model(path: str) -> tuple[PipelineModel, dict]:
         elif "texts" in s:
             known = {c: (mode, values) for c, (mode, values) in s["texts"]["known"].items()}
             stages.append(T.TextsModel(known, s["texts"]["ordinal"]))
+        elif "boosted" in s:
+            stages.append(BoostedTrees.of(s["boosted"]))
         else:
             stages.append(DefaultParamsReader.loadParamsInstance(f"{path}/{s['path']}", spark))
     return PipelineModel(stages), meta["facts"]
@@ -173,7 +178,8 @@ def write_report(text: str, path: str) -> None:
 
 def rollback(store: TableStore, name: str, by: str, reason: str, now: datetime.datetime, version: str | None = None, enforce: bool = True) -> str:
     """Makes an earlier version the production one again; the gates hold for it too, unless told otherwise."""
-    registry = store.read("ml_model_registry")
+    base = store.versions("ml_model_registry")[-1]
+    registry = store.read("ml_model_registry", base)
     version = version or mlops.rollback_target(registry, name)
     if version is None:
         raise ValueError(f"no version of {name} to go back to")
@@ -182,6 +188,6 @@ def rollback(store: TableStore, name: str, by: str, reason: str, now: datetime.d
     if done is None:
         done = mlops.change_stage(registry.withColumn("stage", F.when((F.col("model_name") == name) & (F.col("model_version") == version), "archived").otherwise(F.col("stage"))), name, version, "production", by, reason, now, gates)
     new, log = done
-    store.overwrite("ml_model_registry", new)
-    store.append("ml_model_stage_history", log)
+    store.overwrite("ml_model_registry", new, base=base)  # a conflict if another has written it meanwhile
+    retry_on_conflict(lambda: store.append("ml_model_stage_history", log))
     return version

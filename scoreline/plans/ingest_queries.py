@@ -14,12 +14,14 @@ import uuid
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rolling
 from ..functions.core import rnd
-from ..ml import metrics, training
+from ..ml import boosting, metrics, training
 from ..operators import features, mlops
 from ..sources import documents
 from ..streaming import ingest
@@ -131,6 +133,17 @@ def best_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(r.threshold, bool(r.selected_by_constraints))], "threshold double, met boolean")
 
 
+STUMP = ("kills", "deaths", "assists")
+
+
+def boosted_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chances of winning after one round of boosting at depth one, with an L2 penalty, and how many rows have each."""
+    rows = Tables(spark, sf_dir, catalogue.LEXICON)["features_player_match"].select(*[F.col(c).cast("double") for c in STUMP], "won_game")
+    made = VectorAssembler(inputCols=list(STUMP), outputCol="features").transform(rows)
+    model = boosting.HistogramBoosting("won_game", rounds=1, depth=1, stop_above=None).fit(made)
+    return model.transform(made).groupBy(rnd(vector_to_array("probability")[1], 6).alias("p")).agg(F.count("*").alias("n"))
+
+
 def _work_folder(spark: SparkSession) -> str:
     """Under the shared folder that the cluster names; a temporary one on a single machine that names none."""
     if found := spark.conf.get("spark.checkpoint.dir", None):
@@ -178,6 +191,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "m_folds": folds,
     "m_feature_quality": clipped,
     "m_threshold": best_threshold,
+    "m_boosted_stump": boosted_stump,
     **{f"r_{n}": partial(refreshed, table=n) for n in REFRESHED},
 }
 
@@ -226,6 +240,17 @@ SQL: dict[str, str] = {
     "m_feature_quality": f"""with t as ({_ROWS}), q as (select quantile_cont(kills::double, 0.01) as k1, quantile_cont(kills::double, 0.99) as k2, quantile_cont(damage_dealt::double, 0.01) as d1, quantile_cont(damage_dealt::double, 0.99) as d2 from t),
   f as (select map from t group by map having count(*) >= 60) select case when t.map in (select map from f) then t.map else '__OTHER__' end as map, count(*) as n,
   {oracle.r('sum(least(greatest(kills::double, k1), k2))', 4)} as kills, {oracle.r('sum(least(greatest(damage_dealt::double, d1), d2))', 2)} as damage_dealt from t, q group by 1""",
+    "m_boosted_stump": oracle.compose(f"""select {oracle.r('1 / (1 + exp(-(base + w)))', 6)} as p, count(*) as n from (
+  with t as (select *, row_number() over () as id from (select {', '.join(f'{c}::double as f{k}' for k, c in enumerate(STUMP))}, won_game::double as y from features_player_match) x),
+  b as (select avg(y) as m, ln(avg(y) / (1 - avg(y))) as base from t),
+  v as ({' union all '.join(f'select {k} as f, f{k} as v, y from t' for k in range(len(STUMP)))}),
+  c as (select f, v, sum(m - y) as g, sum(m * (1 - m)) as h, count(*) as n from v, b group by f, v),
+  s as (select f, v, sum(g) over l as gl, sum(h) over l as hl, sum(n) over l as nl, sum(g) over w as g, sum(h) over w as h, sum(n) over w as n from c
+    window l as (partition by f order by v rows unbounded preceding), w as (partition by f)),
+  k as (select *, gl * gl / (hl + 0.1) + (g - gl) * (g - gl) / (h - hl + 0.1) - g * g / (h + 0.1) as gain from s where nl >= 250 and n - nl >= 250),
+  best as (select * from k where gain >= (select max(gain) from k) * (1 - 1e-9) and gain > 1e-12 order by f, v limit 1)
+  select base, coalesce(case when case best.f {' '.join(f'when {k} then f{k}' for k in range(len(STUMP)))} end <= best.v then -0.05 * gl / (hl + 0.1) else -0.05 * (g - gl) / (h - hl + 0.1) end, 0.0) as w
+  from t cross join b left join best on true) q group by 1""", "features_player_match"),
     "m_threshold": f"""with s as (select cast({ml_queries._SCORE} as double) as p, cast(toxic as integer) as y from labels), c(t) as (values {_CHOICE}),
   h as (select t, count(*) filter (p >= t) as hit, coalesce(sum(y) filter (p >= t), 0) as tp, sum(y) as pos from s, c group by t),
   m as (select t, coalesce({oracle.ratio('tp', 'hit')}, 0) as pr, coalesce({oracle.ratio('tp', 'pos')}, 0) as re, coalesce({oracle.ratio('2 * tp', 'hit + pos')}, 0) as f1 from h)
