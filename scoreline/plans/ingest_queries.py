@@ -19,9 +19,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import rolling
-from ..functions.core import rnd
-from ..ml import boosting, metrics, training
+from ..functions import chat, rolling
+from ..functions.core import rnd, times
+from ..ml import boosting, metrics, sentiment, training
 from ..operators import features, mlops
 from ..sources import documents
 from ..streaming import ingest
@@ -133,6 +133,24 @@ def best_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(r.threshold, bool(r.selected_by_constraints))], "threshold double, met boolean")
 
 
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = lambda n: spark.read.parquet(f"{sf_dir}/{n}.parquet")
+    return read("documents").join(read("labels"), "doc_id").select("text", "toxic")
+
+
+def telling_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 40 words that tell most about the label of the texts that have one."""
+    got = sentiment.word_counts(_labelled(spark, sf_dir), "text", "toxic").withColumn("mi", rnd("mi", 9))
+    return got.orderBy(F.desc("mi"), "word").limit(40)
+
+
+def model_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negative messages by speaker, as the model of the labelled texts scores them; the lexicon where it cannot be had."""
+    scorer = chat.first_that_works(lambda: sentiment.fit(_labelled(spark, sf_dir), "text", "toxic").scorer())
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return turns.select("role", scorer(F.col("text")).alias("label")).groupBy("role").agg(F.count("*").alias("messages"), times(F.col("label") == "negative").alias("negative"))
+
+
 STUMP = ("kills", "deaths", "assists")
 
 
@@ -192,6 +210,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "m_feature_quality": clipped,
     "m_threshold": best_threshold,
     "m_boosted_stump": boosted_stump,
+    "m_telling_words": telling_words,
+    "s_model_chat": model_chat,
     **{f"r_{n}": partial(refreshed, table=n) for n in REFRESHED},
 }
 
@@ -251,6 +271,15 @@ SQL: dict[str, str] = {
   best as (select * from k where gain >= (select max(gain) from k) * (1 - 1e-9) and gain > 1e-12 order by f, v limit 1)
   select base, coalesce(case when case best.f {' '.join(f'when {k} then f{k}' for k in range(len(STUMP)))} end <= best.v then -0.05 * gl / (hl + 0.1) else -0.05 * (g - gl) / (h - hl + 0.1) end, 0.0) as w
   from t cross join b left join best on true) q group by 1""", "features_player_match"),
+    "m_telling_words": f"""with t as (select row_number() over () as id, toxic::int as y, regexp_extract_all(replace(lower(coalesce(text, '')), chr(39), ''), '{sentiment.PIECE}') as p
+   from documents join labels using (doc_id) where toxic is not null),
+  u as (select id, y, p, unnest(range(1, len(p) + 1)) as i from t),
+  w as (select distinct id, y, case when list_has_any(string_split(regexp_replace(array_to_string(p[greatest(i - {sentiment.REACH}, 1) : i - 1], ' '), '^.*[.,;:!?]', ''), ' '), {list(sentiment.NEGATORS)}) then 'not_' else '' end || p[i] as word
+   from u where regexp_matches(p[i], '^[a-z]')),
+  n as (select count(*)::double as n, sum(y)::double as n1 from t),
+  c as (select word, sum(y)::double as a, count(*) - sum(y)::double as b, n, n1, n - n1 as n0 from w, n group by word, n, n1),
+  m as (select word, a, b, {' + '.join(f"case when {x} > 0 then ({x}) / n * ln(({x}) * n / (({r}) * {k})) else 0 end" for x, r, k in (('a', 'a + b', 'n1'), ('b', 'a + b', 'n0'), ('n1 - a', 'n - a - b', 'n1'), ('n0 - b', 'n - a - b', 'n0')))} as mi from c)
+  select word, cast(a as bigint) as pos, cast(b as bigint) as neg, {oracle.r('mi', 9)} as mi from m order by mi desc, word limit 40""",
     "m_threshold": f"""with s as (select cast({ml_queries._SCORE} as double) as p, cast(toxic as integer) as y from labels), c(t) as (values {_CHOICE}),
   h as (select t, count(*) filter (p >= t) as hit, coalesce(sum(y) filter (p >= t), 0) as tp, sum(y) as pos from s, c group by t),
   m as (select t, coalesce({oracle.ratio('tp', 'hit')}, 0) as pr, coalesce({oracle.ratio('tp', 'pos')}, 0) as re, coalesce({oracle.ratio('2 * tp', 'hit + pos')}, 0) as f1 from h)
