@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import argparse
 import datetime
+import threading
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +40,51 @@ def _from(day: datetime.date) -> Callable[[str], bool]:
     return lambda month: month == "none" or month >= f"{day:%Y-%m}"
 
 
+#: What each step waits for; the others run beside it.
+STEPS: dict[str, tuple[str, ...]] = {
+    "bases": (),
+    "features_player_match": ("bases",),
+    "features_player_recent_form": ("features_player_match",),
+    "serving_map_overview_daily": ("features_player_match",),
+    "serving_player_profiles": ("features_player_recent_form",),
+    "serving_player_match_deep_dive": ("features_player_recent_form",),
+    "ml_snapshot": ("features_player_recent_form",),
+    "ml_progress": (),
+}
+
+
+def run_graph(spark: SparkSession, waits: dict[str, tuple[str, ...]], work: Callable[[str], None], at_once: int = 4) -> dict[str, Exception]:
+    """Runs ``work`` of every step whose steps before it are done, up to ``at_once`` side by side, each in a scheduler
+    pool of its own. A step that fails stops those that wait for it, and no others; gives the errors by step."""
+    done: set[str] = set()
+    failed: dict[str, Exception] = {}
+    running: dict[Future, str] = {}
+
+    def one(step: str) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", step)
+        try:
+            work(step)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(at_once) as threads:
+        left = dict(waits)
+        while left or running:
+            ready = [k for k, before in left.items() if all(b in done or b not in waits for b in before)]
+            for step in ready:
+                del left[step]
+                running[threads.submit(inheritable_thread_target(spark)(one), step)] = step
+            if not running:
+                break  # what is left waits for a step that has failed
+            for f in wait(running, return_when=FIRST_COMPLETED).done:
+                step = running.pop(f)
+                if (e := f.exception()) is not None:
+                    failed[step] = e
+                else:
+                    done.add(step)
+    return failed
+
+
 class Runner:
     """Publishes tables of ``tables`` into ``store``. Each step reads what earlier steps have published.
 
@@ -52,6 +100,7 @@ class Runner:
         self.run_id = uuid.uuid4().hex
         self.t.refreshed_at = now()
         self._new_buckets, self._gone, self._who = buckets, None, None
+        self._logging = threading.Lock()
 
     def _full(self, name: str) -> bool:
         return self.mode == FULL or not self.store.exists(name)
@@ -73,7 +122,14 @@ class Runner:
         names = ("logs_base", "summaries_base", "messages_base")
         if any(self._full(n) for n in names):
             by = {"messages_base": None}
-            return sum(self._publish(n, lambda n=n: self.store.overwrite(n, self.t[n], by.get(n, TIME_MONTH))) for n in names)
+            rows: dict[str, int] = {}
+
+            def write(n: str) -> None:
+                rows[n] = self._publish(n, lambda: self.store.overwrite(n, self.t[n], by.get(n, TIME_MONTH)))
+
+            if failed := run_graph(self.store.spark, dict.fromkeys(names, ()), write):
+                raise next(iter(failed.values()))
+            return sum(rows.values())
         day = self._bound(self.t["logs"], "match_time")
         fresh = F.to_date("match_time") >= F.lit(day)
         made = {"logs_base": features.logs_base(self.t["logs"].filter(fresh)), "summaries_base": features.summaries_base(self.t["summaries"].filter(fresh))}
@@ -178,28 +234,37 @@ class Runner:
         return sum(self._publish(n, lambda n=n: self.store.overwrite(n, self.t[n])) for n in names)
 
     def steps(self, part: str = ALL) -> list[str]:
-        serve = ["bases", "features_player_match", "features_player_recent_form", "serving_player_profiles", "serving_map_overview_daily", "serving_player_match_deep_dive"]
-        ml = ["ml_snapshot", "ml_progress"]
-        return {SERVING_SLICE: serve, ML_SLICE: serve[:3] + ml, ALL: serve + ml}[part]
+        """Names of a part's steps, each after those that it waits for."""
+        ml = ("ml_snapshot", "ml_progress")
+        wanted = {SERVING_SLICE: [k for k in STEPS if k not in ml], ML_SLICE: [*list(STEPS)[:3], *ml], ALL: list(STEPS)}
+        return wanted[part]
 
     def _log(self, step: str, status: str, began: datetime.datetime, rows: int | None, error: str | None) -> None:
         end = self.now()
         row = mlops.log_run(self.store.spark, PIPELINE_RUNS, run_id=self.run_id, run_mode=self.mode, step_name=step, status=status, started_at=began, finished_at=end, duration_seconds=(end - began).total_seconds(), row_count=rows, error_text=error, created_at=end)
-        retry_on_conflict(lambda: self.store.append("ops_pipeline_runs", row))
+        with self._logging:
+            retry_on_conflict(lambda: self.store.append("ops_pipeline_runs", row))
 
     def run(self, part: str = ALL, check: bool = False) -> dict[str, int]:
-        """Runs the steps in order. A failed step is logged and stops the run, as does a failed check."""
+        """Runs the steps, side by side where none waits for another. A failed step is logged and stops those that wait
+        for it; the run then fails, as it does on a failed check."""
         out: dict[str, int] = {}
         began, status, error = self.now(), "failed", None
+
+        def step(name: str) -> None:
+            at = self.now()
+            try:
+                out[name] = getattr(self, name)()
+            except Exception as e:
+                self._log(name, "failed", at, None, str(e)[:1000])
+                raise
+            self._log(name, "success", at, out[name], None)
+
         try:
-            for step in self.steps(part):
-                at = self.now()
-                try:
-                    out[step] = getattr(self, step)()
-                except Exception as e:
-                    self._log(step, "failed", at, None, str(e)[:1000])
-                    raise
-                self._log(step, "success", at, out[step], None)
+            steps = self.steps(part)
+            failed = run_graph(self.store.spark, {k: STEPS[k] for k in steps}, step)
+            if failed:
+                raise next(failed[k] for k in steps if k in failed)
             if check:
                 quality.assert_passed(quality.platform_checks(self.t, self.t.as_of))
             status = "success"

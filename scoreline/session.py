@@ -17,7 +17,7 @@ def build_session(app: str = "scoreline", cores: int | str = "*", memory: str =
     """``cores``, ``memory`` and ``shuffle`` hold only if nothing has launched this process for a cluster."""
     b = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
     if not launched():
-        b = b.master(f"local[{cores}]").config("spark.driver.memory", memory).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+        b = b.master(f"local[{cores}]").config("spark.driver.memory", memory).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.scheduler.mode", "FAIR")
         if shuffle:
             b = b.config("spark.sql.shuffle.partitions", str(shuffle))
     return b.getOrCreate()

@@ -231,3 +231,37 @@ def test_layout():
     assert layout.buckets_of(None) is layout.buckets_of("date_format(match_date, 'yyyy-MM')") is None
     keep = layout.parts_of({3}, lambda m: m == "none" or m >= "2001-02")
     assert [keep(p) for p in ("2001-02~3", "2001-01~3", "none~3", "2001-03~4", "2001-02")] == [True, False, True, False, True]
+
+
+def test_graph_of_steps(spark):
+    """Steps run after those that they wait for, side by side otherwise; a failed one stops what waits for it alone."""
+    import threading
+
+    from scoreline.plans.runner import STEPS, run_graph
+
+    ran, both = [], threading.Barrier(2, timeout=60)
+
+    def work(step):
+        if step in ("b", "c"):
+            both.wait()  # passes only if both run at once
+        assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") == step
+        if step == "b":
+            raise ValueError("broken")
+        ran.append(step)
+
+    failed = run_graph(spark, {"a": (), "b": ("a",), "c": ("a",), "d": ("b",), "e": ("c", "absent"), "f": ("d", "e")}, work)
+    assert ran == ["a", "c", "e"] and list(failed) == ["b"] and str(failed["b"]) == "broken"
+    seen = []
+    for k, before in STEPS.items():
+        assert set(before) <= set(seen)
+        seen.append(k)
+
+
+def test_a_failed_branch_leaves_the_others(spark, sf_dir, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    r = Runner(Tables(spark, sf_dir, LEXICON), store, FULL)
+    r.features_player_recent_form = lambda: 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        r.run()
+    log = {x.step_name: x.status for x in store.read("ops_pipeline_runs").collect()}
+    assert log == {"bases": "success", "features_player_match": "success", "features_player_recent_form": "failed", "serving_map_overview_daily": "success", "ml_progress": "success", "pipeline_all": "failed"}
