@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import datetime
+import json
 import threading
 import time
 import uuid
@@ -19,6 +20,7 @@ from ..functions.core import refresh_bound
 from ..operators import features, mlops, quality, serving
 from ..schemas import PIPELINE_RUNS
 from . import layout
+from .lineage import TableLineage
 from .store import TableStore, retry_on_conflict
 from .tables import PUBLISHED, STAMPED, Tables, stamped
 
@@ -90,10 +92,10 @@ class Runner:
 
     Player tables lie in parts by month and player bucket (``layout``): an incremental run reads and rewrites the
     buckets of the players who have changed. ``buckets`` is their number for tables that a run makes anew; without it
-    the number of player rows decides.
+    the number of player rows decides. ``send`` gets the run's lineage events.
     """
 
-    def __init__(self, tables: Tables, store: TableStore, mode: str = INCREMENTAL, refresh_days: int = 7, now: Callable[[], datetime.datetime] = datetime.datetime.now, buckets: int | None = None):
+    def __init__(self, tables: Tables, store: TableStore, mode: str = INCREMENTAL, refresh_days: int = 7, now: Callable[[], datetime.datetime] = datetime.datetime.now, buckets: int | None = None, send: Callable[[dict], None] | None = None):
         if mode not in (FULL, INCREMENTAL):
             raise ValueError(f"no such mode: {mode}")
         self.t, self.store, self.mode, self.days, self.now = tables, store, mode, refresh_days, now
@@ -101,6 +103,9 @@ class Runner:
         self.t.refreshed_at = now()
         self._new_buckets, self._gone, self._who = buckets, None, None
         self._logging = threading.Lock()
+        self.lineage = TableLineage(send, store.root, str(uuid.UUID(self.run_id))) if send else None
+        if self.lineage:
+            store.on_write = self.lineage.written
 
     def _full(self, name: str) -> bool:
         return self.mode == FULL or not self.store.exists(name)
@@ -254,8 +259,12 @@ class Runner:
         def step(name: str) -> None:
             at = self.now()
             try:
+                if self.lineage:
+                    self.lineage.started(name)
                 out[name] = getattr(self, name)()
             except Exception as e:
+                if self.lineage:
+                    self.lineage.failed(name, str(e)[:500])
                 self._log(name, "failed", at, None, str(e)[:1000])
                 raise
             self._log(name, "success", at, out[name], None)
@@ -310,6 +319,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--pipeline", choices=(SERVING_SLICE, ML_SLICE, ALL), default=ALL)
     p.add_argument("--check", action="store_true", help="fail if a quality check fails")
     p.add_argument("--maintain", action="store_true", help="compact tables and expire old versions afterwards")
+    p.add_argument("--events", help="file that gets lineage events, a line each")
     p.add_argument("--train", metavar="VERSION", help="train and register the baselines on the newest snapshot")
     a = p.parse_args(argv)
     from ..session import build_session
@@ -318,7 +328,12 @@ def main(argv: list[str] | None = None) -> None:
     began = time.time()
     validate_settings({"source": a.source, "store": a.store}, ["source", "store"])
     store = TableStore(spark, a.store)
-    got = Runner(Tables(spark, a.source), store, a.mode, a.refresh_days).run(a.pipeline, a.check)
+
+    def send(event: dict) -> None:
+        with open(a.events, "a", encoding="utf-8") as f:
+            f.write(json.dumps(event) + "\n")
+
+    got = Runner(Tables(spark, a.source), store, a.mode, a.refresh_days, send=send if a.events else None).run(a.pipeline, a.check)
     if a.train:
         from ..ml import baselines
 

@@ -37,6 +37,8 @@ class TableStore:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        #: Told of the rows of each write: table, frame, number.
+        self.on_write: Callable[[str, DataFrame, int], None] = lambda name, df, rows: None
         self._jvm = spark.sparkContext._jvm
         self._path = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -97,9 +99,11 @@ class TableStore:
         counted = lambda rows: rows.observe(seen, F.count(F.lit(1)).alias("rows")).write
         if by is None:
             counted(df).parquet(path)
+            self.on_write(name, df, seen.get["rows"])
             return {"all": [path]}, seen.get["rows"]
         parted = df.withColumn("_part", F.coalesce(F.expr(by).cast("string"), F.lit("none")))
         counted(parted.hint("rebalance", "_part")).partitionBy("_part").parquet(path)
+        self.on_write(name, df, seen.get["rows"])
         return {n[6:]: [f"{path}/{n}"] for n in self._names(path) if n.startswith("_part=")}, seen.get["rows"]
 
     @staticmethod

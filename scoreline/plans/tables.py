@@ -28,7 +28,7 @@ STAMPED = ("serving_player_profiles", "serving_map_overview_daily", "serving_pla
 
 
 def stamped(df: DataFrame, at: datetime.datetime) -> DataFrame:
-    return df.withColumn("updated_at", F.expr(f"timestamp_ntz'{at:%Y-%m-%d %H:%M:%S.%f}'"))  # the same in any time zone
+    return df.withColumn("updated_at", F.to_timestamp_ntz(F.lit(f"{at:%Y-%m-%d %H:%M:%S.%f}")))  # the same in any time zone
 
 
 class Tables(Mapping[str, DataFrame]):

@@ -265,3 +265,27 @@ def test_a_failed_branch_leaves_the_others(spark, sf_dir, tmp_path):
         r.run()
     log = {x.step_name: x.status for x in store.read("ops_pipeline_runs").collect()}
     assert log == {"bases": "success", "features_player_match": "success", "features_player_recent_form": "failed", "serving_map_overview_daily": "success", "ml_progress": "success", "pipeline_all": "failed"}
+
+
+def test_lineage_of_a_full_run(spark, sf_dir, tmp_path):
+    """Events name every published table with its columns and what was read for it; the store's folder has a quote."""
+    from scoreline.plans.tables import PUBLISHED
+
+    sent, store = [], TableStore(spark, f"{tmp_path}/it's a store")
+    r = Runner(Tables(spark, sf_dir, LEXICON), store, FULL, send=sent.append)
+    r.ml_snapshot = lambda: int("it's broken")
+    with pytest.raises(ValueError):
+        r.run()
+    done = {e["job"]["name"]: e for e in sent if e["eventType"] == "COMPLETE"}
+    reads = {n: {i["name"] for i in e["inputs"]} for n, e in done.items()}
+    assert set(PUBLISHED) <= set(done)
+    assert reads["summaries_base"] == {"lineitem", "orders", "part"} and reads["features_player_match"] == {"logs_base", "summaries_base", "messages_base"}
+    assert reads["features_player_recent_form"] == {"features_player_match"} and reads["serving_ml_pipeline_progress_daily"] == {"events", "nation", "supplier", "customer"}
+    for n in PUBLISHED:
+        out = done[n]["outputs"][0]
+        assert out["name"] == n and [f["name"] for f in out["facets"]["schema"]["fields"]] == store.read(n).columns
+        assert out["outputFacets"]["outputStatistics"]["rowCount"] == store.read(n).count()
+    assert len({e["run"]["facets"]["parent"]["run"]["runId"] for e in sent}) == 1
+    assert [e["job"]["name"] for e in sent if e["eventType"] == "FAIL"] == ["ml_snapshot"]
+    log = {x.step_name: x for x in store.read("ops_pipeline_runs").collect()}
+    assert "it's broken" in log["ml_snapshot"].error_text and log["ml_snapshot"].status == "failed"
