@@ -167,10 +167,11 @@ def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 SQL = {
     "op4_lines": r"""
-with l as (select doc_id, i, s, translate(trim(s, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
-  from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as s, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as i from documents) x),
-f as (select k from l where k <> '' group by k having count(distinct doc_id) >= 10)
+with d as (select row_number() over () as rid, doc_id, text from documents),
+l as (select rid, doc_id, i, s, translate(trim(s, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+  from (select rid, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as s, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as i from d) x),
+f as (select k from l where k <> '' group by k having count(distinct rid) >= 10)
 select doc_id, count(*) as n_lines, count(*) filter (f.k is not null) as n_dropped,
   sha256(coalesce(string_agg(s, chr(10) order by i) filter (f.k is null), '')) as kept_sha256
-from l left join f on l.k = f.k group by doc_id""",
+from l left join f on l.k = f.k group by rid, doc_id""",
 }

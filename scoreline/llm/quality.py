@@ -102,16 +102,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 SQL = {
     "op5_quality": rf"""
-with w as (select doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
-g as (select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from w where len(w) >= 3) x),
-t as (select doc_id, i, count(*) over (partition by doc_id, g) as n from g),
-c as (select doc_id, count(distinct p) as n from (select doc_id, unnest([i, i + 1, i + 2]) as p from t where n > 1) x group by doc_id),
+with w as (select row_number() over () as rid, doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+g as (select rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g from (select rid, w, unnest(range(1, len(w) - 1)) as i from w where len(w) >= 3) x),
+t as (select rid, i, count(*) over (partition by rid, g) as n from g),
+c as (select rid, count(distinct p) as n from (select rid, unnest([i, i + 1, i + 2]) as p from t where n > 1) x group by rid),
 f as (select w.doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
   length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g')) as n_symbols,
   len(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) as n_lines,
   len(list_distinct(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) as n_unlike,
   len(list_filter(w, lambda x: regexp_full_match(x, '(?i:{"|".join(STOP_WORDS)})[,.]?'))) as n_stop_words,
-  coalesce(c.n, 0) as n_repeat_words from w left join c on w.doc_id = c.doc_id),
+  coalesce(c.n, 0) as n_repeat_words from w left join c on w.rid = c.rid),
 j as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from f)
 select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,
   cast(n_lines - n_unlike as bigint) as n_dup_lines, cast(n_repeat_words as bigint) as n_repeat_words, base_failed,

@@ -313,11 +313,11 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = {
     "op10_substrings": r"""
-with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
-g as (select doc_id, i, md5(array_to_string(w[i : i + 34], ' ')) as h from (select doc_id, w, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35) x),
-r as (select doc_id, i from (select doc_id, i, count(*) over (partition by h) as n from g) x where n > 1),
-c as (select distinct doc_id, i + j as p from r, (select unnest(range(35)) as j) k),
-p as (select doc_id, unnest(range(1, len(w) + 1)) as p, unnest(w) as s from d)
+with d as (select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+g as (select rid, i, md5(array_to_string(w[i : i + 34], ' ')) as h from (select rid, w, unnest(range(1, len(w) - 33)) as i from d where len(w) >= 35) x),
+r as (select rid, i from (select rid, i, count(*) over (partition by h) as n from g) x where n > 1),
+c as (select distinct rid, i + j as p from r, (select unnest(range(35)) as j) k),
+p as (select rid, unnest(range(1, len(w) + 1)) as p, unnest(w) as s from d)
 select d.doc_id, len(d.w) as n_words, count(c.p) as n_removed, sha256(coalesce(string_agg(p.s, ' ' order by p.p) filter (c.p is null), '')) as kept_sha256
-from d left join p on d.doc_id = p.doc_id left join c on p.doc_id = c.doc_id and p.p = c.p group by d.doc_id, d.w""",
+from d left join p on d.rid = p.rid left join c on p.rid = c.rid and p.p = c.p group by d.rid, d.doc_id, d.w""",
 }
