@@ -139,6 +139,26 @@ def promotion_gates(registry: DataFrame, metrics: DataFrame, name: str, version:
     return out + [gate(*c) for c in checks]
 
 
+def gate_table(registry: DataFrame, metrics: DataFrame) -> DataFrame:
+    """(model_name, model_version, gate, status) of all versions at once, each by its newest row: what
+    ``promotion_gates`` says of one. Versions of unknown models have lineage gates alone."""
+    keys = ["model_name", "model_version"]
+    newest = latest_by(registry, keys, [F.desc("created_at"), F.desc("snapshot_id")])
+    daily = metrics.filter("f1 is not null").groupBy(*keys).agg(F.countDistinct("progress_date").alias("_days"), F.coalesce(F.stddev_samp("f1"), F.lit(0.0)).alias("_spread"))
+    met = newest.join(daily, keys, "left")
+    passed = lambda ok: F.when(F.coalesce(ok, F.lit(False)), "PASS").otherwise("FAIL")
+    entry = lambda name, ok, on: F.when(on, F.struct(F.lit(name).alias("gate"), passed(ok).alias("status")))
+    compare = lambda x, op, t: x >= t if op == ">=" else x <= t
+    every = F.lit(True)
+    all_ = [entry(f"lineage_{c}", F.nullif(F.trim(c), F.lit("")).isNotNull(), every) for c in ("snapshot_id", "training_code_version", "feature_sql_version", "artifact_uri")]
+    for model, gates in GATES.items():
+        all_ += [entry(g, compare(metric(m), op, t), F.col("model_name") == model) for g, m, op, t in gates]
+    tilt = F.col("model_name") == "tilt_risk_baseline"
+    all_ += [entry("tilt_daily_days", zero("_days") >= MIN_DAYS, tilt), entry("tilt_daily_f1_stddev", rnd(zero("_spread"), 9) <= MAX_F1_SPREAD, tilt)]
+    gates = F.explode(F.filter(F.array(*all_), lambda g: g.isNotNull())).alias("g")
+    return met.select(*keys, gates).select(*keys, "g.gate", "g.status")
+
+
 def gate(name: str, actual: float | None, op: str, target: float) -> tuple[str, str, str, str]:
     missing = actual is None or math.isnan(actual)
     ok = not missing and (actual >= target if op == ">=" else actual <= target)
@@ -188,6 +208,12 @@ def rollback_target(registry: DataFrame, name: str) -> str | None:
     return row[0]
 
 
+def rollback_targets(registry: DataFrame) -> DataFrame:
+    """The version of each model to go back to."""
+    back = registry.filter(~F.coalesce("is_active", F.lit(False)) & F.col("stage").isin("staging", "archived", "production"))
+    return back.groupBy("model_name").agg(F.max(F.struct(F.coalesce("promoted_at", "created_at").alias("at"), "model_version"))["model_version"].alias("model_version"))
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """``old`` without the keys of ``new``, and ``new``."""
     return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
