@@ -10,7 +10,7 @@ from scoreline.llm.registry import QUERIES, SQL
 
 
 def test_names():
-    assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 11)] and set(SQL) <= set(QUERIES)
+    assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 14)] and set(SQL) <= set(QUERIES)
     assert [f for _, f in P.STAGES[:4]] == [quality.quality_stage, lines.lines_stage, simhash.simhash_stage, mixing.mix_stage]
 
 
