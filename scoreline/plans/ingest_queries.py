@@ -174,22 +174,32 @@ def _work_folder(spark: SparkSession) -> str:
 
 
 REFRESHED = ("features_player_match", "features_player_recent_form", "serving_player_profiles", "serving_map_overview_daily", "serving_player_match_deep_dive")
-_refreshed: dict[tuple[str, str], TableStore] = {}
+
+
+def refreshed_store(spark: SparkSession, sf_dir: str, steps: str | list[str]) -> TableStore:
+    """A store of its own after a full run on early deliveries and an incremental one on all."""
+    cut = F.lit(datetime.datetime(2001, 6, 1))
+    store, every, early = TableStore(spark, _work_folder(spark)), Tables(spark, sf_dir, catalogue.LEXICON), Tables(spark, sf_dir, catalogue.LEXICON)
+    for n in ("logs", "summaries"):
+        early.replace(n, every[n].filter(F.col("match_time") < cut))
+    Runner(early, store, FULL, buckets=4).run(steps)
+    Runner(every, store, INCREMENTAL, refresh_days=90).run(steps)
+    return store
 
 
 def refreshed(spark: SparkSession, sf_dir: str, *, table: str) -> DataFrame:
-    """A published table after a full run on early deliveries and an incremental one on all: it is as if built at once.
-    The tables of one session and source are published once."""
-    at = (spark.sparkContext.applicationId, sf_dir)
-    if at not in _refreshed:
-        cut = F.lit(datetime.datetime(2001, 6, 1))
-        store, every, early = TableStore(spark, _work_folder(spark)), Tables(spark, sf_dir, catalogue.LEXICON), Tables(spark, sf_dir, catalogue.LEXICON)
-        for n in ("logs", "summaries"):
-            early.replace(n, every[n].filter(F.col("match_time") < cut))
-        Runner(early, store, FULL, buckets=4).run(SERVING_SLICE)
-        Runner(every, store, INCREMENTAL, refresh_days=90).run(SERVING_SLICE)
-        _refreshed[at] = store
-    return _refreshed[at].read(table).drop("updated_at")
+    """A published table after both runs, of the steps that it needs: it is as if built at once."""
+    steps = Runner.steps_for(table)
+    return refreshed_store(spark, sf_dir, steps).read(table).drop("updated_at")
+
+
+def maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map overview after its files have been merged and all older versions dropped."""
+    name = "serving_map_overview_daily"
+    store = refreshed_store(spark, sf_dir, Runner.steps_for(name))
+    store.compact(name)
+    store.expire(name)
+    return store.read(name).drop("updated_at")
 
 
 def form_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,6 +210,7 @@ def form_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "r_recent_form_in_chunks": form_in_chunks,
+    "r_maintained_map_overview": maintained,
     **{f"i_{k[:-1] if k != 'summaries' else 'summary'}_records": partial(records, kind=k) for k in documents.RECORDS},
     "i_failed_documents": failed,
     "i_list_entries": strict_list,
@@ -235,6 +246,7 @@ _CHOICE = ", ".join(f"({t})" for t in ml_queries.THRESHOLDS)
 
 SQL: dict[str, str] = {
     "r_recent_form_in_chunks": oracle.SQL["x_t_features_player_recent_form"],
+    "r_maintained_map_overview": f"select * exclude (updated_at) from ({oracle.SQL['x_t_serving_map_overview_daily']}) x",
     "i_log_records": f"""select cast(o_orderkey as varchar) as recordid, {_META}, coalesce(n, 0) as sourceplayercount, o_custkey as sourceviewcount,
   case when o_orderkey % 2 = 0 then o_orderkey % 3600 else 1800 end as durationseconds, red as redscore, blue as bluescore,
   case o_orderkey % 3 when 0 then '' when 1 then 'u' else 'o' end || o_custkey as uploadersteamid, cast(3 as bigint) as payloadschemaversion

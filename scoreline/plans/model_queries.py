@@ -14,7 +14,7 @@ from ..functions.core import rnd
 from ..ml import training
 from ..operators import mlops
 from . import catalogue, ingest_queries, oracle
-from .runner import row_counts
+from .runner import SERVING_SLICE, row_counts
 from .tables import Tables
 
 WHEN = datetime.datetime(2001, 8, 1, 12)
@@ -59,8 +59,8 @@ def metrics_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def published_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ingest_queries.refreshed(spark, sf_dir, table="serving_player_profiles")
-    return row_counts(ingest_queries._refreshed[(spark.sparkContext.applicationId, sf_dir)], list(ingest_queries.REFRESHED))
+    """Rows of all player and map tables after a full and an incremental run."""
+    return row_counts(ingest_queries.refreshed_store(spark, sf_dir, SERVING_SLICE), list(ingest_queries.REFRESHED))
 
 
 def linear_features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -250,7 +250,12 @@ class Runner:
         with self._logging:
             retry_on_conflict(lambda: self.store.append("ops_pipeline_runs", row))
 
-    def run(self, part: str = ALL, check: bool = False) -> dict[str, int]:
+    @staticmethod
+    def steps_for(step: str) -> list[str]:
+        """A step and all that it waits for, in order."""
+        return [k for before in STEPS[step] for k in Runner.steps_for(before)] + [step]
+
+    def run(self, part: str | list[str] = ALL, check: bool = False) -> dict[str, int]:
         """Runs the steps, side by side where none waits for another. A failed step is logged and stops those that wait
         for it; the run then fails, as it does on a failed check."""
         out: dict[str, int] = {}
@@ -270,7 +275,7 @@ class Runner:
             self._log(name, "success", at, out[name], None)
 
         try:
-            steps = self.steps(part)
+            steps = self.steps(part) if isinstance(part, str) else part
             failed = run_graph(self.store.spark, {k: STEPS[k] for k in steps}, step)
             if failed:
                 raise next(failed[k] for k in steps if k in failed)
@@ -281,7 +286,7 @@ class Runner:
             error = str(e)[:1000]
             raise
         finally:
-            self._log(f"pipeline_{part}", status, began, sum(out.values()), error)
+            self._log(f"pipeline_{part if isinstance(part, str) else part[-1]}", status, began, sum(out.values()), error)
         return out
 
 

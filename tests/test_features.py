@@ -132,3 +132,13 @@ def test_model_scorer_and_fallbacks(spark, tmp_path):
     (tmp_path / "cpu").write_text("processor: 0\nflags\t\t: fpu sse avx\n")
     assert chat.cpu_has("avx", str(tmp_path / "cpu")) and not chat.cpu_has("amx", str(tmp_path / "cpu")) and chat.cpu_has("amx", str(tmp_path / "none"))
     assert chat.first_that_works(chat.needs_cpu(absent, "no such feature"), otherwise=scorer) is scorer
+
+
+def test_rounding_is_that_of_the_engine(spark):
+    """Half away from zero, as ROUND has it, on ties and on values of the tables' kinds; they differ only within 1e-7 units
+    of a tie, where the order of a sum of doubles decides."""
+    values = [0.5, 1.5, 2.5, -0.5, -2.5, 0.125, 0.375, 2.0005, 1 / 3, 2 / 3, -1 / 7, 12345.6789, 0.1 + 0.2, 0.0, -0.0, 1e-9, 99999.99995, 1e12 + 0.25]
+    df = spark.createDataFrame([(v,) for v in values] + [(k / 997.0,) for k in range(-3000, 3000, 7)] + [(None,)], "x double")
+    for n in (0, 1, 3, 4):
+        exact = F.round(F.col("x").cast("decimal(38,18)"), n).cast("double")
+        assert df.filter(~rnd("x", n).eqNullSafe(exact)).count() == 0
