@@ -21,6 +21,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import let_workers_import
+
 BINS = 255
 #: Trees that rows have not taken up yet; their margins are written into the cached rows after so many.
 PENDING = 16
@@ -155,6 +157,7 @@ class HistogramBoosting(Estimator):
         return [got.get(f, []) for f in range(width)]
 
     def _fit(self, df: DataFrame) -> BoostedTrees:
+        let_workers_import(df.sparkSession)
         rows = df.select(vector_to_array(self.features).alias("x"), F.col(self.label).cast("double").alias("y")).filter("y is not null").persist(StorageLevel.MEMORY_AND_DISK)
         n, mean, width = rows.agg(F.count("*"), F.avg("y"), F.max(F.size("x"))).first()
         if not n:
@@ -254,6 +257,7 @@ class BoostedTrees(Model):
         return self.base + sum((t.add(bins, self.depth) for t in self.trees), np.zeros(len(x)))
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        let_workers_import(df.sparkSession)
         margins = self.margins
 
         @F.pandas_udf("double")

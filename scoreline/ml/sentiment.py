@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.chat import Predict, Scorer, model_scorer
+from ..session import let_workers_import
 
 #: Labelled rows that a model is fitted on, at most; words that it keeps.
 MOST_ROWS, MOST_WORDS = 100_000, 1_000
@@ -86,6 +87,7 @@ class Sentiment:
 def fit(rows: DataFrame, text: str, label: str, most_rows: int = MOST_ROWS, most_words: int = MOST_WORDS, smooth: float = 1.0) -> Sentiment:
     """Learns from the ``most_rows`` rows of the smallest content hashes; of their words the ``most_words`` of greatest
     mutual information come to the driver. Raises if the rows have one label only."""
+    let_workers_import(rows.sparkSession)  # for the scorer
     some = rows.filter(F.col(label).isNotNull()).orderBy(F.xxhash64(text, label), text, label).limit(most_rows).select(text, label).persist()
     try:
         n, n1 = some.agg(F.count("*"), F.sum(F.col(label).cast("int"))).first()

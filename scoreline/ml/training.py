@@ -8,9 +8,10 @@ import statistics
 from collections.abc import Callable, Iterable
 
 from pyspark.ml import Estimator, Model, Pipeline
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,13 +130,18 @@ def preprocess(numbers: list[str], texts: list[str], linear: bool) -> list:
     ]
 
 
-def win_model(numbers: list[str], texts: list[str], label: str = "label_win", iterations: int = WIN_ROUNDS, depth: int = DEPTH) -> Pipeline:
-    trees = HistogramBoosting(label, "logistic", iterations, depth=depth)
+def win_model(numbers: list[str], texts: list[str], label: str = "label_win", iterations: int = WIN_ROUNDS, depth: int = DEPTH, l2: float | None = None) -> Pipeline:
+    """With ``l2`` the trees are those of ``boosting``, which know such a penalty; else Spark's own, without one."""
+    trees = GBTClassifier(labelCol=label, stepSize=0.05, maxIter=iterations, maxDepth=depth, minInstancesPerNode=250, maxBins=64, seed=42)
+    if l2 is not None:
+        trees = HistogramBoosting(label, "logistic", iterations, depth=depth, l2=l2)
     return Pipeline(stages=[FeatureQuality(numbers, min_count=120), *preprocess(numbers, texts, False), trees])
 
 
-def impact_model(numbers: list[str], texts: list[str], label: str = "label_impact_percentile", iterations: int = IMPACT_ROUNDS, depth: int = DEPTH) -> Pipeline:
-    trees = HistogramBoosting(label, "squared", iterations, depth=depth)
+def impact_model(numbers: list[str], texts: list[str], label: str = "label_impact_percentile", iterations: int = IMPACT_ROUNDS, depth: int = DEPTH, l2: float | None = None) -> Pipeline:
+    trees = GBTRegressor(labelCol=label, stepSize=0.05, maxIter=iterations, maxDepth=depth, minInstancesPerNode=250, maxBins=64, seed=42)
+    if l2 is not None:
+        trees = HistogramBoosting(label, "squared", iterations, depth=depth, l2=l2)
     return Pipeline(stages=[FeatureQuality(numbers, min_count=120), *preprocess(numbers, texts, False), trees])
 
 

@@ -21,3 +21,11 @@ def build_session(app: str = "scoreline", cores: int | str = "*", memory: str =
         if shuffle:
             b = b.config("spark.sql.shuffle.partitions", str(shuffle))
     return b.getOrCreate()
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Adds the folder of this package to the path of Python workers, for sessions whose workers start elsewhere."""
+    env, home = spark.sparkContext.environment, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = env.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in path and home not in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [*path, home]))

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
+from ..session import let_workers_import
+
 #: Records of one send.
 MOST = 1000
 
@@ -111,6 +113,7 @@ def record_sink(to: str, most: int = MOST, attempts: int = 3, delay: float = 0.5
     """A sink for ingests: dataset and records to ``to``/dataset; gives the number of records sent."""
 
     def send(name: str, rows: DataFrame) -> int:
+        let_workers_import(rows.sparkSession)
         rows.sparkSession.dataSource.register(RecordSink)
         seen = Observation()
         counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))

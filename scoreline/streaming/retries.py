@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from ..session import let_workers_import
 from ..sources.documents import RECORDS, SUMMARY, parse_details
 
 DATASETS = tuple(RECORDS)
@@ -120,6 +121,7 @@ def attempt(fetch: Callable[[DataFrame], DataFrame], sink: Callable[[str, DataFr
 def start_delivery(entries: DataFrame, fetch, sink, outcomes: str, checkpoint: str, every: str = "10 seconds", most_retries: int = 50, processor: Waiting | None = None):
     """Starts the stream over list entries. ``outcomes`` is a folder of the stream's own, beside its checkpoint."""
     spark: SparkSession = entries.sparkSession
+    let_workers_import(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)  # what state with timers needs
     _make(spark, outcomes)
     back = spark.readStream.schema(EVENT).option("recursiveFileLookup", "true").json(outcomes)
