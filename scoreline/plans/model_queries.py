@@ -33,8 +33,8 @@ def promotion_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The registry once a version has become the production one of its model."""
-    new, _ = mlops.change_stage(_tables(spark, sf_dir)["ml_model_registry"], NAME, VERSION, "production", "ops", "query", WHEN)
+    """The registry once a version has become the production one of its model, also if it was that before."""
+    new = mlops.with_stage(_tables(spark, sf_dir)["ml_model_registry"], NAME, VERSION, "production", WHEN)
     return new.select(*KEYS, "stage", "is_active", "promoted_at")
 
 
